@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import exact_dedup, mixing, url_filter
+from loomgraph.llm import exact_dedup, media, mixing, packing, url_filter
 from loomgraph.llm.common import table
 
 #: Rules of the url query, (verdict, host and path).
@@ -23,6 +23,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.with_media(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge_urls(pages, url_filter.rules_frame(spark, URL_RULES))
@@ -58,6 +66,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op5_mixing": op5_mixing,
+        "op6_media": op6_media,
+        "op7_packing": op7_packing,
         "op9_url_filter": op9_url_filter,
     }
 
