@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomgraph.llm import exact_dedup, media, mixing, packing, url_filter
+from loomgraph.llm import exact_dedup, language, media, mixing, packing, url_filter
 from loomgraph.llm.common import table
 
 #: Rules of the url query, (verdict, host and path).
@@ -19,6 +20,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "known")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -65,6 +72,7 @@ SELECT page_id, host, path, r AS rule, coalesce(v, 'allow') AS verdict FROM j WH
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_language": op2_language,
         "op5_mixing": op5_mixing,
         "op6_media": op6_media,
         "op7_packing": op7_packing,
