@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import exact_dedup, language, media, mixing, packing, url_filter
+from loomgraph.llm import exact_dedup, language, media, mixing, near_join, packing, url_filter
 from loomgraph.llm.common import table
 
 #: Rules of the url query, (verdict, host and path).
@@ -38,6 +38,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.near_components(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge_urls(pages, url_filter.rules_frame(spark, URL_RULES))
@@ -76,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": op5_mixing,
         "op6_media": op6_media,
         "op7_packing": op7_packing,
+        "op8_ngram_join": op8_ngram_join,
         "op9_url_filter": op9_url_filter,
     }
 
