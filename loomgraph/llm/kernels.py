@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +72,10 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple
     return mix(total ^ (b - a).astype(np.uint64)), upto
 
 
+@cache
 def _odd(k: int) -> np.uint64:
-    return np.uint64((int(STEP) * (2 * k + 1) & (1 << 64) - 1) | 1)
+    """The multiplier of a shingle's k-th word; not linear in k, so that no two orders of words agree."""
+    return mix(np.array([k + 1], np.uint64) * STEP)[0] | np.uint64(1)
 
 
 def shingles(words: np.ndarray, upto: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
