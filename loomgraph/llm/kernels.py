@@ -72,6 +72,33 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple
     return mix(total ^ (b - a).astype(np.uint64)), upto
 
 
+_CLASS = np.full(256, 3, np.uint8)  # symbols
+_CLASS[_SPACE] = 0
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_CLASS[48:58] = 2
+
+
+def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like word_hashes for runs of letters, of digits and of symbols: hash, class (1, 2, 3; 4: letters
+    all A-Z, two at least) and tokens before each text's end."""
+    kind = _CLASS[data]
+    change = np.flatnonzero(np.diff(kind, prepend=0, append=0))
+    a = change[:-1][kind[change[:-1]] > 0] if len(change) else change
+    upto = np.searchsorted(a, ends)
+    if not len(a):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), upto
+    b = change[np.searchsorted(change, a, "right")]
+    power = np.cumprod(np.append(np.uint64(1), np.full(int((b - a).max()), STEP)), dtype=np.uint64)
+    at = np.flatnonzero(kind)
+    value = BYTE[_LOWER[data[at]]] * power[at - np.repeat(a, b - a)]
+    first = np.concatenate(([0], np.cumsum(b - a)[:-1]))
+    total = np.add.reduceat(value, first)
+    capital = np.add.reduceat(((data[at] >= 65) & (data[at] <= 90)).astype(np.int64), first)
+    which = kind[a].copy()
+    which[(which == 1) & (capital == b - a) & (b - a > 1)] = 4
+    return mix(total ^ (b - a).astype(np.uint64)), which, upto
+
+
 @cache
 def _odd(k: int) -> np.uint64:
     """The multiplier of a shingle's k-th word; not linear in k, so that no two orders of words agree."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import exact_dedup, language, media, mixing, near_join, packing, url_filter
+from loomgraph.llm import exact_dedup, language, media, mixing, near_join, packing, quality, url_filter
 from loomgraph.llm.common import table
 
 #: Rules of the url query, (verdict, host and path).
@@ -26,6 +26,14 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "known")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    taught = labels.where(~language.held_out(F.col("doc_id")))
+    ratings = taught.select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade"))
+    rated = quality.rate(docs, quality.fit(docs, ratings))
+    return rated.withColumn("held_out", language.held_out(F.col("doc_id")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -77,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_language": op2_language,
+        "op4_quality": op4_quality,
         "op5_mixing": op5_mixing,
         "op6_media": op6_media,
         "op7_packing": op7_packing,
