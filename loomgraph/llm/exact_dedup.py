@@ -60,18 +60,16 @@ def exact_groups(
     )
 
 
-def drop_exact_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
+def drop_exact_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with the columns of ``docs``.
 
     Rows repeated with the same id and text collapse to one.
     """
-    decided = exact_groups(docs, keep=keep).where("kept").select(F.col("doc_id").alias("_keep_id"), "text_sha256")
+    decided = written(exact_groups(docs, keep=keep).where("kept").select(F.col("doc_id").alias("_keep_id"), "text_sha256"), "kept")
     sha = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
-    columns = docs.columns
-    marked = docs.withColumn("_sha", sha)
-    stay = marked.join(
-        decided.distinct(),
-        F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("text_sha256")),
-        "left_semi",
-    )
-    return stay.dropDuplicates(["doc_id", "_sha"]).select(*columns)
+    same = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (sha == F.col("text_sha256"))
+    stay = docs.join(decided, same, "left_semi")
+    repeated = decided.groupBy("_keep_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return stay
+    return stay.withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"]).drop("_sha")

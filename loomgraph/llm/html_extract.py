@@ -203,8 +203,9 @@ def pattern(part: list, pages: int | None = None) -> str:
 def locate(wrapper: list) -> tuple[list[str], list[int]]:
     """Where the article lies (keys from the root; empty if nowhere) and the template's own texts inside it.
 
-    It is the largest article element, else main, both outside of what is never the
-    article; else the innermost part with four fifths of the words that are neither
+    It is the largest article element if it has half of main's words, else main, both
+    outside of what is never the article (a class name alone doesn't rule out a part
+    with an article and most of the page's words); else the innermost part with four fifths of the words that are neither
     off nor in links. A text is the template's own if four pages or more agree on it
     while other texts of the article differ.
     """
@@ -217,7 +218,7 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
         return max(0, part[WORDS] - 2 * part[LINKS]) if part[KEY] == "#" else sum(map(good, part[PARTS]))
 
     def walk(part: list, path: list[str]) -> None:
-        if part[OFF] and not holds(part):
+        if part[OFF] and not (holds(part) and part[WORDS] >= 0.6 * wrapper[WORDS]):
             return
         here = [*path, part[KEY]]
         kind = part[KEY].split(".")[0]
@@ -228,7 +229,8 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
 
     walk(wrapper, [])
     if best:
-        _, path, part = best.get("article") or best["main"]
+        article, main = best.get("article", (0,)), best.get("main", (0,))
+        _, path, part = article if article[0] >= 0.5 * main[0] and article[0] else main if main[0] else max(best.values(), key=len)
     else:
         path, part, total = [wrapper[KEY]], wrapper, good(wrapper)
         if not total:
@@ -254,14 +256,10 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
 
 
 def holds(part: list) -> bool:
-    """Whether an article or main lies inside: then a class name alone doesn't rule a part out."""
+    """Whether an article or main lies inside a part that only its class or role rules out."""
     return part[KEY].split(".")[0] not in OFF_TAGS and any(p[KEY].split(".")[0] in ("article", "main") or holds(p) for p in part[PARTS])
 
 
-def _node_holds(node: Node) -> bool:
-    return node.tag not in OFF_TAGS and any(isinstance(k, Node) and (k.tag in ("article", "main") or _node_holds(k)) for k in node.kids)
-
-
 def text_of(node: Node, own: set[int]) -> str:
     """The node's text by blocks, without what is never the article and the template's own texts."""
     blocks: list[str] = []
@@ -279,7 +277,7 @@ def text_of(node: Node, own: set[int]) -> str:
             if isinstance(k, str):
                 if not headings_only and not (own and zlib.crc32(" ".join(k.split()).encode("utf-8", "replace")) in own):
                     run.append(k)
-            elif not k.off or _node_holds(k):
+            elif not k.off:
                 if k.tag in BLOCK:
                     flush()
                 if not _links(k):

@@ -56,7 +56,9 @@ def mix_sources(
 ) -> DataFrame:
     """Words to take of each document so that the sources meet their target weights.
 
-    Returns doc_id, size (words), source_size, target (of the source) and taken. The
+    Returns doc_id, size (words), source_size, target (of the source), taken, copies (the
+    times that the document's first word is taken: for mixes of whole documents) and
+    source. The
     sources in order of code point, null last, weigh ``weights`` in turn and share
     ``budget`` times all words; no target exceeds ``most`` times its source, the rest
     is shared again by weight. Null text has size 0. Repeated rows count each. An
@@ -122,8 +124,25 @@ def mix_sources(
     placed = dealt.withColumn("_start", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     here = placed.join(arcs, placed["_source"].eqNullSafe(arcs["_s"]) & (placed["_shard"] == arcs["_k"]))
     end = F.col("_from") + F.col("_arc")
-    taken = F.lit(0).cast("long")
+    taken = copies = F.lit(0).cast("long")
     for turn in range(int(most) + 1):
         at = F.col("_start") + F.col("_length") * turn
         taken = taken + F.greatest(F.lit(0), F.least(at + F.col("size"), end) - F.greatest(at, F.col("_from")))
-    return here.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+        copies = copies + ((at >= F.col("_from")) & (at < end)).cast("long")
+    return here.select(
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), copies.alias("copies"), "source"
+    )
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes the whole document (0 to 2 times by default).
+
+    Rows of the same id, source and size are taken alike.
+    """
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    times = (
+        mix_sources(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size"))
+        .agg(F.max("copies").alias("_copies")).where("_copies > 0")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (size == F.col("_size"))
+    return docs.join(times, same).withColumn("_turn", F.explode(F.expr("sequence(1, _copies)"))).select(*docs.columns)

@@ -339,8 +339,11 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
-def drop_near_copies(docs: DataFrame, words: int = 4, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id, all of its columns."""
+def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the smallest id, all of its columns.
+
+    Documents without words link with nothing, so all of them stay.
+    """
     stay = near_components(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     named = stay.select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
