@@ -9,11 +9,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import exact_dedup
+from loomgraph.llm import exact_dedup, language, mixing, near_join, packing
 from loomgraph.llm.common import table, written
 
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a word in the script of a learned language; those without a letter go."""
+    return language.keep_known_language(docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the smallest id's."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies (5-word shingles, similarity 0.8): the smallest id's."""
+    return near_join.drop_near_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents, none to two times each, in the sources' target weights."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of tokenised documents with their places in sequences of 4096 tokens."""
+    return packing.packed_documents(docs)
+
+
 STAGES = [
-    ("exact dedup", lambda spark, docs, sf_dir: exact_dedup.drop_exact_copies(docs)),
+    ("language", known_language),
+    ("exact dedup", without_copies),
+    ("near copies", without_near_copies),
+    ("mixing", mixed),
+    ("packing", packed),
 ]
 
 #: Language models, near-duplicate components and packing can't be expressed in SQL;
