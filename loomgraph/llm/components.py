@@ -1,12 +1,17 @@
-"""Connected components of links, as joins: alternating large and small stars."""
+"""Connected components: of links, and of candidates that share a key and must be verified."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import written
 
+#: Rows of shared keys up to which they are broadcast; beyond, they join by shuffle.
+BROADCAST_KEYS = 500_000
+
 
 def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``links`` (x, y) as undirected: node and comp, the smallest node reachable, for all nodes with links.
@@ -40,3 +45,51 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     found = edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp")
     roots = found.select(F.col("comp").alias("node"), "comp").distinct()
     return found.unionByName(roots)
+
+
+def cluster(
+    keys: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    star_fits: Column,
+    pair_fits: Callable[[Column, Column, Column, Column], Column],
+) -> DataFrame:
+    """(node, comp) of the components of verified links among nodes that share a key.
+
+    ``keys`` has key, node, n and pos (ints that the filters use). ``verify`` returns the
+    links among pairs (x, y). ``star_fits`` says of n and hub_n whether a node and a hub may
+    link, ``pair_fits`` of (n, pos) and (m, at) whether two nodes of a key may.
+
+    A key's smallest node is its hub. Each node is verified with one hub first, of the
+    hubs of its keys the one it shares most with, and what links is contracted. Only then
+    are candidates listed: those of a key that still lie in different components. So a
+    large group of near copies is a star and not all its pairs, and yet every pair of
+    candidates that could join two components is verified.
+    """
+    packed = F.col("n").cast("long") * (1 << 32) + F.col("pos")
+    hubs = written(
+        keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.min_by(packed, "node").alias("hp"))
+        .where("hub <> top").select("key", "hub", F.shiftright("hp", 32).cast("int").alias("hub_n")), "hubs",
+    )
+    few = hubs.count() <= BROADCAST_KEYS
+    shared = written(keys.join(F.broadcast(hubs) if few else hubs, "key"), "shared")
+    tried = (
+        shared.where("node <> hub").where(star_fits).groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best"))
+    )
+    links = verify(written(tried.select(F.col("node").alias("x"), F.col("best.hub").alias("y")), "stars"))
+    comps = written(connected(links), "comps")
+
+    placed = (
+        shared.select("key", "node", "n", "pos").distinct()
+        .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    )
+    placed = written(placed, "placed")
+    open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    left = written(placed.join(open_, "key"), "open")
+    a, b = left.alias("a"), left.alias("b")
+    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
+    fits = pair_fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+    more = written(a.join(b, apart & fits).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "pairs")
+    if more.isEmpty():
+        return comps
+    return written(connected(links.unionByName(verify(more))), "comps")

@@ -135,3 +135,13 @@ def distinct(values: np.ndarray, owner: np.ndarray, key: np.ndarray | None = Non
     new = np.ones(len(v), bool)
     new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
     return v[new], o[new]
+
+
+def bitmap(rows: list, bits: int) -> np.ndarray:
+    """Packed marks for 2^bits places from rows (k, m) of Spark's bitmap_construct_agg."""
+    marks = np.zeros(1 << bits, bool)
+    for row in rows:
+        own = np.unpackbits(np.frombuffer(bytes(row["m"]), np.uint8), bitorder="little")
+        # Spark counts bucket k's positions from 32768 (k - 1) + 1 on; place 0 is the last of bucket 0.
+        marks[((row["k"] - 1) * len(own) + 1 + np.flatnonzero(own)) % (1 << bits)] = True
+    return np.packbits(marks)

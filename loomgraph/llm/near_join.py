@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
 from loomgraph.llm.common import written
-from loomgraph.llm.components import connected
+from loomgraph.llm.components import cluster
 
 WORDS, PERCENT = 4, 85
 #: Hash bits of the table of word counts, of that of n-gram counts, and of the bitmap of rows to load.
@@ -204,17 +204,11 @@ def _load_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     hashed or shuffled; the join on id and node then makes it exact.
     """
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << ROW_BITS))
-    marks = np.zeros(1 << ROW_BITS, bool)
     packed = (
         wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
     )
-    for row in packed.collect():
-        bits = np.unpackbits(np.frombuffer(bytes(row["m"]), np.uint8), bitorder="little")
-        at = (row["k"] - 1) * len(bits) + 1
-        for i in np.flatnonzero(bits):
-            marks[(at + i) % (1 << ROW_BITS)] = True
-    table = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))
+    table = docs.sparkSession.sparkContext.broadcast(K.bitmap(packed.collect(), ROW_BITS))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(table.value).view(bool)
@@ -283,24 +277,7 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     known = rarity(docs, words)
     emitted = written(_prefixes(docs, known, words, percent), "prefixes", "kind")
     rows = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
-    tokens = emitted.where("kind = 1").select(F.col("a").alias("gram"), F.col("b").alias("node"), "n", "pos")
-
-    at = F.struct("n", "pos")
-    packed = F.col("n").cast("long") * (1 << 32) + F.col("pos")
-    hubs = (
-        tokens.groupBy("gram").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.min_by(packed, "node").alias("hp"))
-        .where("hub <> top").select("gram", "hub", "hp")
-    )
-    shared = written(tokens.join(hubs, "gram"), "shared")
-
-    # The hub that a node shares most n-grams with, if lengths allow.
-    tried = (
-        shared.where("node <> hub")
-        .where(100 * F.least("n", F.shiftright("hp", 32)) >= percent * F.greatest("n", F.shiftright("hp", 32)))
-        .groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"))
-        .groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best"))
-    )
-    stars = written(tried.select(F.col("node").alias("x"), F.col("best.hub").alias("y")), "stars")
+    tokens = emitted.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "n", "pos")
 
     owners = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
@@ -309,26 +286,12 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         wanted = written(owners.join(named, "node").select("doc_id", "node"), "wanted")
         return written(_verified(pairs, written(_load_sets(docs, wanted, words), "sets"), percent), "verified")
 
-    links = linked(stars)
-    comps = connected(links)
-
-    # Candidates that still lie in different components.
-    placed = (
-        shared.select("gram", "node", "n", "pos").distinct()
-        .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    )
-    open_ = placed.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
-    left = written(placed.join(open_, "gram"), "open")
-    a, b = left.alias("a"), left.alias("b")
-    apart = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
-    fits = _may_link(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
-    more = written(
-        a.join(b, apart & fits).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "pairs"
+    comps = cluster(
+        tokens,
+        linked,
+        100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"),
+        lambda n, pos, m, at: _may_link(n, pos, m, at, percent),
     )
-    if not more.isEmpty():
-        links = links.unionByName(linked(more))
-        comps = connected(links)
-
     of = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = of.where("comp is not null").groupBy("comp").agg(
         F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n_docs")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import exact_dedup, html_extract, language, media, mixing, near_join, packing, quality, url_filter
+from loomgraph.llm import exact_dedup, html_extract, language, line_dedup, media, mixing, near_join, packing, quality, url_filter
 from loomgraph.llm.common import table
 
 #: Rules of the url query, (verdict, host and path).
@@ -26,6 +26,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "known")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     taught = labels.where(~language.held_out(F.col("doc_id")))
@@ -89,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_language": op2_language,
+        "op3_line_dedup": op3_line_dedup,
         "op4_quality": op4_quality,
         "op5_mixing": op5_mixing,
         "op6_media": op6_media,
