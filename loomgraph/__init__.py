@@ -1,0 +1 @@
+"""Literature graph analytics and training-data operators on Spark DataFrames."""
