@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomgraph.functions.text import let
+
 #: Below this, ln n! is looked up; from it on, Stirling's series is exact to 1e-13.
 _EXACT = 16
 
@@ -24,13 +26,15 @@ def fisher_two_sided(a: Column, b: Column, c: Column, d: Column) -> Column:
     A p within 1e-9 of 1 is 1: only rounding parts them.
     """
     r, k, n = a + b, a + c, a + b + c + d
-    base = ln_factorial(r) + ln_factorial(n - r) + ln_factorial(k) + ln_factorial(n - k) - ln_factorial(n)
-    ln_p = lambda x: base - ln_factorial(x) - ln_factorial(r - x) - ln_factorial(k - x) - ln_factorial(n - r - k + x)
+    whole = ln_factorial(r) + ln_factorial(n - r) + ln_factorial(k) + ln_factorial(n - k) - ln_factorial(n)
     lo, hi = F.greatest(F.lit(0).cast("long"), r + k - n), F.least(r, k)
-    seen = ln_p(a) + 1e-7
-    terms = F.transform(F.sequence(lo, hi), ln_p)
-    p = F.aggregate(terms, F.lit(0.0), lambda s, t: s + F.when(t <= seen, F.exp(t)).otherwise(0.0))
-    return F.when(p > 1 - 1e-9, F.lit(1.0)).otherwise(p)
+
+    def tail(base: Column) -> Column:
+        ln_p = lambda x: base - ln_factorial(x) - ln_factorial(r - x) - ln_factorial(k - x) - ln_factorial(n - r - k + x)
+        terms = F.transform(F.sequence(lo, hi), ln_p)
+        return let(ln_p(a) + 1e-7, lambda seen: F.aggregate(terms, F.lit(0.0), lambda s, t: s + F.when(t <= seen, F.exp(t)).otherwise(0.0)))
+
+    return let(let(whole, tail), lambda p: F.when(p > 1 - 1e-9, F.lit(1.0)).otherwise(p))
 
 
 def npmi(a: Column, b: Column, c: Column, d: Column, smooth: float = 0.0) -> Column:

@@ -59,8 +59,8 @@ def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's graph: significant pairs that are worth keeping."""
-    return cooccur.edges(rated(spark, sf_dir))
+    """The driver's graph: significant pairs that are worth keeping; kept, as queries join it to itself."""
+    return cooccur.edges(rated(spark, sf_dir)).persist()
 
 
 def clean_sql(x: str) -> str:
