@@ -76,22 +76,22 @@ def define_abbreviations(docs: DataFrame, longest: int = 10) -> DataFrame:
     bracket, of min(n + 5, 2 n) words at most, that matches from the right. The last definition of a short form in a
     document wins. All of it is array and regular expressions, in the JVM.
     """
-    bracket = F.regexp_extract_all("content", F.lit(r"([^()]*\([A-Za-z0-9][A-Za-z0-9-]{1,9}\))"), 1)
-    parts = docs.select("pmid", F.posexplode(bracket).alias("at", "part"))
-    sf = F.regexp_extract("part", r"\(([A-Za-z0-9-]+)\)$", 1)
-    before = F.trim(F.regexp_replace("part", r"\([A-Za-z0-9-]+\)$", ""))
-    rows = parts.select("pmid", "at", sf.alias("sf"), F.split(before, r"\s+").alias("words")).where(
-        (F.length("sf") <= longest) & F.col("sf").rlike("[A-Za-z]") & (F.size("words") > 0)
-    )
-    letters = F.regexp_replace(F.lower("sf"), "[^a-z0-9]", "")
-    loose = F.concat(
-        F.lit("(?i)^"), F.array_join(F.transform(F.regexp_extract_all(letters, F.lit("(.)"), 1), lambda x: x), ".*?"), F.lit(".*$")
-    )
-    most = F.least(F.length("sf") + 5, 2 * F.length("sf"), F.size("words"))
-    tails = F.transform(F.sequence(F.lit(1), most), lambda n: F.array_join(F.slice("words", F.size("words") - n + 1, n), " "))
-    tried = rows.withColumn("pattern", loose).withColumn("tails", tails)
-    fits = F.filter("tails", lambda t: t.rlike(F.col("pattern")) & (F.length(t) > F.length("sf")) & ~F.array_contains(F.split(t, " "), F.col("sf")))
-    found = tried.withColumn("lf", F.get(fits, F.lit(0))).where("lf is not null")
+    bracket = F.regexp_extract_all("content", F.lit(r"([^()]{1,200}\([A-Za-z0-9][A-Za-z0-9-]{1,9}\))"), 1)
+    parts = docs.where(F.col("content").contains("(")).select("pmid", F.posexplode(bracket).alias("at", "part"))
+    rows = parts.select(
+        "pmid", "at", F.regexp_extract("part", r"\(([A-Za-z0-9-]+)\)$", 1).alias("sf"),
+        F.trim(F.regexp_replace("part", r"\([A-Za-z0-9-]+\)$", "")).alias("before"),
+    ).where((F.length("sf") <= longest) & F.col("sf").rlike("[A-Za-z]") & (F.col("before") != ""))
+    letters = F.regexp_extract_all(F.regexp_replace(F.lower("sf"), "[^a-z0-9]", ""), F.lit("(.)"), 1)
+    pattern = F.concat(F.lit("(?i)^"), F.array_join(letters, ".*?"), F.lit(".*$"))
+
+    def shortest(words: Column) -> Column:
+        most = F.least(F.length("sf") + 5, 2 * F.length("sf"), F.size(words))
+        tail = lambda n: F.array_join(F.slice(words, F.size(words) - n + 1, n), " ")
+        fits = lambda t: F.regexp_like(t, pattern) & (F.length(t) > F.length("sf")) & ~F.array_contains(F.split(t, " "), F.col("sf"))
+        return F.get(F.filter(F.transform(F.sequence(F.lit(1), most), tail), fits), F.lit(0))
+
+    found = rows.withColumn("lf", text.let(F.split("before", r"\s+"), shortest)).where("lf is not null")
     return found.groupBy("pmid", "sf").agg(F.max_by("lf", "at").alias("lf"))
 
 

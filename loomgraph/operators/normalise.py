@@ -97,10 +97,12 @@ def resolve_overlaps(mentions: DataFrame) -> DataFrame:
 
 def tfidf(names: DataFrame, sizes: tuple[int, ...] = (1, 2)) -> DataFrame:
     """nid, gram, weight: character n-grams by tf * (ln((1 + n) / (1 + df)) + 1), rows of length one."""
-    grams = F.flatten(F.array(*[
-        F.when(F.length("name") >= n, F.transform(F.sequence(F.lit(1), F.length("name") - n + 1), lambda i, n=n: F.substring("name", i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-        for n in sizes
-    ]))
+    def grams_of(n: int) -> Column:
+        at = F.sequence(F.lit(1), F.length("name") - n + 1)
+        cut = F.transform(at, lambda i: F.substring(F.col("name"), i, F.lit(n)))
+        return F.when(F.length("name") >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    grams = F.concat(*map(grams_of, sizes))
     tf = names.select("nid", F.explode(grams).alias("gram")).groupBy("nid", "gram").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     n = names.agg(F.count(F.lit(1)).alias("n"))

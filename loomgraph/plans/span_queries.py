@@ -1,3 +1,185 @@
-"""Queries of text functions."""
+"""Queries of mentions, spans, normalisation, candidates and evaluation."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from loomgraph.functions import spans, stats, text
+from loomgraph.operators import mentions as ops
+from loomgraph.operators import normalise
+from loomgraph.plans import base
+from loomgraph.plans.base import sql, table
+from loomgraph.plans.catalog import query
+
+_LOGITS = "list_transform(embedding[1:8], lambda x: x::DOUBLE)"
+
+
+def _logits() -> object:
+    return F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double"))
+
+
+@query(f"""SELECT vec_id, round(1 / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))), 6) AS confidence, list_position(l, list_max(l))::BIGINT - 1 AS label
+FROM (SELECT vec_id, {_LOGITS} AS l FROM embeddings)""")
+def softmax_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", _logits().alias("l"))
+    return rows.select("vec_id", F.round(stats.max_softmax(F.col("l")), 6).alias("confidence"), stats.argmax(F.col("l")).alias("label"))
+
+
+@query(f"""SELECT vec_id, CASE WHEN mass > 0 THEN round(-ln(mass), 6) END AS loss FROM (SELECT vec_id,
+  list_sum(list_transform(range(1, 9), lambda i: CASE WHEN i % 3 = label % 3 THEN exp(l[i] - list_max(l)) ELSE 0 END)) / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))) AS mass
+  FROM (SELECT vec_id, label, {_LOGITS} AS l FROM embeddings))""")
+def marginal_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", _logits().alias("l"))
+    right = F.transform("l", lambda x, i: ((i + 1) % 3 == F.col("label") % 3).cast("int"))
+    return rows.select("vec_id", F.round(stats.marginal_nll(F.col("l"), right), 6).alias("loss"))
+
+
+@query("""SELECT qid, nid, rank, round(score, 5) AS score FROM (
+  SELECT q.vec_id AS qid, v.vec_id AS nid, list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) DESC, v.vec_id) AS rank
+  FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id) WHERE rank <= 3""")
+def nearest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id is divisible by 50 against all others, in blocks."""
+    v = table(spark, sf_dir, "embeddings")
+    asked = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    found = normalise.nearest(asked, v.select(F.col("vec_id").alias("nid"), "embedding"), k=4).where("qid <> nid")
+    best = Window.partitionBy("qid").orderBy("rank")
+    return found.withColumn("rank", F.row_number().over(best)).where("rank <= 3").select("qid", "nid", "rank", F.round("score", 5).alias("score"))
+
+
+_TFIDF = """
+names AS (SELECT p_partkey AS nid, p_name AS name FROM part),
+grams AS (
+  SELECT nid, name[i] AS gram FROM (SELECT nid, name, unnest(range(1, length(name) + 1)) AS i FROM names)
+  UNION ALL SELECT nid, substr(name, i, 2) FROM (SELECT nid, name, unnest(range(1, length(name))) AS i FROM names)
+), tf AS (SELECT nid, gram, count(*) AS tf FROM grams GROUP BY ALL), df AS (SELECT gram, count(*) AS df FROM tf GROUP BY ALL),
+raw AS (SELECT nid, gram, tf * (ln((1 + (SELECT count(*) FROM names)) / (1 + df)) + 1) AS w FROM tf JOIN df USING (gram)),
+weights AS (SELECT nid, gram, w / sqrt(sum(w * w) OVER (PARTITION BY nid)) AS weight FROM raw)"""
+
+
+def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("nid"), F.col("p_name").alias("name"))
+
+
+@query(f"WITH {_TFIDF} SELECT nid, gram, round(weight, 6) AS weight FROM weights")
+def name_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalise.tfidf(_names(spark, sf_dir)).withColumn("weight", F.round("weight", 6))
+
+
+@query(f"""WITH {_TFIDF}, scores AS (
+  SELECT q.nid AS qid, v.nid, sum(q.weight * v.weight) AS score FROM weights q JOIN weights v USING (gram) WHERE q.nid % 50 = 0 AND q.nid <> v.nid GROUP BY ALL
+) SELECT qid, nid, rank, round(score, 5) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, nid) AS rank FROM scores) WHERE rank <= 5""")
+def sparse_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = normalise.tfidf(_names(spark, sf_dir)).persist()
+    scores = normalise.sparse_scores(w.where("nid % 50 = 0"), w).where("qid <> nid")
+    best = Window.partitionBy("qid").orderBy(F.desc(F.round("score", 9)), "nid")
+    return scores.withColumn("rank", F.row_number().over(best)).where("rank <= 5").select("qid", "nid", "rank", F.round("score", 5).alias("score"))
+
+
+@query("""WITH c AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS s0, list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS d FROM lineitem GROUP BY ALL),
+c2 AS (SELECT l_orderkey, d, list_filter(s0, lambda x, i: list_position(s0, x) = i) AS s FROM c)
+SELECT l_orderkey, array_to_string(list_slice(list_concat(s[1:2], list_filter(d, lambda x, i: NOT list_contains(s[1:2], x) AND list_position(d, x) = i)), 1, 4), ',') AS candidates FROM c2""")
+def hybrid_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("x")
+    )
+    sparse, dense = F.col("x.l_partkey"), F.col("x.l_suppkey")
+    return rows.select("l_orderkey", F.array_join(normalise.hybrid_candidates(F.array_distinct(sparse), dense, 4), ",").alias("candidates"))
+
+
+@query("""SELECT avg(h)::DOUBLE AS acc2 FROM (SELECT l_orderkey, min(CASE WHEN l_quantity > 25 OR l_discount > 0.05 THEN 1 ELSE 0 END) AS h FROM lineitem GROUP BY ALL)""")
+def accuracy_at_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cands = F.array(F.col("l_quantity") > 25, F.col("l_discount") > 0.05, F.lit(True))
+    return normalise.accuracy_at(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("query"), cands.alias("cands")), 2)
+
+
+_TAGS = "CASE (l_partkey + l_linenumber) % 4 WHEN 0 THEN 'B' WHEN 1 THEN 'I' WHEN 2 THEN 'I' ELSE 'O' END"
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS pos, {_TAGS} AS tag FROM lineitem),
+g AS (SELECT *, sum(CASE WHEN tag <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey ORDER BY pos) AS run FROM t)
+SELECT l_orderkey, min(pos)::INT AS first, max(pos)::INT AS last FROM g GROUP BY l_orderkey, run HAVING min_by(tag, pos) = 'B'""")
+def bio_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.expr(_TAGS).alias("tag"))
+    tags = rows.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "tag"))), lambda x: x["tag"]).alias("tags"))
+    return tags.select("l_orderkey", F.explode(spans.bio_spans(F.col("tags"))).alias("s")).select("l_orderkey", "s.first", "s.last")
+
+
+@query(sql("mentions", "SELECT entity_type, count(*) AS n, count(*) FILTER (prob >= 0.5)::BIGINT AS sure, round(avg(prob), 6) AS mean_prob FROM mentions GROUP BY entity_type"))
+def mention_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = base.mentions(base.documents(spark, sf_dir), base.gazetteer(spark, sf_dir))
+    return found.groupBy("entity_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("prob") >= 0.5, 1)).alias("sure"), F.round(F.avg("prob"), 6).alias("mean_prob")
+    )
+
+
+_DICT = """
+dict AS (SELECT entity_type, CASE WHEN entity_type = 'chemical' THEN lower(term) ELSE name END AS key, max_by(id, line_no) AS id FROM (
+  SELECT entity_type, term, CASE WHEN length(term) % 2 = 0 THEN term ELSE lower(term) END AS name, id, id AS line_no FROM gaz WHERE length(term) % 5 <> 0
+) GROUP BY ALL),
+surfaces AS (SELECT DISTINCT entity_type, mention FROM mentions)"""
+
+
+def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.length("term") % 2 == 0, F.col("term")).otherwise(F.lower("term"))
+    return base.gazetteer(spark, sf_dir).where(F.length("term") % 5 != 0).select("entity_type", name.alias("name"), "id", F.col("id").alias("line_no"))
+
+
+@query(sql("mentions", "SELECT 1").replace("SELECT 1", f""", {_DICT.strip()}
+SELECT s.entity_type, mention, CASE WHEN s.entity_type NOT IN ('gene', 'species', 'mutation') THEN coalesce(a.id, CASE WHEN s.entity_type <> 'chemical' THEN b.id END) END AS id FROM surfaces s
+LEFT JOIN dict a ON s.entity_type = a.entity_type AND a.key = CASE WHEN s.entity_type = 'chemical' THEN lower(mention) ELSE mention END
+LEFT JOIN dict b ON s.entity_type = b.entity_type AND b.key = lower(mention)""").replace(")\n, dict", "), dict"))
+def dictionary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = base.mentions(base.documents(spark, sf_dir), base.gazetteer(spark, sf_dir)).select("entity_type", "mention", F.lit(None).cast("string").alias("id")).distinct()
+    return normalise.exact_ids(found, _dictionary(spark, sf_dir)).select("entity_type", "mention", "id")
+
+
+@query()
+def dictionary_miss_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalise.miss_rate(dictionary_ids(spark, sf_dir))
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions that overlap: each term and, half as sure, the term with what stands around it."""
+    found = base.mentions(base.documents(spark, sf_dir), base.gazetteer(spark, sf_dir))
+    wider = found.withColumn("entity_type", F.lit("go")).withColumn("start", F.greatest(F.lit(0), F.col("start") - 8)).withColumn("end", F.col("end") + 3).withColumn("prob", F.lit(0.65))
+    return found.unionByName(wider)
+
+
+@query()
+def overlap_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sequential choice per document: tested for disjointness and against a plain loop."""
+    return normalise.resolve_overlaps(_wide(spark, sf_dir))
+
+
+@query(sql("mentions", """SELECT pmid, "start", "end", mention, subtype, id FROM (SELECT DISTINCT pmid, mention, entity_type AS subtype, id FROM mentions) JOIN (SELECT pmid, mention, "start", "end" FROM mentions) USING (pmid, mention)"""))
+def surface_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = base.documents(spark, sf_dir)
+    found = base.mentions(docs, base.gazetteer(spark, sf_dir)).withColumnRenamed("entity_type", "subtype")
+    return ops.propagate_surfaces(docs, found)
+
+
+@query()
+def abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.define_abbreviations(base.documents(spark, sf_dir))
+
+
+@query(sql("mentions", """SELECT gold, predicted, both_ AS "right", round(both_ / predicted, 6) AS precision, round(both_ / gold, 6) AS recall, round(2 * both_ / (gold + predicted), 6) AS f1 FROM (
+  SELECT count(*) FILTER (prob >= 0.6 OR prob IS NULL) AS gold, count(*) FILTER (length(mention) <> 7) AS predicted, count(*) FILTER ((prob >= 0.6 OR prob IS NULL) AND length(mention) <> 7) AS both_ FROM mentions)"""))
+def span_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = base.mentions(base.documents(spark, sf_dir), base.gazetteer(spark, sf_dir)).persist()
+    scores = ops.span_scores(found.where("prob >= 0.6 OR prob IS NULL"), found.where("length(mention) <> 7"), ["pmid", "entity_type", "start", "end"])
+    return scores.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query(sql("sents", "SELECT count(*) AS sentences, count(DISTINCT pmid) AS documents FROM sents"))
+def sentence_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = base.documents(spark, sf_dir).where(F.size("sents") > 0)
+    return d.agg(F.sum(F.size("sents")).alias("sentences"), F.count(F.lit(1)).alias("documents"))
+
+
+@query("SELECT p_partkey, unnest(string_split(translate(p_type || '+' || p_brand, '+', '|'), '|')) AS part FROM part")
+def composite_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = text.composite_ids(F.concat("p_type", F.lit("+"), "p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(ids).alias("part"))
