@@ -43,6 +43,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: A closing or implied end reaches no further out than these.
 WALLS = {"table", "td", "th", "ul", "ol", "dl", "article", "main", "section", "body", "html", "div", "nav", "aside", "footer", "header", "form"}
 ENDS_P = BLOCK - {"br", "html", "body", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt", "legend", "summary"}
+WRITTEN = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "blockquote", "pre", "article", "main", "body"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: What is never the article: elements, roles, and words of class or id.
 OFF_TAGS = {
@@ -170,21 +171,24 @@ def fold(parts: list) -> list:
     return parts
 
 
-def merge(a: list, b: list, repeat: bool = False) -> list:
-    """The least expression for both: the same key, aligned parts."""
-    seen = a[SEEN] if repeat else a[SEEN] + b[SEEN]
+def merge(a: list, b: list, repeat: bool = False, inside: bool = False) -> list:
+    """The least expression for both: the same key, aligned parts. With ``repeat`` they are neighbours
+    on one page, ``inside`` parts of such: that adds no page that has them."""
+    inside = inside or repeat
+    seen = max(a[SEEN], b[SEEN]) if inside else a[SEEN] + b[SEEN]
     text = a[TEXT] if a[TEXT] == b[TEXT] else None
-    return [a[KEY], a[OFF] or b[OFF], seen, a[REPEATED] or b[REPEATED] or repeat, a[WORDS] + b[WORDS], a[LINKS] + b[LINKS], text, align(a[PARTS], b[PARTS], repeat)]
+    parts = align(a[PARTS], b[PARTS], inside)
+    return [a[KEY], a[OFF] or b[OFF], seen, a[REPEATED] or b[REPEATED] or repeat, a[WORDS] + b[WORDS], a[LINKS] + b[LINKS], text, parts]
 
 
-def align(a: list, b: list, repeat: bool = False) -> list:
+def align(a: list, b: list, inside: bool = False) -> list:
     """Both lists in order: what matches is merged, what only one has stays with its own count (optional)."""
     if not a or not b:
         return a or b
     out: list = []
     for what, i, j, k, n in SequenceMatcher(None, [p[KEY] for p in a], [p[KEY] for p in b], autojunk=False).get_opcodes():
         if what == "equal":
-            out += [merge(x, y, repeat) for x, y in zip(a[i:j], b[k:n])]
+            out += [merge(x, y, inside=inside) for x, y in zip(a[i:j], b[k:n])]
         else:
             out += a[i:j] + b[k:n]
     return fold(out)
@@ -206,8 +210,9 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
     It is the largest article element if it has half of main's words, else main, both
     outside of what is never the article (a class name alone doesn't rule out a part
     with an article and most of the page's words); else the innermost part with four fifths of the words that are neither
-    off nor in links. A text is the template's own if four pages or more agree on it
-    while other texts of the article differ.
+    off nor in links. A text is the template's own if it is all of a block that isn't a
+    paragraph, heading, list item or cell, and four pages or more agree on it while other
+    texts of the article differ.
     """
     best: dict[str, tuple[int, list[str], list]] = {}
 
@@ -243,11 +248,11 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
 
     def texts(p: list) -> None:
         nonlocal differ
-        if p[KEY] == "#":
-            if p[TEXT] is None:
-                differ = True
-            elif p[SEEN] >= 4 and not p[REPEATED]:
-                own.append(p[TEXT])
+        differ = differ or p[KEY] == "#" and p[TEXT] is None
+        if len(p[PARTS]) == 1 and p[KEY].split(".")[0] in BLOCK - WRITTEN and not p[REPEATED]:
+            (only,) = p[PARTS]
+            if only[KEY] == "#" and only[TEXT] is not None and only[SEEN] >= 4 and not only[REPEATED]:
+                own.append(only[TEXT])
         for x in p[PARTS]:
             texts(x)
 
