@@ -27,11 +27,11 @@ def normalise_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT doc_id, c, regexp_extract_all(c, {PIECES}) AS p FROM (SELECT doc_id, {_CLEAN} AS c FROM documents))""")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", text.clean_input(F.coalesce("text", F.lit(""))).alias("c"))
-    rows = docs.select("doc_id", "c", text.pieces("c").alias("p"))
-    return rows.select(
-        "doc_id", F.size("p").cast("long").alias("pieces"), F.size(F.filter("p", lambda t: t != " ")).cast("long").alias("tokens"),
-        (F.array_join("p", "") == F.col("c")).alias("lossless"),
-    )
+    counts = text.let(text.pieces("c"), lambda p: F.struct(
+        F.size(p).cast("long").alias("pieces"), F.size(F.filter(p, lambda t: t != " ")).cast("long").alias("tokens"),
+        (F.array_join(p, "") == F.col("c")).alias("lossless"),
+    ))
+    return docs.select("doc_id", counts.alias("x")).select("doc_id", "x.*")
 
 
 @query(f"""SELECT item_id, tok, (e - length(tok))::INT AS "start", (e - 1)::INT AS "end", CASE WHEN length(tok) > 20 THEN tok[:10] ELSE tok END AS shown FROM (
