@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.llm import kernels as K
 from loomgraph.llm.common import written
 
 #: Rows of shared keys up to which they are broadcast; beyond, they join by shuffle.
@@ -47,49 +50,138 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     return found.unionByName(roots)
 
 
+def bitmap_of(df: DataFrame, col: str) -> tuple[np.ndarray, int]:
+    """Marks of the values of ``col`` modulo 2^bits, packed, and bits: about 16 places a value, 8 MB at most."""
+    bits = int(min(26, max(18, np.ceil(np.log2(16 * max(df.count(), 1))))))
+    place = F.pmod(F.col(col), F.lit(1 << bits))
+    packed = (
+        df.select(place.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
+    )
+    return K.bitmap(packed.collect(), bits), bits
+
+
+def likely(df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is among ``wanted_col``, and a few others that share a place.
+
+    The marks have a bounded size, so this never shuffles; an exact join follows.
+    """
+    marks, bits = bitmap_of(wanted, wanted_col)
+    table = df.sparkSession.sparkContext.broadcast(marks)
+    at = df.columns.index(col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, mask = np.unpackbits(table.value).view(bool), (1 << bits) - 1
+        for batch in batches:
+            yield batch.filter(pa.array(own[batch.column(at).to_numpy() & mask]))
+
+    return df.mapInArrow(run, df.schema)
+
+
+#: Hubs that a key may have, each of a share of its nodes by hash.
+HUBS = 8
+#: 64-bit words of a node's parity sketch.
+SKETCH = ("s0", "s1", "s2", "s3")
+
+
+def apart(a: str, b: str) -> Column:
+    """A lower bound of how many members two sets don't share: the bits in which their parity sketches differ."""
+    differ = [F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SKETCH]
+    return differ[0] + differ[1] + differ[2] + differ[3]
+
+
 def cluster(
     keys: DataFrame,
+    sketches: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    star_fits: Column,
+    most_apart: Callable[[Column, Column], Column],
     pair_fits: Callable[[Column, Column, Column, Column], Column],
 ) -> DataFrame:
     """(node, comp) of the components of verified links among nodes that share a key.
 
-    ``keys`` has key, node, n and pos (ints that the filters use). ``verify`` returns the
-    links among pairs (x, y). ``star_fits`` says of n and hub_n whether a node and a hub may
-    link, ``pair_fits`` of (n, pos) and (m, at) whether two nodes of a key may.
+    ``keys`` has key, node, n (the set's size) and pos (the key's place among the node's);
+    ``sketches`` has node and the words of ``SKETCH``: every member of the node's set flips
+    one bit. ``verify`` returns the links among pairs (x, y). ``most_apart`` says of two sizes how many
+    members two linked sets may not share, ``pair_fits`` of (n, pos) and (m, at) whether two nodes
+    of a key may link. Both only rule out what can't be.
 
-    A key's smallest node is its hub. Each node is verified with one hub first, of the
-    hubs of its keys the one it shares most with, and what links is contracted. Only then
-    are candidates listed: those of a key that still lie in different components. So a
-    large group of near copies is a star and not all its pairs, and yet every pair of
-    candidates that could join two components is verified.
+    Each node is verified with one hub first: of the hubs of its keys, the nodes that
+    have least of their own, the one whose sketch is nearest. What links is contracted. Only then
+    are candidates listed: those of a key that still lie in different components and
+    whose sketches don't rule them out (keys of many nodes are starred a second time before). So a large group of near copies is a star and not
+    all its pairs, and yet every pair that could join two components is verified.
     """
-    packed = F.col("n").cast("long") * (1 << 32) + F.col("pos")
-    hubs = written(
-        keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.min_by(packed, "node").alias("hp"))
-        .where("hub <> top").select("key", "hub", F.shiftright("hp", 32).cast("int").alias("hub_n")), "hubs",
-    )
-    few = hubs.count() <= BROADCAST_KEYS
-    shared = written(keys.join(F.broadcast(hubs) if few else hubs, "key"), "shared")
-    tried = (
-        shared.where("node <> hub").where(star_fits).groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"))
-        .groupBy("node").agg(F.max(F.struct("c", "hub")).alias("best"))
-    )
-    links = verify(written(tried.select(F.col("node").alias("x"), F.col("best.hub").alias("y")), "stars"))
-    comps = written(connected(links), "comps")
+    repeated = written(
+        keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "repeated"
+    )
+    narrow = written(likely(keys, "key", repeated, "key").distinct(), "narrow")
+    # A node's rank: how many keys come before its first shared one, so how much of it is its own.
+    own = written(narrow.groupBy("node").agg(F.min("pos").alias("r"), F.first("n").alias("n")).join(sketches, "node"), "nodes")
+    crowded = written(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > HUBS).select("key"), "crowded")
 
-    placed = (
-        shared.select("key", "node", "n", "pos").distinct()
-        .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    )
-    placed = written(placed, "placed")
-    open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    left = written(placed.join(open_, "key"), "open")
-    a, b = left.alias("a"), left.alias("b")
-    apart = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
-    fits = pair_fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
-    more = written(a.join(b, apart & fits).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "pairs")
-    if more.isEmpty():
+    # Keys of few nodes: their pairs, without sketches in the shuffle; those meet the pairs that are left.
+    few = narrow.join(_small(crowded), "key", "left_anti")
+    near = _near_pairs(few, few, F.lit(True), pair_fits).distinct()
+    sketched = lambda end: own.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.struct(*SKETCH).alias(f"s{end}"))
+    both = near.join(_small(sketched("x")), "x").join(_small(sketched("y")), "y")
+    pairs = both.where(apart("sx.", "sy.") <= most_apart(F.col("nx"), F.col("ny"))).select("x", "y")
+
+    # Keys of many nodes: each node with the nearest of their hubs.
+    many = narrow.join(_small(crowded), "key", "left_semi").join(_small(own.drop("n")), "node")
+    many = written(many.withColumn("at", F.struct("r", "node", "n", *SKETCH)).drop("r", *SKETCH), "many")
+    far = apart("at.", "hub.")
+
+    def nearest_hub(rows: DataFrame, turn: int, other: str) -> DataFrame:
+        """Each node with the nearest hub of its keys, as pairs (x, y)."""
+        salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(HUBS))
+        hubs = rows.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("at.*", *rows.columns[4:])).alias("hub")).select("key", "hub")
+        met = rows.join(hubs, "key").where(other).where(far <= most_apart(F.col("at.n"), F.col("hub.n")))
+        best = F.min(F.struct(far.alias("d"), F.col("hub.r").alias("r"), F.col("hub.node").alias("hub")))
+        return met.groupBy("node").agg(best.alias("best")).select(F.col("node").alias("x"), F.col("best.hub").alias("y"))
+
+    stars = nearest_hub(many.select("key", "node", "n", "at"), 0, "at.r > hub.r OR (at.r = hub.r AND at.node > hub.node)")
+    first = pairs.unionByName(stars).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+    comps = written(connected(verify(written(first, "pairs"))), "comps")
+
+    def open_rows(rows: DataFrame) -> DataFrame:
+        """Rows with their components now, of keys whose nodes lie in several."""
+        placed = rows.select("key", "node", "n", "at", "pos").join(_small(comps), "node", "left")
+        placed = written(placed.select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"), "pos"), "placed")
+        open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        return written(placed.join(open_.where("lo <> hi").select("key"), "key"), "open")
+
+    left = open_rows(many)
+    if left.isEmpty():
         return comps
-    return written(connected(links.unionByName(verify(more))), "comps")
+    # A second hub each, in another component, and then the pairs that are left.
+    again = written(nearest_hub(left.select("key", "node", "n", "at", "comp"), 1, "comp <> hub.comp"), "stars")
+    comps = _widened(comps, verify(again))
+    left = open_rows(left)
+    unlike = (F.col("a.comp") != F.col("b.comp")) & (apart("a.at.", "b.at.") <= most_apart(F.col("a.n"), F.col("b.n")))
+    more = written(_near_pairs(left, left, unlike, pair_fits).distinct(), "pairs")
+    return comps if more.isEmpty() else _widened(comps, verify(more))
+
+
+def _near_pairs(left: DataFrame, right: DataFrame, also: Column, pair_fits: Callable) -> DataFrame:
+    """(x, y) of nodes that share a key and may link."""
+    a, b = left.alias("a"), right.alias("b")
+    fits = pair_fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+    on = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & fits & also
+    return a.join(b, on).select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast while it has few enough rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+
+
+def _widened(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` with what ``links`` (x, y) among their nodes join. What they link are components, and few of them."""
+    ends = links
+    for end in ("x", "y"):
+        of = comps.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp"))
+        ends = ends.join(of, end, "left").withColumn(f"{end}_comp", F.coalesce(f"{end}_comp", end))
+    wider = written(connected(ends.select(F.col("x_comp").alias("x"), F.col("y_comp").alias("y"))), "wider")
+    of = wider.select(F.col("node").alias("comp"), F.col("comp").alias("wide"))
+    old = comps.join(of, "comp", "left").select("node", F.coalesce("wide", "comp").alias("comp"))
+    return written(old.unionByName(wider.join(comps, "node", "left_anti")), "comps")

@@ -137,6 +137,14 @@ def distinct(values: np.ndarray, owner: np.ndarray, key: np.ndarray | None = Non
     return v[new], o[new]
 
 
+def parity(values: np.ndarray, owner: np.ndarray, texts: int) -> list[np.ndarray]:
+    """A 256-bit sketch of each owner's distinct values, as four words: every value flips one bit."""
+    bit = (values >> np.uint64(13)).astype(np.int64) & 255
+    odd = np.bincount(owner * 256 + bit, minlength=texts * 256).reshape(texts, 256) & 1
+    words = np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    return [np.ascontiguousarray(words[:, k]) for k in range(4)]
+
+
 def bitmap(rows: list, bits: int) -> np.ndarray:
     """Packed marks for 2^bits places from rows (k, m) of Spark's bitmap_construct_agg."""
     marks = np.zeros(1 << bits, bool)

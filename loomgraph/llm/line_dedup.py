@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
 from loomgraph.llm.common import written
-from loomgraph.llm.components import cluster
+from loomgraph.llm.components import SKETCH, bitmap_of, cluster
 
 #: Characters of a shingle, bands, rows of a band, and the similarity in percent. Lines of similarity
 #: 0.8 share a band with probability 1 - (1 - 0.8^4)^12 = 0.998; of 0.9, 0.99999.
 SHINGLE, BANDS, ROWS, PERCENT = 8, 12, 4, 80
-#: Characters that go through the arrays at once, and hash bits of the bitmap of lines to load.
-BLOCK, LINE_BITS = 1 << 19, 23
+#: Characters that go through the arrays at once.
+BLOCK = 1 << 19
 
 _MULTIPLY = K._rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLACE = K._rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -128,7 +128,7 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 for i, node in enumerate(nodes.tolist()):
                     if node not in seen:
                         fresh.append(i)
-                        if len(seen) < 1 << 20:
+                        if len(seen) < 1 << 18:
                             seen.add(node)
                 for start, chunk in _chunks([lines[i] for i in fresh]):
                     own = nodes[fresh[start : start + len(chunk)]]
@@ -146,9 +146,12 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def linked(pairs: DataFrame) -> DataFrame:
         named = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
         wanted = written(owners.join(named, "node"), "wanted")
-        return written(_verified(pairs, written(_load_lines(docs, wanted), "line-texts"), percent), "verified")
+        return written(_verified(pairs, written(_load_lines(docs, wanted), "line-texts"), percent).distinct(), "verified")
 
-    comps = cluster(keys, linked, F.lit(True), lambda n, pos, m, at: F.lit(True))
+    # Lines that share a band are near already; no sketch rules them out.
+    none = {k: F.lit(0).cast("long") for k in SKETCH}
+    sketches = keys.select("node").distinct().withColumns(none)
+    comps = cluster(keys, sketches, linked, lambda n, m: F.lit(0), lambda n, pos, m, at: F.lit(True))
     placed = lines.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     groups = placed.groupBy("comp").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("group_lines")
@@ -163,15 +166,11 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _load_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, line) of the ``wanted`` (node, doc_id) rows, each line from its owner document.
 
-    A bitmap of fixed size over the nodes' low bits lets only likely lines out of the
+    A bitmap of bounded size over the nodes' low bits lets only likely lines out of the
     tasks; the join on node and owner makes it exact.
     """
-    bit = F.pmod("node", F.lit(1 << LINE_BITS))
-    packed = (
-        wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
-    )
-    table = docs.sparkSession.sparkContext.broadcast(K.bitmap(packed.collect(), LINE_BITS))
+    marks, bits = bitmap_of(wanted, "node")
+    table = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(table.value).view(bool)
@@ -185,7 +184,7 @@ def _load_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         lines.append(line)
                 if lines:
                     nodes = line_id(lines)
-                    keep = np.flatnonzero(marks[nodes & ((1 << LINE_BITS) - 1)])
+                    keep = np.flatnonzero(marks[nodes & ((1 << bits) - 1)])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([ids[i] for i in keep], pa.int64()), pa.array(nodes[keep]), pa.array([lines[i] for i in keep], pa.string())],
                         names=["doc_id", "node", "line"],

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
 from loomgraph.llm.common import written
-from loomgraph.llm.components import cluster
+from loomgraph.llm.components import BROADCAST_KEYS, SKETCH, bitmap_of, cluster
 
 WORDS, PERCENT = 4, 85
-#: Hash bits of the table of word counts, of that of n-gram counts, and of the bitmap of rows to load.
-WORD_BITS, GRAM_BITS, ROW_BITS = 16, 20, 23
+#: Hash bits of the table of word counts and of that of n-gram counts.
+WORD_BITS, GRAM_BITS = 16, 20
 #: N-grams counted together within a task.
 WINDOW = 1 << 21
 
@@ -148,9 +148,9 @@ def rarity(docs: DataFrame, n: int) -> Rarity:
 
 
 def _prefixes(docs: DataFrame, known: Rarity, n: int, percent: int) -> DataFrame:
-    """kind 0: a = doc_id, b = node, n = size; kind 1: a = n-gram, b = node, n = size, pos in the prefix."""
+    """kind 0: a = doc_id, b = node, n = size and its sketch; kind 1: a = n-gram, b = node, n = size, pos in the prefix."""
     table = docs.sparkSession.sparkContext.broadcast(known)  # two tables of fixed size
-    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), *((k, pa.int64()) for k in SKETCH)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r, seen = table.value, set()
@@ -163,13 +163,13 @@ def _prefixes(docs: DataFrame, known: Rarity, n: int, percent: int) -> DataFrame
                 texts = len(upto)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(texts, np.int32)), ids.slice(start, texts).cast(pa.int64()), pa.array(sids, mask=size == 0),
-                     pa.array(size.astype(np.int32)), pa.array(np.zeros(texts, np.int32))], schema=schema,
+                     pa.array(size.astype(np.int32)), pa.array(np.zeros(texts, np.int32)), *map(pa.array, K.parity(values, who, texts))], schema=schema,
                 )
                 fresh = np.zeros(texts, bool)  # copies within a task say the same
                 for i, s in enumerate(sids.tolist()):
                     if s not in seen:
                         fresh[i] = True
-                        if len(seen) < 1 << 20:
+                        if len(seen) < 1 << 18:
                             seen.add(s)
                 take = fresh[owner]
                 values, who = K.distinct(grams[take], owner[take], level[take])
@@ -180,10 +180,10 @@ def _prefixes(docs: DataFrame, known: Rarity, n: int, percent: int) -> DataFrame
                 inside = position < length[who]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(int(inside.sum()), np.int32)), pa.array(values[inside].view(np.int64)), pa.array(sids[who[inside]]),
-                     pa.array(size[who[inside]].astype(np.int32)), pa.array(position[inside].astype(np.int32))], schema=schema,
+                     pa.array(size[who[inside]].astype(np.int32)), pa.array(position[inside].astype(np.int32)), *[pa.nulls(int(inside.sum()), pa.int64())] * 4], schema=schema,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind int, a long, b long, n int, pos int")
+    return docs.select("doc_id", "text").mapInArrow(run, "kind int, a long, b long, n int, pos int, s0 long, s1 long, s2 long, s3 long")
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -198,35 +198,28 @@ def _may_link(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Co
 
 
 def _load_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, grams as sorted 64-bit little-endian bytes) of the ``wanted`` (doc_id, node) rows.
+    """(node, grams as sorted 64-bit little-endian bytes) of the ``wanted`` (doc_id, node) rows, and a few more.
 
-    A bitmap of fixed size over hashed ids skips most other rows before anything is
-    hashed or shuffled; the join on id and node then makes it exact.
+    A bitmap of bounded size over hashed ids skips other rows before anything is hashed;
+    what joins the result must name the node.
     """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << ROW_BITS))
-    packed = (
-        wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
-    )
-    table = docs.sparkSession.sparkContext.broadcast(K.bitmap(packed.collect(), ROW_BITS))
+    marks, bits = bitmap_of(wanted.select(F.xxhash64("doc_id").alias("h")), "h")
+    table = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.unpackbits(table.value).view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(marks[batch.column(2).to_numpy(zero_copy_only=False)]))
+            batch = batch.filter(pa.array(marks[batch.column(0).to_numpy()]))
             for start, _, upto, grams, owner in _sets(batch, n):
                 values, who = K.distinct(grams, owner)
                 size, sids = _signatures(values, who, len(upto))
                 cut = np.concatenate(([0], np.cumsum(size)))
                 raw = values.astype("<u8")
                 blobs = [raw[cut[i] : cut[i + 1]].tobytes() for i in range(len(upto))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(upto)), pa.array(sids), pa.array(blobs, pa.binary())], names=["doc_id", "node", "grams"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(sids), pa.array(blobs, pa.binary())], names=["node", "grams"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    loaded = docs.select("doc_id", "text", bit.alias("bit")).mapInArrow(run, f"doc_id {kind}, node long, grams binary")
-    return loaded.join(wanted, ["doc_id", "node"], "left_semi").select("node", "grams")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("place")
+    return docs.select(place, "text").mapInArrow(run, "node long, grams binary")
 
 
 def _enough(x: np.ndarray, y: np.ndarray, percent: int, depth: int = 3) -> bool:
@@ -246,8 +239,12 @@ def _enough(x: np.ndarray, y: np.ndarray, percent: int, depth: int = 3) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (x, y) of ``pairs`` whose sets are similar enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, percent: int) -> DataFrame:
+    """The (x, y) of ``pairs`` whose sets are similar enough.
+
+    The sets of the x are loaded and go to their pairs without a shuffle while the pairs
+    are few enough to broadcast; they then meet the sets of the y by one shuffle.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,10 +254,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    one = sets.select(F.col("node").alias("y"), F.col("grams").alias("gy"))
-    two = sets.select(F.col("node").alias("x"), F.col("grams").alias("gx"))
-    both = pairs.join(one, "y").join(two, "x").select("x", "y", "gx", "gy")
-    return both.mapInArrow(run, "x long, y long")
+    few = pairs.count() <= BROADCAST_KEYS
+
+    def side(end: str) -> DataFrame:
+        named = pairs.select(F.col(end).alias("node")).distinct()
+        wanted = written(owners.join(F.broadcast(named) if few else named, "node").select("doc_id", "node"), "wanted")
+        return _load_sets(docs, wanted, n).select(F.col("node").alias(end), F.col("grams").alias(f"g{end}"))
+
+    ys = side("y")
+    if few:
+        ys = ys.join(F.broadcast(pairs.select("y").distinct()), "y", "left_semi")
+    both = side("x").join(F.broadcast(pairs) if few else pairs, "x").join(ys, "y")
+    return both.select("x", "y", "gx", "gy").mapInArrow(run, "x long, y long")
 
 
 def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -279,17 +284,17 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
     tokens = emitted.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "n", "pos")
 
-    owners = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    owners = written(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "owners")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        named = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
-        wanted = written(owners.join(named, "node").select("doc_id", "node"), "wanted")
-        return written(_verified(pairs, written(_load_sets(docs, wanted, words), "sets"), percent), "verified")
+        return written(_verified(pairs, docs, owners, words, percent).distinct(), "verified")
 
+    sketches = emitted.where("kind = 0 and b is not null").select(F.col("b").alias("node"), *SKETCH).dropDuplicates(["node"])
     comps = cluster(
         tokens,
+        sketches,
         linked,
-        100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"),
+        lambda n, m: F.when(100 * F.least(n, m) >= percent * F.greatest(n, m), n + m - 2 * _needed(n, m, percent)).otherwise(-1),
         lambda n, pos, m, at: _may_link(n, pos, m, at, percent),
     )
     of = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
