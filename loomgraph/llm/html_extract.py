@@ -18,14 +18,17 @@ from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import written
 from loomgraph.llm.url_filter import host_of
 
-#: Pages of a host that its wrapper is inferred from, at most: the least hash in each of as many buckets.
-PAGES = 8
+#: Hosts whose partial wrappers a task holds at once, and the shares in which a host's partial wrappers are merged first.
+HOSTS, SHARES = 256, 16
+#: Neighbours beyond which those with the same key become one repeated part.
+WIDE = 64
 #: Bytes of all wrappers up to which they are broadcast; beyond, they join by shuffle.
 BROADCAST = 16 << 20
 
@@ -185,13 +188,26 @@ def align(a: list, b: list, inside: bool = False) -> list:
     """Both lists in order: what matches is merged, what only one has stays with its own count (optional)."""
     if not a or not b:
         return a or b
+    one, two = [p[KEY] for p in a], [p[KEY] for p in b]
+    if one == two:
+        return [merge(x, y, inside=inside) for x, y in zip(a, b)]
     out: list = []
-    for what, i, j, k, n in SequenceMatcher(None, [p[KEY] for p in a], [p[KEY] for p in b], autojunk=False).get_opcodes():
+    for what, i, j, k, n in SequenceMatcher(None, one, two, autojunk=False).get_opcodes():
         if what == "equal":
             out += [merge(x, y, inside=inside) for x, y in zip(a[i:j], b[k:n])]
         else:
             out += a[i:j] + b[k:n]
-    return fold(out)
+    out = fold(out)
+    return out if len(out) <= WIDE else gather(out)
+
+
+def gather(parts: list) -> list:
+    """One repeated part for all of a key, at the first's place; so a wrapper is bounded by its keys, not its pages."""
+    found: dict[str, list] = {}
+    for part in parts:
+        key = part[KEY]
+        found[key] = merge(found[key], part, True) if key in found else part
+    return list(found.values())
 
 
 def pattern(part: list, pages: int | None = None) -> str:
@@ -212,9 +228,11 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
     with an article and most of the page's words); else the innermost part with four fifths of the words that are neither
     off nor in links. A text is the template's own if it is all of a block that isn't a
     paragraph, heading, list item or cell, and four pages or more agree on it while other
-    texts of the article differ.
+    texts of the article differ. Articles of the host's other layouts (elsewhere, neither around
+    this one nor inside it) add theirs.
     """
     best: dict[str, tuple[int, list[str], list]] = {}
+    places: list[tuple[list[str], list]] = []
 
     def good(part: list) -> int:
         """Words of a part that may be the article's."""
@@ -227,8 +245,10 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
             return
         here = [*path, part[KEY]]
         kind = part[KEY].split(".")[0]
-        if kind in ("article", "main") and (n := good(part)) > best.get(kind, (0,))[0]:
-            best[kind] = (n, here, part)
+        if kind in ("article", "main"):
+            places.append((here, part))
+            if (n := good(part)) > best.get(kind, (0,))[0]:
+                best[kind] = (n, here, part)
         for p in part[PARTS]:
             walk(p, here)
 
@@ -244,6 +264,7 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
             part = inner[0]
             path.append(part[KEY])
     own: list[int] = []
+    found: list[int] = []
     differ = False
 
     def texts(p: list) -> None:
@@ -252,12 +273,15 @@ def locate(wrapper: list) -> tuple[list[str], list[int]]:
         if len(p[PARTS]) == 1 and p[KEY].split(".")[0] in BLOCK - WRITTEN and not p[REPEATED]:
             (only,) = p[PARTS]
             if only[KEY] == "#" and only[TEXT] is not None and only[SEEN] >= 4 and not only[REPEATED]:
-                own.append(only[TEXT])
+                found.append(only[TEXT])
         for x in p[PARTS]:
             texts(x)
 
-    texts(part)
-    return path, own if differ else []
+    for here, other in [(path, part), *(x for x in places if x[0][: len(path)] != path[: len(x[0])])]:
+        found, differ = [], False
+        texts(other)
+        own += found if differ else []
+    return path, list(dict.fromkeys(own))
 
 
 def holds(part: list) -> bool:
@@ -341,7 +365,6 @@ def extract(page: str | None, path: list[str], own: set[int]) -> str:
     if node is None:
         path, _ = locate(skeleton(root))
         node = _find(root, path) if path else None
-        own = set()
     return text_of(node, own) if node is not None else ""
 
 
@@ -354,16 +377,38 @@ def infer(skeletons: list[list]) -> list:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, path, own and pattern: one wrapper per host.
+    """host, path, own and pattern: one wrapper per host, from all of its pages.
 
-    A host's pages fall into ``PAGES`` buckets by hash; the page of least hash in each
-    is chosen by a partial aggregation, so a hot host is ``PAGES`` rows a task. Only
-    folded expressions are shuffled, never pages.
+    A task merges the folded expressions of each host's pages as it reads them; what is
+    shuffled are these partial wrappers, never pages. They are merged in ``SHARES`` by the
+    task first, so that a hot host's don't all meet in one, and then by host.
     """
+
     def outline(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, list] = {}
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(list(held), pa.string()), pa.array([share] * len(held), pa.int32())]
+            texts = [json.dumps(w, separators=(",", ":")) for w in held.values()]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=["host", "share", "outline"])
+
+        share = TaskContext.get().partitionId() % SHARES
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    one = skeleton(tree(page or ""))
+                    held[host] = merge(held[host], one) if host in held else one
+                    if len(held) >= HOSTS:
+                        yield out()
+                        held.clear()
+        if held:
+            yield out()
+
+    def together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [json.dumps(skeleton(tree(p or "")), separators=(",", ":")) for p in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["host", "draw", "outline"])
+            texts = [json.dumps(infer([json.loads(o) for o in sorted(outlines)]), separators=(",", ":")) for outlines in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["host", "outline"])
 
     def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -376,10 +421,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
             types = (pa.list_(pa.string()), pa.list_(pa.int64()), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, rows, types)], names=["host", "path", "own", "pattern"])
 
-    drawn = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("draw"), "html")
-    outlined = drawn.mapInArrow(outline, "host string, draw long, outline string")
-    chosen = outlined.groupBy("host", F.pmod("draw", F.lit(PAGES)).alias("b")).agg(F.min_by("outline", "draw").alias("outline"))
-    gathered = chosen.groupBy("host").agg(F.collect_list("outline").alias("outlines"))  # PAGES of each host at most
+    outlined = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(outline, "host string, share int, outline string")
+    shared = outlined.groupBy("host", "share").agg(F.collect_list("outline").alias("outlines")).select("host", "outlines")
+    partial = shared.mapInArrow(together, "host string, outline string")
+    gathered = partial.groupBy("host").agg(F.collect_list("outline").alias("outlines"))  # SHARES of each host at most
     return gathered.mapInArrow(joined, "host string, path array<string>, own array<long>, pattern string")
 
 

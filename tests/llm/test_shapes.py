@@ -152,3 +152,23 @@ def test_html(spark, none):
 def test_wrappers_align_repeats_and_options():
     one, two = (html_extract.skeleton(html_extract.tree(t)) for t in ("<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><hr><p>y"))
     assert html_extract.pattern(html_extract.infer([one, two])) == "#root(ul(li(#)+) hr? p(#))"
+
+
+def test_every_page_of_a_host_counts(spark):
+    """Notices of layouts that few of a host's pages have are the template's own, wherever their article lies."""
+    body = lambda i: f"<h1>n{i} head</h1>" + f"<p>text{i} of page {i}</p>" * (1 + i % 3)
+    pages = [(i, f"<body><article>{body(i)}</article></body>") for i in range(200)]
+    pages += [(200 + i, f"<body><article>{body(i)}<div>Rare layout, read on</div></article></body>") for i in range(5)]
+    pages += [(300 + i, f"<body><div class=wrap><article class=post><div>Other layout, read on</div>{body(i)}</article></div></body>") for i in range(5)]
+    df = spark.createDataFrame([(i, f"http://hot.com/{i}", h) for i, h in pages], "page_id long, url string, html string").repartition(7)
+    got = {r["page_id"]: r["text"] for r in html_extract.main_text(df).collect()}
+    for i, _ in pages:
+        k = i if i < 200 else i % 100
+        assert got[i] == " ".join([f"n{k} head", *[f"text{k} of page {k}"] * (1 + k % 3)]), i
+
+
+def test_wrappers_are_bounded_by_their_keys():
+    many = [html_extract.skeleton(html_extract.tree("".join(f"<{t}>x{i}</{t}>" for t in np.random.default_rng(i).choice(["p", "h2", "pre", "ul", "table"], 40)))) for i in range(60)]
+    wrapper = html_extract.infer(many)
+    assert len(wrapper[html_extract.PARTS]) <= html_extract.WIDE and wrapper[html_extract.SEEN] == 60
+    assert wrapper[html_extract.WORDS] == sum(m[html_extract.WORDS] for m in many)
