@@ -150,6 +150,6 @@ def bitmap(rows: list, bits: int) -> np.ndarray:
     marks = np.zeros(1 << bits, bool)
     for row in rows:
         own = np.unpackbits(np.frombuffer(bytes(row["m"]), np.uint8), bitorder="little")
-        # Spark counts bucket k's positions from 32768 (k - 1) + 1 on; place 0 is the last of bucket 0.
-        marks[((row["k"] - 1) * len(own) + 1 + np.flatnonzero(own)) % (1 << bits)] = True
+        # Spark counts bucket k's positions from 32768 (k - 1) + 1 on; bucket 0 has only place 0, at position 0.
+        marks[np.flatnonzero(own) + ((row["k"] - 1) * len(own) + 1 if row["k"] else 0)] = True
     return np.packbits(marks)

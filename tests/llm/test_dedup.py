@@ -2,9 +2,10 @@ import hashlib
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from loomgraph.llm import exact_dedup, line_dedup, near_join
+from loomgraph.llm import components, exact_dedup, line_dedup, near_join
 
 
 def lower(t):
@@ -89,3 +90,12 @@ def test_line_groups(spark, none):
     kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_near_lines(docs).collect()}
     assert kept[0] == base + "\nshort\n" and kept[1] == texts[1].split("\n")[1] and kept[2] == "" and kept[3] is None
     assert line_dedup.line_groups(none).count() == 0
+
+
+def test_bitmap_marks_every_place(spark):
+    """A value of 0 modulo 2^bits passes like any other."""
+    for values in ([0], [0, 1, 32768, 32769, -1], [5 << 26], [3]):
+        df = spark.createDataFrame([(v,) for v in values], "h long")
+        marks, bits = components.bitmap_of(df, "h")
+        assert np.flatnonzero(np.unpackbits(marks)).tolist() == sorted({v % (1 << bits) for v in values})
+        assert components.likely(df, "h", df, "h").count() == len(values)
