@@ -113,7 +113,7 @@ def shingles(words: np.ndarray, upto: np.ndarray, n: int) -> tuple[np.ndarray, n
     size = np.diff(upto, prepend=0)
     first = upto - size
     rolled = np.zeros(len(words), np.uint64)
-    for k in range(n):
+    for k in range(min(n, len(words))):
         rolled[: len(words) - k] += words[k:] * _odd(k)
     text = np.repeat(np.arange(len(upto)), size)
     inside = np.arange(len(words)) + n <= upto[text]

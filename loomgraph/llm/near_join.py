@@ -52,7 +52,7 @@ def _expected(log_words: np.ndarray, total: float, words: np.ndarray, upto: np.n
     own = log_words[(words >> np.uint64(64 - WORD_BITS)).astype(np.int64)] - np.float32(total)
     size = np.diff(upto, prepend=0)
     rolled = np.full(len(words), total, np.float32)
-    for k in range(n):
+    for k in range(min(n, len(words))):
         rolled[: len(words) - k] += own[k:]
     text = np.repeat(np.arange(len(upto)), size)
     inside = np.arange(len(words)) + n <= upto[text]

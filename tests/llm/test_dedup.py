@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from loomgraph.llm import components, exact_dedup, line_dedup, near_join
+from loomgraph.llm import kernels as K
 
 
 def lower(t):
@@ -99,3 +100,14 @@ def test_bitmap_marks_every_place(spark):
         marks, bits = components.bitmap_of(df, "h")
         assert np.flatnonzero(np.unpackbits(marks)).tolist() == sorted({v % (1 << bits) for v in values})
         assert components.likely(df, "h", df, "h").count() == len(values)
+
+
+@pytest.mark.parametrize("n", [4, 5])
+def test_few_words_alone(spark, n):
+    """A table, and so a run of texts, of a single document of fewer words than a shingle."""
+    for k in range(1, n + 1):
+        texts = [" ".join("abcde"[:k])]
+        words, upto = K.word_hashes(np.frombuffer(texts[0].encode() + b" ", np.uint8), np.array([len(texts[0]) + 1]))
+        assert len(K.shingles(words, upto, n)[0]) == len(near_join._expected(np.zeros(1 << near_join.WORD_BITS, np.float32), 0.0, words, upto, n)) == 1
+    docs = spark.createDataFrame([(7, "two words")], "doc_id long, text string")
+    assert [tuple(r) for r in near_join.near_components(docs, n).collect()] == [(7, 1, 7, 1)]
