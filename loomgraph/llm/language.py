@@ -191,9 +191,10 @@ def viterbi(s: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 def label_texts(words: Words, s: np.ndarray, texts: int, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray]:
     """The language number of every word, and each text's first word.
 
-    Where no other language beats a text's best one by ``switch`` over any run of words,
-    the best path can't gain by changing, so it is that one language; all texts are
-    tested for this at once and only the rest walk word by word.
+    Where no other language beats a text's best one by half of ``switch`` over any run of
+    words, the best path can't gain by changing, so it is that one language: k runs of others
+    cost k - 1 switches at least (two runs that fill the text one), and one alone that fills
+    it gains nothing. All texts are tested for this at once and only the rest walk word by word.
     """
     first = np.searchsorted(words.text_of, np.arange(texts + 1))
     label = np.zeros(len(s), np.int16)
@@ -215,7 +216,7 @@ def label_texts(words: Words, s: np.ndarray, texts: int, switch: float = SWITCH)
     low = np.minimum.accumulate(np.minimum(own - lead, own) - (number * high)[:, None], axis=0) + (number * high)[:, None]
     gain = np.maximum.reduceat((own - low).max(axis=1), first[some])
     label[:] = spread
-    for i in np.flatnonzero(gain >= switch * 0.999):
+    for i in np.flatnonzero(gain >= switch / 2 * 0.999):
         a, b = first[some[i]], first[some[i] + 1]
         label[a:b] = viterbi(s[a:b].astype(np.float64), switch)
     return label, first

@@ -43,6 +43,13 @@ def test_labels_are_the_best_path():
                 assert abs(value(label[first[i] : first[i + 1]]) - value(language.viterbi(own, 6.0))) < 1e-9
 
 
+def test_two_runs_pay_together():
+    """Two adjacent runs cost one switch: neither gains it alone, both together do."""
+    s = np.array([[0, -8, -3.9], [0, -8, -3.9], [-8, 0, -3.9], [-8, 0, -3.9]])
+    label, _ = language.label_texts(language.Words(None, None, None, np.zeros(4, int), None), s, 1)
+    assert label.tolist() == [0, 0, 1, 1]
+
+
 def test_quality(spark, none):
     rng = random.Random(3)
     rows, grades = [], []
