@@ -14,7 +14,7 @@ from loomgraph.llm.common import table, written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a word in the script of a learned language; those without a letter go."""
+    """Documents in a learned language; those without a letter or mostly in words that none of them reads go."""
     return language.keep_known_language(docs)
 
 

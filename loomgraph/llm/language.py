@@ -156,16 +156,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(languages, logp, scripts >= 0.01 * np.maximum(scripts.sum(axis=0), 1))
 
 
-def word_scores(words: Words, model: Model) -> np.ndarray:
-    """Per word and language, the log-likelihood below the best candidate's, at most ``WORD_CAP``.
+def likelihoods(words: Words, model: Model) -> np.ndarray:
+    """Per word and language, the log-likelihood; minus infinity where the language's learned text
+    doesn't use the word's script."""
+    s = np.add.reduceat(model.logp[words.grams], words.word_at, axis=0)
+    return np.where(model.allowed[words.script], s, -np.inf)
 
-    A language whose learned text doesn't use the word's script is no candidate; a word
-    in a script that no language uses tells nothing.
+
+def word_scores(s: np.ndarray) -> np.ndarray:
+    """The ``likelihoods`` below the best candidate's, at most ``WORD_CAP``.
+
+    A word in a script that no language uses tells nothing.
     """
-    per_gram = model.logp[words.grams]
-    s = np.add.reduceat(per_gram, words.word_at, axis=0)
-    ok = model.allowed[words.script]
-    s = np.where(ok, s, -np.inf)
     best = s.max(axis=1, keepdims=True)
     return np.where(np.isfinite(best), np.maximum(s - np.where(np.isfinite(best), best, 0), -WORD_CAP), 0.0)
 
@@ -235,6 +237,28 @@ def _batches(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
         yield start, run
 
 
+def _labelled(texts: list[str], m: Model, switch: float = SWITCH) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words, their labels on the best path, each text's first word, and per text the language number
+    of most letters (that behind the last: und), its share of letters, and the share of letters in words
+    that some learned language reads.
+
+    A language reads a word of a script that it uses if the word's n-grams are at least as likely under
+    it as under no knowledge at all, all hash values being equal.
+    """
+    words = words_of(texts)
+    n, k = len(texts), len(m.languages)
+    if not len(words.word_at) or not k:
+        return words, np.zeros(len(words.word_at), np.int16), np.zeros(n + 1, np.int64), np.full(n, k), np.zeros(n), np.zeros(n)
+    s = likelihoods(words, m)
+    label, first = label_texts(words, word_scores(s), n, switch)
+    share = np.bincount(words.text_of * k + label, words.letters, n * k).reshape(n, k)
+    letters = share.sum(axis=1)
+    pred = np.where(letters > 0, share.argmax(axis=1), k)
+    score = np.where(letters > 0, share.max(axis=1) / np.maximum(letters, 1), 0.0)
+    reads = s.max(axis=1) >= -words.letters * (BITS * np.log(2) + 1e-3)
+    return words, label, first, pred, score, np.bincount(words.text_of, words.letters * reads, n) / np.maximum(letters, 1)
+
+
 def identify(docs: DataFrame, model: Model, switch: float = SWITCH, spans: bool = False) -> DataFrame:
     """doc_id, lang_pred, score, known and with ``spans`` the labelled spans of every whole text.
 
@@ -258,21 +282,11 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, spans: bool
         for batch in batches:
             keys = batch.column(0)
             for start, texts in _batches(batch.column(1).to_pylist()):
-                words = words_of(texts)
-                n, k = len(texts), len(m.languages)
-                if not len(words.word_at) or not k:
-                    pred, score, known = np.full(n, k), np.zeros(n), np.zeros(n, bool)
-                    parts: list = [[] for _ in range(n)]
-                else:
-                    s = word_scores(words, m)
-                    label, first = label_texts(words, s, n, switch)
-                    share = np.bincount(words.text_of * k + label, words.letters, n * k).reshape(n, k)
-                    letters = share.sum(axis=1)
-                    pred = np.where(letters > 0, share.argmax(axis=1), k)
-                    score = np.where(letters > 0, share.max(axis=1) / np.maximum(letters, 1), 0.0)
-                    able = m.allowed[words.script].any(axis=1)
-                    known = np.bincount(words.text_of, able, n) > 0
-                    parts = [_spans(label[first[i] : first[i + 1]], m.languages) for i in range(n)] if spans else []
+                n = len(texts)
+                words, label, first, pred, score, _ = _labelled(texts, m, switch)
+                able = m.allowed[words.script].any(axis=1)
+                known = np.bincount(words.text_of, able, n) > 0
+                parts = [_spans(label[first[i] : first[i + 1]], m.languages) for i in range(n)] if spans else []
                 columns = [keys.slice(start, n), pa.array(names[pred], pa.string()), pa.array(score), pa.array(known)]
                 if spans:
                     columns.append(pa.array(parts, schema.field("spans").type))
@@ -289,9 +303,11 @@ def _spans(label: np.ndarray, languages: list[str]) -> list[dict]:
 
 
 def keep_known_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs`` with some word in a learned language's script, as they are.
+    """The rows of ``docs`` in a learned language, as they are.
 
-    Texts that are null, have no letter, or no word in any learned script go.
+    Every whole text is labelled as by ``identify``. It goes if it is ``und`` (null, or no
+    letter), or if the larger share of its letters lies in words that no learned language
+    reads: in other scripts, or less likely under each of them than under no knowledge.
     """
     m = model or fit(docs)
     table = docs.sparkSession.sparkContext.broadcast(m)
@@ -301,10 +317,8 @@ def keep_known_language(docs: DataFrame, model: Model | None = None) -> DataFram
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for start, texts in _batches(batch.column(batch.schema.get_field_index("text")).to_pylist()):
-                words = words_of(texts)
-                if len(words.word_at) and m.languages:
-                    able = m.allowed[words.script].any(axis=1)
-                    keep[start : start + len(texts)] = np.bincount(words.text_of, able, len(texts)) > 0
+                *_, pred, _, read = _labelled(texts, m)
+                keep[start : start + len(texts)] = (pred < len(m.languages)) & (read >= 0.5)
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -28,6 +28,19 @@ def test_language(spark, none):
     assert language.identify(none, language.fit(none)).count() == 0
 
 
+def test_only_learned_languages_stay(spark):
+    """A word of a learned script doesn't save a text in another, nor do letters that spell nothing."""
+    rng = random.Random(4)
+    noise = " ".join("".join(rng.choices("bcdfgjkpqvwxyz", k=7)) for _ in range(60))
+    cyrillic = "\u043f\u0440\u0438\u0432\u0435\u0442 " * 500
+    gone = {800: "\u4f60\u597d" * 2000 + " the", 801: cyrillic + "with http that", 802: noise, 803: noise + " " + " ".join(EN)}
+    stay = {810: "the \u4f60\u597d of", 811: " ".join(EN * 4) + " " + noise[:80], 812: " ".join(x for pair in zip(EN, FR) for x in pair)}
+    rows = texts(240) + [(i, t, None) for i, t in {**gone, **stay}.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language.keep_known_language(docs).collect()}
+    assert kept == {i for i, _, _ in rows} - gone.keys()
+
+
 def test_labels_are_the_best_path():
     """The test for one language a text gives what a walk of every text gives."""
     rng = np.random.default_rng(2)
