@@ -45,12 +45,14 @@ def peaks(samples: np.ndarray, block: int = 4096) -> tuple[np.ndarray, np.ndarra
     """Frame numbers and frequency bins of the spectral peaks, by frame and then bin.
 
     A frame's strongest bin in each band counts if it exceeds the frame's mean over all
-    bins. The short-time transform goes ``block`` frames at a time, so memory is bounded
+    bins. Silence is added up to a whole number of hops, one frame at least, so that every
+    sample lies in a frame. The short-time transform goes ``block`` frames at a time, so memory is bounded
     however long the samples are.
     """
     x = samples.astype(np.float32) - 128.0
-    if len(x) < FRAME:
-        x = np.pad(x, (0, FRAME - len(x)))
+    whole = max(FRAME, -(-len(x) // HOP) * HOP)
+    if len(x) < whole:
+        x = np.pad(x, (0, whole - len(x)))
     count = 1 + (len(x) - FRAME) // HOP
     window = np.hanning(FRAME).astype(np.float32)
     frames = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]

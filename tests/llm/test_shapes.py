@@ -34,6 +34,16 @@ def test_tone_has_its_peak():
     assert (np.bincount(f).argmax() == 20) and (f == 20).sum() == t.max() + 1
 
 
+@pytest.mark.parametrize("size", [64, 256, 320, 384, 448, 1344])
+def test_the_end_counts(size):
+    """Samples that differ only in their last 64 give other peaks, whatever their number."""
+    rng = np.random.default_rng(size)
+    x = rng.integers(32, 127, size).astype(np.uint8)
+    y = np.append(x[:-64], 128 + 100 * np.sin(2 * np.pi * np.arange(64) / 8)).astype(np.uint8)
+    (t, f), (u, g) = media.peaks(x), media.peaks(y)
+    assert (len(t), *t, *f) != (len(u), *u, *g)
+
+
 def test_encoder_is_the_tokenizer(odd):
     public = pytest.importorskip("public_tokenizers")
     e = packing.Encoder(public.path(packing.VOCABULARY))
