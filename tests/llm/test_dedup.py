@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -111,3 +112,16 @@ def test_few_words_alone(spark, n):
         assert len(K.shingles(words, upto, n)[0]) == len(near_join._expected(np.zeros(1 << near_join.WORD_BITS, np.float32), 0.0, words, upto, n)) == 1
     docs = spark.createDataFrame([(7, "two words")], "doc_id long, text string")
     assert [tuple(r) for r in near_join.near_components(docs, n).collect()] == [(7, 1, 7, 1)]
+
+
+def test_one_changed_character_of_a_short_line(spark):
+    """Lines of 30 to 100 characters that differ by one inner character are one group, unlike lines are not."""
+    rng = random.Random(9)
+    rows = []
+    for k, size in enumerate(range(30, 101, 5)):
+        line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=size - 2))
+        line = "x" + " ".join(line.split()).ljust(size - 2, "q") + "x"
+        rows += [(10 * k, line), (10 * k + 1, line[: size // 2] + "7" + line[size // 2 + 1 :])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["keep_doc_id"], r["group_lines"]) for r in line_dedup.line_groups(docs).collect()}
+    assert got == {i: (i - i % 10, 2) for i, _ in rows}
