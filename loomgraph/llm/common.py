@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from spark.checkpoint.dir.
 
-    Where the session has none (tests on one machine), a folder is made and set.
+    Where a session on one machine has none (tests), a folder is made and set; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
         set_one = spark.sparkContext._jsc.sc().getCheckpointDir()
         there = set_one.get() if set_one.isDefined() else None
     if not there:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         there = os.path.join(tempfile.gettempdir(), "loomgraph-shared")
         spark.sparkContext.setCheckpointDir(there)
     return there
@@ -39,11 +44,58 @@ def written(df: DataFrame, label: str, *by: str) -> DataFrame:
     This cuts lineage: a lost executor costs a re-read, not a re-run. The table's
     name is unique to the call, so concurrent runs don't meet.
     """
+    return _written(df, label, by)[0]
+
+
+def _written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loom-{label}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*by) if by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing will read again."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+class Scratch:
+    """Written tables of one computation, and broadcasts, let go at its end or before.
+
+    What a computation returns must read none of them: it is written outside.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.sent = spark, {}, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths.values():
+            removed(self.spark, path)
+        for value in self.sent:
+            value.unpersist()
+
+    def written(self, df: DataFrame, label: str, *by: str) -> DataFrame:
+        out, path = _written(df, label, by)
+        self.paths[id(out)] = path
+        self.sent, free = [], self.sent  # what was sent for this table's making isn't needed again
+        for value in free:
+            value.unpersist()
+        return out
+
+    def broadcast(self, value: object) -> Broadcast:
+        """``value`` for all executors, until the next table is written."""
+        self.sent.append(self.spark.sparkContext.broadcast(value))
+        return self.sent[-1]
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            if path := self.paths.pop(id(table), None):
+                removed(self.spark, path)
 
 
 def lower_ascii(col: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -10,44 +11,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
-from loomgraph.llm.common import written
+from loomgraph.llm.common import Scratch, written
 
-#: Rows of shared keys up to which they are broadcast; beyond, they join by shuffle.
-BROADCAST_KEYS = 500_000
+#: Nodes of a key up to which all its pairs are listed at once, and hubs of a larger key in a round.
+FEW, HUBS = 8, 8
+#: A node's first keys that tell whether two nodes have met under an earlier one.
+FIRST = 16
+#: Rounds of hubs before the pairs that are left are listed.
+ROUNDS = 2
 
 
-def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame, keep: Scratch | None = None) -> DataFrame:
     """``links`` (x, y) as undirected: node and comp, the smallest node reachable, for all nodes with links.
 
     Each round ties every node's larger neighbours to its smallest (large star), then a
     node and its smaller neighbours to the smallest (small star); it ends when nothing
     changes, after about log2 of the longest path rounds. A hub is one row of a partial
-    aggregation and a skewed join's key, never a list. Every round is a written table.
+    aggregation and a skewed join's key, never a list. Every round is a written table;
+    the last is let go with ``keep``, if given.
     """
-    edges = written(
-        links.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "links"
-    )
-    before = None
-    for _ in range(rounds):
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(
-            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
-        )).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        edges = written(small, "links")
-        # Sums of hashes tell two edge sets apart without joining them.
-        now = edges.agg(
-            F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(xxhash64(v, u) % 1000003)")
-        ).first()
-        if now == before or now[0] == 0:
-            break
-        before = now
-    found = edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp")
-    roots = found.select(F.col("comp").alias("node"), "comp").distinct()
-    return found.unionByName(roots)
+    with Scratch(links.sparkSession) as scratch:
+        edges = scratch.written(
+            links.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "links"
+        )
+        before = None
+        while True:
+            both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large = large.where("u <> v").distinct()
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u").select(F.explode(F.array(
+                F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
+            )).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+            old, edges = edges, scratch.written(small, "links")
+            scratch.drop(old)
+            # Sums of hashes tell two edge sets apart without joining them.
+            now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(xxhash64(v, u) % 1000003)")).first()
+            if now == before or now[0] == 0:
+                break
+            before = now
+        found = edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp")
+        roots = found.select(F.col("comp").alias("node"), "comp").distinct()
+        return (keep.written if keep else written)(found.unionByName(roots), "comps")
 
 
 def bitmap_of(df: DataFrame, col: str) -> tuple[np.ndarray, int]:
@@ -61,127 +67,150 @@ def bitmap_of(df: DataFrame, col: str) -> tuple[np.ndarray, int]:
     return K.bitmap(packed.collect(), bits), bits
 
 
-def likely(df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+def likely(scratch: Scratch, df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
     """The rows of ``df`` whose ``col`` is among ``wanted_col``, and a few others that share a place.
 
     The marks have a bounded size, so this never shuffles; an exact join follows.
     """
     marks, bits = bitmap_of(wanted, wanted_col)
-    table = df.sparkSession.sparkContext.broadcast(marks)
+    table = scratch.broadcast(marks)
     at = df.columns.index(col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, mask = np.unpackbits(table.value).view(bool), (1 << bits) - 1
         for batch in batches:
-            yield batch.filter(pa.array(own[batch.column(at).to_numpy() & mask]))
+            yield batch.filter(pa.array(K.marked(table.value, batch.column(at).to_numpy() & ((1 << bits) - 1))))
 
     return df.mapInArrow(run, df.schema)
 
 
-#: Hubs that a key may have, each of a share of its nodes by hash.
-HUBS = 8
-#: 64-bit words of a node's parity sketch.
-SKETCH = ("s0", "s1", "s2", "s3")
-
-
-def apart(a: str, b: str) -> Column:
+def apart(a: Column, b: Column, words: int) -> Column:
     """A lower bound of how many members two sets don't share: the bits in which their parity sketches differ."""
-    differ = [F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SKETCH]
-    return differ[0] + differ[1] + differ[2] + differ[3]
+    return reduce(lambda x, y: x + y, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)])
 
 
 def cluster(
     keys: DataFrame,
-    sketches: DataFrame,
+    sketched: Callable[[DataFrame], DataFrame],
+    words: int,
     verify: Callable[[DataFrame], DataFrame],
     most_apart: Callable[[Column, Column], Column],
-    pair_fits: Callable[[Column, Column, Column, Column], Column],
+    pair_fits: Callable[[Column, Column, Column], Column],
 ) -> DataFrame:
     """(node, comp) of the components of verified links among nodes that share a key.
 
-    ``keys`` has key, node, n (the set's size) and pos (the key's place among the node's);
-    ``sketches`` has node and the words of ``SKETCH``: every member of the node's set flips
-    one bit. ``verify`` returns the links among pairs (x, y). ``most_apart`` says of two sizes how many
-    members two linked sets may not share, ``pair_fits`` of (n, pos) and (m, at) whether two nodes
-    of a key may link. Both only rule out what can't be.
-
-    Each node is verified with one hub first: of the hubs of its keys, the nodes that
-    have least of their own, the one whose sketch is nearest. What links is contracted. Only then
-    are candidates listed: those of a key that still lie in different components and
-    whose sketches don't rule them out (keys of many nodes are starred a second time before). So a large group of near copies is a star and not
-    all its pairs, and yet every pair that could join two components is verified.
+    ``keys`` has key, node, n (the set's size) and pos (the key's place among the node's, which
+    all nodes order alike). ``sketched`` gives of nodes, or of more, a parity sketch of ``words`` 64-bit words:
+    every member of the node's set flips one bit. ``verify`` returns the links among pairs (x, y).
+    ``most_apart`` says of two sizes how many members two linked sets may not share.
+    ``pair_fits`` says of the smaller and the larger size and of the room (the lesser of n - pos)
+    whether two nodes of a key may link. Both only rule out what can't be.
+
+    A key that two rows have is its own pair, seen in the one aggregation over all rows.
+    Of keys with up to ``FEW`` nodes all pairs are listed. Each node of larger keys is verified
+    with one hub first: of the hubs of its keys, the nodes that have least of their own and
+    share most, the one whose sketch is nearest. What links is contracted, round by round. Only then
+    are the pairs of a key listed that still lie in different components and
+    whose sketches don't rule them out, under the first key that both have. So a large group of near
+    copies is a star and not all its pairs, every pair that could join two components is
+    verified, and none a second time.
     """
-    repeated = written(
-        keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "repeated"
-    )
-    narrow = written(likely(keys, "key", repeated, "key").distinct(), "narrow")
-    # A node's rank: how many keys come before its first shared one, so how much of it is its own.
-    own = written(narrow.groupBy("node").agg(F.min("pos").alias("r"), F.first("n").alias("n")).join(sketches, "node"), "nodes")
-    crowded = written(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > HUBS).select("key"), "crowded")
-
-    # Keys of few nodes: their pairs, without sketches in the shuffle; those meet the pairs that are left.
-    few = narrow.join(_small(crowded), "key", "left_anti")
-    near = _near_pairs(few, few, F.lit(True), pair_fits).distinct()
-    sketched = lambda end: own.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.struct(*SKETCH).alias(f"s{end}"))
-    both = near.join(_small(sketched("x")), "x").join(_small(sketched("y")), "y")
-    pairs = both.where(apart("sx.", "sy.") <= most_apart(F.col("nx"), F.col("ny"))).select("x", "y")
-
-    # Keys of many nodes: each node with the nearest of their hubs.
-    many = narrow.join(_small(crowded), "key", "left_semi").join(_small(own.drop("n")), "node")
-    many = written(many.withColumn("at", F.struct("r", "node", "n", *SKETCH)).drop("r", *SKETCH), "many")
-    far = apart("at.", "hub.")
-
-    def nearest_hub(rows: DataFrame, turn: int, other: str) -> DataFrame:
-        """Each node with the nearest hub of its keys, as pairs (x, y)."""
-        salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(HUBS))
-        hubs = rows.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("at.*", *rows.columns[4:])).alias("hub")).select("key", "hub")
-        met = rows.join(hubs, "key").where(other).where(far <= most_apart(F.col("at.n"), F.col("hub.n")))
-        best = F.min(F.struct(far.alias("d"), F.col("hub.r").alias("r"), F.col("hub.node").alias("hub")))
-        return met.groupBy("node").agg(best.alias("best")).select(F.col("node").alias("x"), F.col("best.hub").alias("y"))
-
-    stars = nearest_hub(many.select("key", "node", "n", "at"), 0, "at.r > hub.r OR (at.r = hub.r AND at.node > hub.node)")
-    first = pairs.unionByName(stars).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-    comps = written(connected(verify(written(first, "pairs"))), "comps")
-
-    def open_rows(rows: DataFrame) -> DataFrame:
-        """Rows with their components now, of keys whose nodes lie in several."""
-        placed = rows.select("key", "node", "n", "at", "pos").join(_small(comps), "node", "left")
-        placed = written(placed.select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"), "pos"), "placed")
-        open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        return written(placed.join(open_.where("lo <> hi").select("key"), "key"), "open")
-
-    left = open_rows(many)
-    if left.isEmpty():
-        return comps
-    # A second hub each, in another component, and then the pairs that are left.
-    again = written(nearest_hub(left.select("key", "node", "n", "at", "comp"), 1, "comp <> hub.comp"), "stars")
-    comps = _widened(comps, verify(again))
-    left = open_rows(left)
-    unlike = (F.col("a.comp") != F.col("b.comp")) & (apart("a.at.", "b.at.") <= most_apart(F.col("a.n"), F.col("b.n")))
-    more = written(_near_pairs(left, left, unlike, pair_fits).distinct(), "pairs")
-    return comps if more.isEmpty() else _widened(comps, verify(more))
-
-
-def _near_pairs(left: DataFrame, right: DataFrame, also: Column, pair_fits: Callable) -> DataFrame:
-    """(x, y) of nodes that share a key and may link."""
-    a, b = left.alias("a"), right.alias("b")
-    fits = pair_fits(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+    with Scratch(keys.sparkSession) as scratch:
+        met = keys.groupBy("key").agg(
+            F.count(F.lit(1)).alias("c"), F.min("node").alias("x"), F.max("node").alias("y"),
+            F.min("n").alias("n"), F.max("n").alias("m"), F.min(F.col("n") - F.col("pos")).alias("room"),
+        )
+        met = met.where(F.col("x") != F.col("y")).where((F.col("c") > 2) | pair_fits(F.col("n"), F.col("m"), F.col("room")))
+        met = scratch.written(met.select("key", "c", "x", "y", "n", "m"), "shared")
+        more = met.where("c > 2").select("key")
+        narrow = likely(scratch, keys, "key", more, "key").groupBy("key", "node").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
+        narrow = scratch.written(narrow.join(more, "key", "left_semi"), "narrow")
+        crowded = scratch.written(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FEW), "crowded")
+
+        few = narrow.join(crowded, "key", "left_anti")
+        near = scratch.written(
+            met.where("c = 2").select("x", "y", "n", "m").unionByName(_near_pairs(few, F.lit(True), pair_fits)).distinct(), "near"
+        )
+        scratch.drop(met)
+        many = scratch.written(narrow.join(crowded, "key"), "many")
+        scratch.drop(narrow)
+        ends = [near.select(F.col(end).alias("node")) for end in ("x", "y")]
+        sketches = sketched(ends[0].union(ends[1]).union(many.select("node")).distinct())
+        side = lambda end: sketches.select(F.col("node").alias(end), F.col("sketch").alias(f"s{end}"))
+        apart_by = apart(F.col("sx"), F.col("sy"), words)
+        pairs = near.join(side("x"), "x").join(side("y"), "y").where(apart_by <= most_apart(F.col("n"), F.col("m"))).select("x", "y")
+
+        # A node's rank: how many keys come before its first shared one, and then how many nodes share its keys.
+        own = many.groupBy("node").agg(
+            F.min("pos").alias("r"), (-F.sum("c")).alias("k"), F.slice(F.sort_array(F.collect_list(F.struct("pos", "key"))), 1, FIRST)["key"].alias("first")
+        )
+        ranked = many.join(own, "node").join(sketches, "node")
+        rows = scratch.written(ranked.select(
+            "key", "node", "n", "pos", F.struct("r", "k", "node", "n", "sketch").alias("at"),
+            F.slice("first", 1, F.coalesce(F.nullif(F.array_position("first", F.col("key")), F.lit(0)) - 1, F.size("first").cast("long")).cast("int")).alias("before"),
+        ), "many")
+        scratch.drop(many)
+        far = apart(F.col("at.sketch"), F.col("hub.sketch"), words)
+
+        def nearest_hub(rows: DataFrame, turn: int, other: str) -> DataFrame:
+            """Each node with the nearest hub of its keys, as pairs (x, y)."""
+            salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(HUBS))
+            hubs = rows.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("at.*", *rows.columns[4:])).alias("hub")).select("key", "hub")
+            met = rows.join(hubs, "key").where(other).where(far <= most_apart(F.col("at.n"), F.col("hub.n")))
+            best = F.min(F.struct(far.alias("d"), F.col("hub.r").alias("r"), F.col("hub.k").alias("k"), F.col("hub.node").alias("hub")))
+            return _ordered(met.groupBy("node").agg(best.alias("best")).select(F.col("node").alias("x"), F.col("best.hub").alias("y")))
+
+        before = "struct(at.r, at.k, at.node) > struct(hub.r, hub.k, hub.node)"
+        stars = nearest_hub(rows.select("key", "node", "n", "at"), 0, before)
+        tried = scratch.written(_ordered(pairs).unionByName(stars).distinct(), "pairs")
+        scratch.drop(near)
+        comps = connected(verify(tried), scratch)
+
+        def open_rows(rows: DataFrame) -> DataFrame:
+            """Rows with their components now, of keys whose nodes lie in several."""
+            placed = rows.select("key", "node", "n", "at", "pos", "before").join(comps, "node", "left")
+            placed = scratch.written(placed.select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"), "pos", "before"), "placed")
+            open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            out = scratch.written(placed.join(open_.where("lo <> hi").select("key"), "key"), "open")
+            scratch.drop(rows, placed)
+            return out
+
+        rows = open_rows(rows)
+        for turn in range(1, ROUNDS):
+            if rows.isEmpty():
+                return written(comps, "comps")
+            # Another hub each, in another component.
+            again = nearest_hub(rows.select("key", "node", "n", "at", "comp"), turn, "comp <> hub.comp").distinct()
+            again = scratch.written(again.join(tried, ["x", "y"], "left_anti"), "stars")
+            comps = _widened(comps, verify(again), scratch)
+            tried = tried.unionByName(again)
+            rows = open_rows(rows)
+        unlike = (F.col("a.comp") != F.col("b.comp")) & ~F.arrays_overlap("a.before", "b.before")
+        unlike &= apart(F.col("a.at.sketch"), F.col("b.at.sketch"), words) <= most_apart(F.col("a.n"), F.col("b.n"))
+        left = _ordered(_near_pairs(rows, unlike, pair_fits)).distinct()
+        left = scratch.written(left.join(tried, ["x", "y"], "left_anti"), "pairs")
+        return written(comps if left.isEmpty() else _widened(comps, verify(left), scratch), "comps")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+
+
+def _near_pairs(rows: DataFrame, also: Column, pair_fits: Callable) -> DataFrame:
+    """(x, y, n, m) of nodes that share a key and may link; n is the smaller size."""
+    a, b = rows.alias("a"), rows.alias("b")
+    n, m = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
+    fits = pair_fits(n, m, F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")))
     on = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & fits & also
-    return a.join(b, on).select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """A written table, to be broadcast while it has few enough rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+    return a.join(b, on).select(F.col("a.node").alias("x"), F.col("b.node").alias("y"), n.alias("n"), m.alias("m"))
 
 
-def _widened(comps: DataFrame, links: DataFrame) -> DataFrame:
+def _widened(comps: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """``comps`` with what ``links`` (x, y) among their nodes join. What they link are components, and few of them."""
     ends = links
     for end in ("x", "y"):
         of = comps.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp"))
         ends = ends.join(of, end, "left").withColumn(f"{end}_comp", F.coalesce(f"{end}_comp", end))
-    wider = written(connected(ends.select(F.col("x_comp").alias("x"), F.col("y_comp").alias("y"))), "wider")
+    wider = connected(ends.select(F.col("x_comp").alias("x"), F.col("y_comp").alias("y")), scratch)
     of = wider.select(F.col("node").alias("comp"), F.col("comp").alias("wide"))
     old = comps.join(of, "comp", "left").select("node", F.coalesce("wide", "comp").alias("comp"))
-    return written(old.unionByName(wider.join(comps, "node", "left_anti")), "comps")
+    return scratch.written(old.unionByName(wider.join(comps, "node", "left_anti")), "comps")

@@ -8,11 +8,11 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that go through the arrays at once; a longer text goes alone.
-BLOCK = 1 << 20
+#: Bytes of text that go through the arrays at once; a longer text goes alone. Small, so that arrays stay in cache.
+BLOCK = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
-#: A random odd number per byte value, and the multiplier of the position within a word.
+#: A random number per byte value, and the multiplier of a position.
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 STEP = np.uint64(0x5851F42D4C957F2D)
 _SPACE = np.zeros(256, bool)
@@ -30,6 +30,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def strings(letters: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each string: ``letters`` are the 64-bit values of all of them, ``first`` where each begins.
+
+    Every letter is mixed with a key of its position before they are added, so no
+    pattern of letters makes two strings' sums agree.
+    """
+    position = np.arange(len(letters)) - np.repeat(first, size)
+    key = mix(np.arange(1, int(size.max()) + 1, dtype=np.uint64) * STEP)
+    return mix(np.add.reduceat(mix(letters ^ key[position]), first) ^ size.astype(np.uint64))
+
+
+def recoded(one: np.ndarray, two: np.ndarray, clashing: np.ndarray) -> np.ndarray:
+    """The ids ``one``; of ``clashing`` ones (sorted), others made of both hashes."""
+    if not len(clashing):
+        return one
+    at = np.minimum(np.searchsorted(clashing, one), len(clashing) - 1)
+    return np.where(clashing[at] == one, mix(one.view(np.uint64) * STEP ^ two.view(np.uint64)).view(np.int64), one)
+
+
 def runs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, end of each text's bytes) for runs of about ``BLOCK`` bytes; null is empty.
 
@@ -54,7 +73,7 @@ def runs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word (run of bytes other than blanks), and words before each text's end.
 
-    The sum over a word's bytes of BYTE[b] * STEP^position, mixed. A-Z is lowered first.
+    A-Z is lowered first.
     """
     solid = ~_SPACE[data]
     edge = np.flatnonzero(np.diff(solid, prepend=False, append=False))
@@ -62,14 +81,9 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple
     upto = np.searchsorted(a, ends)
     if not len(a):
         return np.zeros(0, np.uint64), upto
-    long = int((b - a).max())
-    power = np.cumprod(np.append(np.uint64(1), np.full(long, STEP)), dtype=np.uint64)
-    at = np.flatnonzero(solid)
-    position = at - np.repeat(a, b - a)
-    letter = data[at]
-    value = BYTE[_LOWER[letter] if lower else letter] * power[position]
-    total = np.add.reduceat(value, np.concatenate(([0], np.cumsum(b - a)[:-1])))
-    return mix(total ^ (b - a).astype(np.uint64)), upto
+    letter = data[solid]
+    first = np.concatenate(([0], np.cumsum(b - a)[:-1]))
+    return strings(BYTE[_LOWER[letter] if lower else letter], first, b - a), upto
 
 
 _CLASS = np.full(256, 3, np.uint8)  # symbols
@@ -88,15 +102,12 @@ def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     if not len(a):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint8), upto
     b = change[np.searchsorted(change, a, "right")]
-    power = np.cumprod(np.append(np.uint64(1), np.full(int((b - a).max()), STEP)), dtype=np.uint64)
     at = np.flatnonzero(kind)
-    value = BYTE[_LOWER[data[at]]] * power[at - np.repeat(a, b - a)]
     first = np.concatenate(([0], np.cumsum(b - a)[:-1]))
-    total = np.add.reduceat(value, first)
     capital = np.add.reduceat(((data[at] >= 65) & (data[at] <= 90)).astype(np.int64), first)
     which = kind[a].copy()
     which[(which == 1) & (capital == b - a) & (b - a > 1)] = 4
-    return mix(total ^ (b - a).astype(np.uint64)), which, upto
+    return strings(BYTE[_LOWER[data[at]]], first, b - a), which, upto
 
 
 @cache
@@ -137,12 +148,29 @@ def distinct(values: np.ndarray, owner: np.ndarray, key: np.ndarray | None = Non
     return v[new], o[new]
 
 
-def parity(values: np.ndarray, owner: np.ndarray, texts: int) -> list[np.ndarray]:
-    """A 256-bit sketch of each owner's distinct values, as four words: every value flips one bit."""
-    bit = (values >> np.uint64(13)).astype(np.int64) & 255
-    odd = np.bincount(owner * 256 + bit, minlength=texts * 256).reshape(texts, 256) & 1
-    words = np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view("<i8")
-    return [np.ascontiguousarray(words[:, k]) for k in range(4)]
+def parity(values: np.ndarray, owner: np.ndarray, texts: int, words: int = 4) -> np.ndarray:
+    """A sketch of each owner's distinct values (sorted by owner), as a row of 64-bit words: every value flips one bit."""
+    bits = 64 * words
+    bit = (values >> np.uint64(13)).astype(np.int64) & (bits - 1)
+    out = np.empty((texts, words), np.int64)
+    step = max(1, (1 << 20) // bits)  # texts whose bits are counted at once
+    cut = np.searchsorted(owner, np.arange(0, texts + step, step))
+    for i, start in enumerate(range(0, texts, step)):
+        own, n = slice(cut[i], cut[i + 1]), min(step, texts - start)
+        odd = np.bincount((owner[own] - start) * bits + bit[own], minlength=n * bits) & 1
+        out[start : start + n] = np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1, bitorder="little").view("<i8")
+    return out
+
+
+def lists(table: np.ndarray) -> pa.ListArray:
+    """The rows of a table of 64-bit numbers as lists."""
+    n, k = table.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(table.ravel()))
+
+
+def marked(marks: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether each place is marked in the packed ``marks``."""
+    return (marks[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).view(bool)
 
 
 def bitmap(rows: list, bits: int) -> np.ndarray:

@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
-from loomgraph.llm.common import written
-from loomgraph.llm.components import SKETCH, bitmap_of, cluster
+from loomgraph.llm.common import Scratch, written
+from loomgraph.llm.components import bitmap_of, cluster
 
 #: Characters of a shingle, bands, rows of a band, and the similarity in percent. Lines of similarity
-#: 0.8 share a band with probability 1 - (1 - 0.8^4)^12 = 0.998; of 0.9, 0.99999.
-SHINGLE, BANDS, ROWS, PERCENT = 8, 12, 4, 80
-#: Lines of up to SHORT characters are also compared by shingles of FINE, the k-th occurrence of one apart from
+#: 0.8 share a band with probability 1 - (1 - 0.8^3)^8 = 0.997; of 0.9, 0.99999.
+SHINGLE, BANDS, ROWS, PERCENT = 8, 8, 3, 80
+#: Lines of up to SHORT characters are compared by shingles of FINE, the k-th occurrence of one apart from
 #: the first: one changed character leaves a similarity of 0.8 from 29 characters on, of 8-shingles from 79 on.
 SHORT, FINE = 80, 3
-#: Characters that go through the arrays at once.
-BLOCK = 1 << 19
+#: Characters that go through the arrays at once, lines remembered within a task, words of a line's parity sketch.
+BLOCK, SEEN, SKETCH = 1 << 17, 1 << 16, 16
+#: Bits of a node; fewer only in tests, so that different lines meet in one.
+NODE_BITS = 64
 
 _MULTIPLY = K._rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLACE = K._rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -32,38 +34,40 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def line_id(lines: list[str]) -> np.ndarray:
-    """A 64-bit id of each normalised line's characters."""
-    column = pa.array(lines, pa.string())
-    out = np.zeros(len(lines), np.uint64)
-    for start, data, ends in K.runs(column):
-        begin = np.concatenate(([0], ends[:-1]))
-        position = np.arange(len(data)) - np.repeat(begin, ends - begin)
-        power = np.cumprod(np.append(np.uint64(1), np.full(int((ends - begin).max()), K.STEP)), dtype=np.uint64)
-        total = np.add.reduceat(K.BYTE[data] * power[position], begin)
-        out[start : start + len(ends)] = K.mix(total ^ (ends - begin).astype(np.uint64))
-    return out.view(np.int64)
-
-
-def shingle_hashes(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every run of ``width`` characters, and each line's first; a shorter line is one shingle."""
-    size = np.fromiter(map(len, lines), np.int64, len(lines))
-    padded = [line if len(line) >= width else line + "\n" * (width - len(line)) for line in lines]
-    code = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    size = np.maximum(size, width)
+def codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all lines, none of them empty, and each line's length."""
+    code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return code, np.fromiter(map(len, lines), np.int64, len(lines))
+
+
+def identities(code: np.ndarray, size: np.ndarray, clashing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit node of each line and a second hash that confirms it; nodes that are ``clashing`` (sorted) are made of both."""
+    first = np.cumsum(size) - size
+    letters = code.astype(np.uint64)
+    one = (K.strings(K.mix(letters * _PLACE[0]), first, size) >> np.uint64(64 - NODE_BITS)).view(np.int64)
+    two = K.strings(K.mix(letters * _PLACE[1] + K.STEP), first, size).view(np.int64)
+    return K.recoded(one, two, clashing), two
+
+
+def shingle_hashes(code: np.ndarray, size: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every run of ``width`` characters, and how many each line has; a shorter line is one shingle."""
+    short = size < width
+    if short.any():  # filled up with a character that no line has
+        fill = np.where(short, width - size, 0)
+        code = np.insert(code, np.repeat(np.cumsum(size), fill), 10)
+        size = size + fill
     ends = np.cumsum(size)
     rolled = np.zeros(len(code), np.uint64)
-    for k in range(width):
-        rolled[: len(code) - k] += code[k:] * _PLACE[k]
-    line = np.repeat(np.arange(len(lines)), size)
-    inside = np.arange(len(code)) + width <= ends[line]
-    count = size - width + 1
-    return K.mix(rolled[inside]), np.cumsum(count) - count
+    letters = code.astype(np.uint64)
+    for k in range(min(width, len(code))):
+        rolled[: len(code) - k] += letters[k:] * _PLACE[k]
+    inside = np.arange(len(code)) + width <= np.repeat(ends, size)
+    return K.mix(rolled[inside]), size - width + 1
 
 
-def numbered(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+def numbered(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The hashes by line and value, each occurrence within a line made different."""
-    line = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashes))))
+    line = np.repeat(np.arange(len(count)), count)
     order = np.lexsort((hashes, line))
     h, own = hashes[order], line[order]
     new = np.ones(len(h), bool)
@@ -72,12 +76,30 @@ def numbered(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return K.mix(h + (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64) * K.STEP)
 
 
-def band_keys(lines: list[str], fine: bool = False) -> np.ndarray:
+def members(code: np.ndarray, size: np.ndarray, fine: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's shingles as hashes, and how many: of ``fine`` ones every occurrence is another, of the rest repeats may stay."""
+    hashes, count = shingle_hashes(code, size, FINE if fine else SHINGLE)
+    return (numbered(hashes, count) if fine else hashes), count
+
+
+def distinct_counts(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Distinct hashes of each line, by one sort: a number is the line and 44 bits of the hash."""
+    out = np.empty(len(count), np.int64)
+    cut = np.concatenate(([0], np.cumsum(count)))
+    for a in range(0, len(count), 1 << 20):
+        b = min(len(count), a + (1 << 20))
+        line = np.repeat(np.arange(b - a, dtype=np.uint64), count[a:b])
+        both = np.sort(line << np.uint64(44) | hashes[cut[a] : cut[b]] >> np.uint64(20))
+        new = np.ones(len(both), bool)
+        new[1:] = both[1:] != both[:-1]
+        out[a:b] = np.bincount((both[new] >> np.uint64(44)).astype(np.int64), minlength=b - a)
+    return out
+
+
+def band_keys(hashes: np.ndarray, count: np.ndarray, fine: bool) -> np.ndarray:
     """A 64-bit key per line and band of its MinHash signature; of ``fine`` shingles they are other keys."""
-    hashes, first = shingle_hashes(lines, FINE if fine else SHINGLE)
-    if fine:
-        hashes = numbered(hashes, first)
-    keys = np.zeros((len(lines), BANDS), np.uint64)
+    first = np.cumsum(count) - count
+    keys = np.zeros((len(count), BANDS), np.uint64)
     for i, m in enumerate(_MULTIPLY):
         band, row = divmod(i, ROWS)
         keys[:, band] += K.mix(np.minimum.reduceat(hashes * m, first)) * _PLACE[SHINGLE + row]
@@ -87,7 +109,7 @@ def band_keys(lines: list[str], fine: bool = False) -> np.ndarray:
 def _chunks(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
     start, size = 0, 0
     for i, line in enumerate(lines):
-        size += max(len(line), SHINGLE)
+        size += len(line)
         if size >= BLOCK:
             yield start, lines[start : i + 1]
             start, size = i + 1, 0
@@ -96,150 +118,249 @@ def _chunks(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 
 def similar(a: str, b: str, percent: int = PERCENT) -> bool:
-    """Exact Jaccard similarity of the lines' sets of character shingles, or of two short lines' fine shingles."""
-    x = {a[i : i + SHINGLE] for i in range(max(1, len(a) - SHINGLE + 1))}
-    y = {b[i : i + SHINGLE] for i in range(max(1, len(b) - SHINGLE + 1))}
-    if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-        both = len(x & y)
-        if 100 * both >= percent * (len(x) + len(y) - both):
-            return True
-    if max(len(a), len(b)) > SHORT:
-        return False
-    c, d = (Counter(t[i : i + FINE] for i in range(max(1, len(t) - FINE + 1))) for t in (a, b))
+    """Exact Jaccard similarity: of two short lines' fine shingles with their repeats, else of the sets of shingles."""
+    fine = max(len(a), len(b)) <= SHORT
+    width = FINE if fine else SHINGLE
+    c, d = (Counter(t[i : i + width] for i in range(max(1, len(t) - width + 1))) for t in (a, b))
+    if not fine:
+        c, d = Counter(c.keys()), Counter(d.keys())
     both = (c & d).total()
     return 100 * both >= percent * (c.total() + d.total() - both)
 
 
+#: The most pairs that are compared at once.
+PAIRS = 1 << 12
+
+
+def similar_pairs(lines: list[str], x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """``similar`` of lines[x] and lines[y] for many pairs.
+
+    Shingles are counted by 52 bits of their hashes, which can only agree too often; pairs that
+    lie near the limit by that count are compared as texts.
+    """
+    code, size = codes(lines)
+    ok = np.zeros(len(x), bool)
+    fine = np.maximum(size[x], size[y]) <= SHORT
+    for kind in (False, True):
+        of = np.flatnonzero(fine == kind)
+        if not len(of):
+            continue
+        used, place = np.unique(np.concatenate([x[of], y[of]]), return_inverse=True)
+        take = np.zeros(len(lines), bool)
+        take[used] = True
+        hashes, count = members(code[np.repeat(take, size)], size[used], kind)
+        begin = np.cumsum(count) - count
+        left, right = place[: len(of)], place[len(of) :]
+        total = count[left] + count[right]
+        for a in _runs(total):
+            sides = []
+            for side in (left[a], right[a]):
+                n = count[side]
+                pair = np.repeat(np.arange(len(side), dtype=np.uint64), n)
+                at = np.arange(len(pair)) + np.repeat(begin[side] - (np.cumsum(n) - n), n)
+                own = np.sort(hashes[at] & ~np.uint64(PAIRS - 1) | pair)
+                keep = np.ones(len(own), bool)
+                keep[1:] = own[1:] != own[:-1]
+                sides.append(own[keep])
+            pairs = len(left[a])
+            sizes = [np.bincount((s & np.uint64(PAIRS - 1)).astype(np.int64), minlength=pairs) for s in sides]
+            every = np.sort(np.concatenate(sides))
+            common = every[1:][every[1:] == every[:-1]]
+            both = np.bincount((common & np.uint64(PAIRS - 1)).astype(np.int64), minlength=pairs)
+            margin = 100 * both - percent * (sizes[0] + sizes[1] - both)
+            ok[of[a]] = margin >= 0
+            for i in np.flatnonzero(np.abs(margin) <= 600):
+                j = of[a][i]
+                ok[j] = similar(lines[x[j]], lines[y[j]], percent)
+    return ok
+
+
+def _runs(total: np.ndarray) -> Iterator[slice]:
+    """Runs of pairs with about ``BLOCK`` shingles, ``PAIRS`` pairs at most."""
+    start, size = 0, 0
+    for i, n in enumerate(total.tolist()):
+        size += n
+        if size >= BLOCK or i + 1 - start == PAIRS:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(total):
+        yield slice(start, len(total))
+
+
 def _split(text: str | None) -> list[str]:
     return text.split("\n") if text else []
 
 
-def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Every line that isn't blank: doc_id, line_no (from 0), line_key, keep_doc_id, keep_line_no, group_lines, kept.
+def _lines_of(part: pa.RecordBatch, repeats: bool) -> tuple[list, list[str], list[int]]:
+    """Document, normalised line and line number of every line of the batch that isn't blank."""
+    ids, lines, numbers = [], [], []
+    for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+        for number, line in enumerate(map(normal, _split(text))):
+            if line:
+                ids.append(doc)
+                lines.append(line)
+                numbers.append(number)
+    return ids, lines, numbers
 
-    Lines are near copies when their sets of 8-character shingles (of the normalised line; a
-    shorter line is one shingle), or those of 3-character shingles with their repeats if neither
-    line has more than ``SHORT`` characters, have a Jaccard similarity of ``percent`` or more; groups
-    are the connected components. The line of the smallest (doc_id, line_no) stays. A null
-    or blank text has no lines. Rows repeated with the same id count as the same lines.
 
-    Equal normalised lines are one node, by a 64-bit id. Their band keys are cut from whole
-    lines; ``cluster`` verifies the candidates on the lines' characters.
-    """
-    docs = docs.select("doc_id", "text")
-    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+def _emitted(docs: DataFrame, clashing: np.ndarray) -> DataFrame:
+    """kind 0: a = doc_id, node, n = line number, the line's second hash; kind 1: a = band key, node, n = shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        names, seen = ["kind", "a", "node", "n", "two"], set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids, lines, numbers = [], [], []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for number, raw in enumerate(_split(text)):
-                        if line := normal(raw):
-                            ids.append(doc)
-                            lines.append(line)
-                            numbers.append(number)
-                if not lines:
-                    continue
-                nodes = line_id(lines)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(len(ids), np.int32)), pa.array(ids, pa.int64()), pa.array(nodes), pa.array(numbers, pa.int32())], schema=schema
-                )
-                fresh = []  # copies within a task say the same
-                for i, node in enumerate(nodes.tolist()):
-                    if node not in seen:
-                        fresh.append(i)
-                        if len(seen) < 1 << 18:
-                            seen.add(node)
-                for start, chunk in _chunks([lines[i] for i in fresh]):
-                    own = nodes[fresh[start : start + len(chunk)]]
-                    size = np.fromiter(map(len, chunk), np.int32, len(chunk))
-                    short = np.flatnonzero(size <= SHORT)
-                    keyed = [(band_keys(chunk), own, size)]
-                    if len(short):
-                        keyed.append((band_keys([chunk[i] for i in short], True), own[short], size[short]))
-                    for keys, node, n in keyed:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.ones(keys.size, np.int32)), pa.array(keys.view(np.int64).ravel()),
-                             pa.array(np.repeat(node, BANDS)), pa.array(np.repeat(n, BANDS))], schema=schema,
-                        )
-
-    emitted = written(docs.mapInArrow(run, "kind int, a long, node long, n int"), "lines", "kind")
-    lines = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("line_no"), "node")
-    keys = emitted.where("kind = 1").select(F.col("a").alias("key"), "node", "n", F.lit(0).alias("pos"))
-    owners = lines.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        named = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
-        wanted = written(owners.join(named, "node"), "wanted")
-        return written(_verified(pairs, written(_load_lines(docs, wanted), "line-texts"), percent).distinct(), "verified")
-
-    # Lines that share a band are near already; no sketch rules them out.
-    none = {k: F.lit(0).cast("long") for k in SKETCH}
-    sketches = keys.select("node").distinct().withColumns(none)
-    comps = cluster(keys, sketches, linked, lambda n, m: F.lit(0), lambda n, pos, m, at: F.lit(True))
-    placed = lines.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    groups = placed.groupBy("comp").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("group_lines")
-    )
-    return placed.join(groups, "comp").select(
-        "doc_id", "line_no", F.col("node").alias("line_key"), F.col("first.doc_id").alias("keep_doc_id"),
-        F.col("first.line_no").alias("keep_line_no"), "group_lines",
-        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
-    )
+                ids, lines, numbers = _lines_of(batch.slice(at, 256), True)
+                for start, chunk in _chunks(lines):
+                    code, size = codes(chunk)
+                    nodes, two = identities(code, size, clashing)
+                    stop = start + len(chunk)
+                    columns = [np.zeros(len(chunk), np.int32), pa.array(ids[start:stop], pa.int64()), nodes, pa.array(numbers[start:stop], pa.int32()), two]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=names)
+                    fresh = np.zeros(len(chunk), bool)  # copies within a task say the same
+                    for i, node in enumerate(nodes.tolist()):
+                        if node not in seen:
+                            fresh[i] = True
+                            if len(seen) < SEEN:
+                                seen.add(node)
+                    # Two lines of which one is longer than SHORT may be similar from 66 characters of the other on.
+                    for fine, these in ((False, size > 0.8 * (SHORT + 1 - SHINGLE)), (True, size <= SHORT)):
+                        take = fresh & these
+                        if take.any():
+                            hashes, count = members(code[np.repeat(take, size)], size[take], fine)
+                            n = count if fine else distinct_counts(hashes, count)
+                            keys = band_keys(hashes, count, fine)
+                            columns = [np.ones(keys.size, np.int32), keys.view(np.int64).ravel(), np.repeat(nodes[take], BANDS), np.repeat(n, BANDS).astype(np.int32)]
+                            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(keys.size, pa.int64())], names=names)
+
+    return docs.mapInArrow(run, "kind int, a long, node long, n int, two long")
 
 
-def _load_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, line) of the ``wanted`` (node, doc_id) rows, each line from its owner document.
+def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Every line that isn't blank: doc_id, line_no (from 0), line_key, keep_doc_id, keep_line_no, group_lines, kept.
 
-    A bitmap of bounded size over the nodes' low bits lets only likely lines out of the
+    Lines are near copies when the Jaccard similarity of their shingles is ``percent`` or more: of two normalised
+    lines of up to ``SHORT`` characters of those of 3 characters with their repeats, of others of the sets of
+    those of 8 (a shorter line is one shingle). Groups
+    are the connected components. The line of the smallest (doc_id, line_no) stays. A null
+    or blank text has no lines, an empty table no rows. Rows repeated with the same id count as the same lines
+    (each is given, and kept or not, as often). Other columns, whatever their names, are not read.
+
+    Equal normalised lines are one node: a 64-bit hash, confirmed by a second one; lines that differ in the
+    second alone get other nodes. Band keys are cut from whole lines; ``cluster`` verifies the candidates on the lines' characters.
+    """
+    docs = docs.select("doc_id", "text")
+    with Scratch(docs.sparkSession) as scratch:
+        clashing, clashes = np.zeros(0, np.int64), True
+        while clashes:
+            emitted = scratch.written(_emitted(docs, clashing), "lines", "kind")
+            lines = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("line_no"), "node", "two")
+            firsts = F.min(F.struct("doc_id", "line_no")).alias("first")
+            owners = scratch.written(
+                lines.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("two").alias("two"), F.max("two").alias("other")), "owners"
+            )
+            # Of n lines about n^2 / 2^65 meet another: none here, a few in 10^11.
+            clashes = owners.where("two <> other").select("node").toArrow()["node"].to_numpy()
+            clashing = np.union1d(clashing, clashes)
+            clashes = len(clashes) > 0
+        texts: list[DataFrame] = []
+
+        def sketched(nodes: DataFrame) -> DataFrame:
+            wanted = scratch.written(owners.select("node", "doc_id").join(nodes, "node"), "wanted")
+            texts.append(scratch.written(_load_lines(docs, wanted, clashing, scratch), "line-texts"))
+            return texts[0].drop("line")
+
+        comps = cluster(
+            emitted.where("kind = 1").select(F.col("a").alias("key"), "node", "n", F.lit(0).alias("pos")),
+            sketched,
+            SKETCH,
+            lambda pairs: scratch.written(_verified(pairs, texts[0].select("node", "line"), percent), "verified"),
+            lambda n, m: F.floor((n + m) * (100 - percent) / F.lit(100.0 + percent) + 1e-9),
+            # Counts of distinct shingles may be one or two too low.
+            lambda n, m, room: 100 * (n + 2) >= percent * m,
+        )
+        placed = lines.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        groups = placed.groupBy("comp").agg(firsts, F.count(F.lit(1)).alias("group_lines"))
+        return written(placed.join(groups, "comp").select(
+            "doc_id", "line_no", F.col("node").alias("line_key"), F.col("first.doc_id").alias("keep_doc_id"),
+            F.col("first.line_no").alias("keep_line_no"), "group_lines",
+            (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
+        ), "line-groups")
+
+
+def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, scratch: Scratch) -> DataFrame:
+    """(node, line and its parity sketch) of the ``wanted`` (node, doc_id) rows, each line from its owner document.
+
+    Bitmaps of bounded size over the documents and the nodes' low bits let only likely lines out of the
     tasks; the join on node and owner makes it exact.
     """
     marks, bits = bitmap_of(wanted, "node")
-    table = docs.sparkSession.sparkContext.broadcast(marks)
+    of_docs, doc_bits = bitmap_of(wanted.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
+    table = scratch.broadcast((marks, of_docs))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(table.value).view(bool)
+        marks, of_docs = table.value
         for batch in batches:
+            batch = batch.filter(pa.array(K.marked(of_docs, batch.column(2).to_numpy())))
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids, lines = [], []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for line in dict.fromkeys(filter(None, map(normal, _split(text)))):
-                        ids.append(doc)
-                        lines.append(line)
-                if lines:
-                    nodes = line_id(lines)
-                    keep = np.flatnonzero(marks[nodes & ((1 << bits) - 1)])
+                ids, lines, _ = _lines_of(batch.slice(at, 256), False)
+                for start, chunk in _chunks(lines):
+                    code, size = codes(chunk)
+                    nodes, _ = identities(code, size, clashing)
+                    keep = K.marked(marks, nodes & ((1 << bits) - 1))
+                    if not keep.any():
+                        continue
+                    # A short line has a sketch only of its fine shingles; it rules out nothing beside a longer one.
+                    sketch = np.zeros((len(chunk), SKETCH), np.int64)
+                    for fine in (False, True):
+                        these = np.flatnonzero(keep & ((size <= SHORT) == fine))
+                        if len(these):
+                            take = np.zeros(len(chunk), bool)
+                            take[these] = True
+                            hashes, count = members(code[np.repeat(take, size)], size[take], fine)
+                            values, who = K.distinct(hashes, np.repeat(np.arange(len(these)), count))
+                            sketch[these] = K.parity(values, who, len(these), SKETCH)
+                    found = np.flatnonzero(keep)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids[i] for i in keep], pa.int64()), pa.array(nodes[keep]), pa.array([lines[i] for i in keep], pa.string())],
-                        names=["doc_id", "node", "line"],
-                    )
+                        [pa.array([ids[start + i] for i in found], pa.int64()), pa.array(nodes[found]), pa.array([chunk[i] for i in found], pa.string()),
+                         K.lists(sketch[found])], names=["doc_id", "node", "line", "sketch"],
+                    )
 
-    found = docs.mapInArrow(run, "doc_id long, node long, line string")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << doc_bits)).alias("place")
+    found = docs.select("doc_id", "text", place).mapInArrow(run, "doc_id long, node long, line string, sketch array<long>")
     same = (found["node"] == wanted["node"]) & found["doc_id"].eqNullSafe(wanted["doc_id"])
-    return found.join(wanted, same, "left_semi").select("node", "line").dropDuplicates(["node"])
+    return found.join(wanted, same, "left_semi").dropDuplicates(["node"]).select("node", "line", "sketch")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [similar(a, b, percent) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    one = lines.select(F.col("node").alias("y"), F.col("line").alias("ly"))
-    two = lines.select(F.col("node").alias("x"), F.col("line").alias("lx"))
+            for at in range(0, batch.num_rows, PAIRS):
+                part = batch.slice(at, PAIRS)
+                both = pa.concat_arrays([part.column(2), part.column(3)]).dictionary_encode()
+                index = both.indices.to_numpy()
+                ok = similar_pairs(both.dictionary.to_pylist(), index[: part.num_rows], index[part.num_rows :], percent)
+                yield part.select([0, 1]).filter(pa.array(ok))
+
+    one, two = (lines.select(F.col("node").alias(end), F.col("line").alias(f"l{end}")) for end in ("y", "x"))
     return pairs.join(one, "y").join(two, "x").select("x", "y", "lx", "ly").mapInArrow(run, "x long, y long")
 
 
 def drop_near_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the lines taken out that are near copies of a line that stays; blank lines stay."""
+    """``docs`` with the lines taken out that are near copies of a line that stays; blank lines stay.
+
+    Null and empty texts stay as they are. Rows repeated with the same id lose the same lines. Columns of any
+    name are kept as they are.
+    """
     groups = line_groups(docs, percent)
-    gone = groups.where(~F.col("kept")).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
-    kept = F.expr("array_join(transform(filter(transform(split(text, '\\n', -1), (l, i) -> struct(l, i)), "
-                  "p -> _gone is null or not array_contains(_gone, p.i)), p -> p.l), '\\n')")
-    return docs.join(gone, F.col("doc_id") == F.col("_id"), "left").select(
-        *[kept.alias("text") if c == "text" else c for c in docs.columns]
+    lost = groups.where(~F.col("kept")).groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
+    lost = lost.select(F.struct(F.struct("doc_id").alias("of"), "numbers").alias("lost"))
+    kept = F.array_join(F.transform(
+        F.filter(F.transform(F.split("d.text", "\\n", -1), lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
+                 lambda p: ~F.coalesce(F.array_contains("lost.numbers", p["i"]), F.lit(False))),
+        lambda p: p["line"],
+    ), "\n")
+    held = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("d"))
+    return held.join(lost, F.struct("d.doc_id") == F.col("lost.of"), "left").select(
+        *[kept.alias("text") if c == "text" else F.col("d")[c].alias(c) for c in docs.columns]
     )

@@ -10,7 +10,8 @@ contracted. Only then are candidates listed, and only those that still lie in
 different components, so that a large group of near copies is a star and not all its
 pairs. Every candidate between components is verified, so no component is missed.
 
-N-grams are known by 64-bit hashes, nodes by a 64-bit signature of the set.
+N-grams are known by 64-bit hashes, nodes by a 64-bit signature of the set and a second
+one that confirms it: sets that differ in the second alone get other nodes.
 """
 
 from __future__ import annotations
@@ -19,18 +20,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
-from loomgraph.llm.common import written
-from loomgraph.llm.components import BROADCAST_KEYS, SKETCH, bitmap_of, cluster
+from loomgraph.llm.common import Scratch, written
+from loomgraph.llm.components import bitmap_of, cluster
 
 WORDS, PERCENT = 4, 85
 #: Hash bits of the table of word counts and of that of n-gram counts.
 WORD_BITS, GRAM_BITS = 16, 20
-#: N-grams counted together within a task.
-WINDOW = 1 << 21
+#: N-grams counted together within a task, and sets remembered within one.
+WINDOW, SEEN = 1 << 20, 1 << 16
+#: 64-bit words of a set's parity sketch: sets of some 2800 n-grams and fewer are told apart by it.
+SKETCH = 16
+#: Bits of a node; fewer only in tests, so that different sets meet in one.
+NODE_BITS = 64
 
 
 class Rarity:
@@ -68,17 +74,20 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray, np.n
         yield start, words, upto, grams, owner
 
 
-def _signatures(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Size and signature of each text's set of distinct values."""
+def _signatures(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size, signature and a second signature of each text's set of distinct values."""
     size = np.bincount(owner, minlength=texts)
-    sums = np.zeros(texts, np.uint64)
+    sums = np.zeros((2, texts), np.uint64)
     if len(values):
         some = np.flatnonzero(size)
-        sums[some] = np.add.reduceat(K.mix(values + np.uint64(0x9E37)), np.concatenate(([0], np.cumsum(size[some])[:-1])))
-    return size, K.mix(sums + size.astype(np.uint64)).view(np.int64)
+        start = np.concatenate(([0], np.cumsum(size[some])[:-1]))
+        for row, salt in zip(sums, (0x9E37, 0x51ED270B)):
+            row[some] = np.add.reduceat(K.mix(values + np.uint64(salt)), start)
+    one, two = K.mix(sums[0] + size.astype(np.uint64)), K.mix(sums[1] ^ size.astype(np.uint64))
+    return size, (one >> np.uint64(64 - NODE_BITS)).view(np.int64), two.view(np.int64)
 
 
-def rarity(docs: DataFrame, n: int) -> Rarity:
+def rarity(docs: DataFrame, n: int, scratch: Scratch) -> Rarity:
     """Counts of words, and of the n-grams that repeat more than their words explain.
 
     A task counts within windows of n-grams and reports what repeats there, so an
@@ -112,7 +121,7 @@ def rarity(docs: DataFrame, n: int) -> Rarity:
                 new = np.ones(len(v), bool)
                 new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
                 v, o, e = v[new], o[new], expected[order][new]
-                _, sids = _signatures(v, o, len(upto))
+                _, sids, _ = _signatures(v, o, len(upto))
                 fresh = np.zeros(len(upto), bool)
                 for i, s in enumerate(sids.tolist()):
                     if s not in sets_seen:
@@ -130,7 +139,7 @@ def rarity(docs: DataFrame, n: int) -> Rarity:
         yield pa.RecordBatch.from_arrays([pa.array(some - (1 << WORD_BITS)), pa.array(words_seen[some])], schema=schema)
 
     schema = pa.schema([("key", pa.int64()), ("seen", pa.int64())])
-    counted = written(
+    counted = scratch.written(
         docs.select("doc_id", "text").mapInArrow(count, "key long, seen long")
         .groupBy("key").agg(F.sum("seen").alias("seen")), "rarity",
     )
@@ -147,43 +156,38 @@ def rarity(docs: DataFrame, n: int) -> Rarity:
     return Rarity(words_seen, table)
 
 
-def _prefixes(docs: DataFrame, known: Rarity, n: int, percent: int) -> DataFrame:
-    """kind 0: a = doc_id, b = node, n = size and its sketch; kind 1: a = n-gram, b = node, n = size, pos in the prefix."""
-    table = docs.sparkSession.sparkContext.broadcast(known)  # two tables of fixed size
-    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), *((k, pa.int64()) for k in SKETCH)])
-
+def _prefixes(docs: DataFrame, known: Broadcast, n: int, percent: int, clashing: np.ndarray) -> DataFrame:
+    """kind 0: a = doc_id, b = node, n = size, its second signature and its sketch; kind 1: a = n-gram, b = node, n = size, pos in the prefix."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, seen = table.value, set()
+        names = ["kind", "a", "b", "n", "pos", "two", "sketch"]
+        r, seen = known.value, set()
         for batch in batches:
             ids = batch.column(0)
             for start, words, upto, grams, owner in _sets(batch, n):
                 level = r.level(_expected(r.log_words, r.total, words, upto, n), grams)
                 values, who = K.distinct(grams, owner)
-                size, sids = _signatures(values, who, len(upto))
-                texts = len(upto)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(texts, np.int32)), ids.slice(start, texts).cast(pa.int64()), pa.array(sids, mask=size == 0),
-                     pa.array(size.astype(np.int32)), pa.array(np.zeros(texts, np.int32)), *map(pa.array, K.parity(values, who, texts))], schema=schema,
-                )
+                size, one, two = _signatures(values, who, len(upto))
+                nodes, texts = K.recoded(one, two, clashing), len(upto)
+                none = np.zeros(texts, np.int32)
+                columns = [none, ids.slice(start, texts).cast(pa.int64()), pa.array(nodes, mask=size == 0), size.astype(np.int32), none, two]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), K.lists(K.parity(values, who, texts, SKETCH))], names=names)
                 fresh = np.zeros(texts, bool)  # copies within a task say the same
-                for i, s in enumerate(sids.tolist()):
+                for i, s in enumerate(nodes.tolist()):
                     if s not in seen:
                         fresh[i] = True
-                        if len(seen) < 1 << 18:
+                        if len(seen) < SEEN:
                             seen.add(s)
                 take = fresh[owner]
                 values, who = K.distinct(grams[take], owner[take], level[take])
-                first = np.cumsum(size) - size
                 first = np.searchsorted(who, np.arange(texts))
                 position = np.arange(len(who)) - first[who]
                 length = size - (percent * size + 99) // 100 + 1
-                inside = position < length[who]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(int(inside.sum()), np.int32)), pa.array(values[inside].view(np.int64)), pa.array(sids[who[inside]]),
-                     pa.array(size[who[inside]].astype(np.int32)), pa.array(position[inside].astype(np.int32)), *[pa.nulls(int(inside.sum()), pa.int64())] * 4], schema=schema,
-                )
+                inside = np.flatnonzero(position < length[who])
+                own = who[inside]
+                columns = [np.ones(len(inside), np.int32), values[inside].view(np.int64), nodes[own], size[own].astype(np.int32), position[inside].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(inside), pa.int64()), pa.nulls(len(inside), pa.list_(pa.int64()))], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind int, a long, b long, n int, pos int, s0 long, s1 long, s2 long, s3 long")
+    return docs.select("doc_id", "text").mapInArrow(run, "kind int, a long, b long, n int, pos int, two long, sketch array<long>")
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -191,32 +195,30 @@ def _needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / F.lit(100.0 + percent) - 1e-9)
 
 
-def _may_link(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Column:
-    """Length and position: what lies behind this first common n-gram must still suffice."""
-    need = _needed(n, m, percent)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(n - pos, m - at) >= need)
+def _may_link(n: Column, m: Column, room: Column, percent: int) -> Column:
+    """Length (n is the smaller) and position: what lies behind the first common n-gram must still suffice."""
+    return (100 * n >= percent * m) & (room >= _needed(n, m, percent))
 
 
-def _load_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+def _load_sets(docs: DataFrame, wanted: DataFrame, n: int, clashing: np.ndarray, scratch: Scratch) -> DataFrame:
     """(node, grams as sorted 64-bit little-endian bytes) of the ``wanted`` (doc_id, node) rows, and a few more.
 
     A bitmap of bounded size over hashed ids skips other rows before anything is hashed;
     what joins the result must name the node.
     """
     marks, bits = bitmap_of(wanted.select(F.xxhash64("doc_id").alias("h")), "h")
-    table = docs.sparkSession.sparkContext.broadcast(marks)
+    table = scratch.broadcast(marks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(table.value).view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(marks[batch.column(0).to_numpy()]))
+            batch = batch.filter(pa.array(K.marked(table.value, batch.column(0).to_numpy())))
             for start, _, upto, grams, owner in _sets(batch, n):
                 values, who = K.distinct(grams, owner)
-                size, sids = _signatures(values, who, len(upto))
+                size, one, two = _signatures(values, who, len(upto))
                 cut = np.concatenate(([0], np.cumsum(size)))
                 raw = values.astype("<u8")
                 blobs = [raw[cut[i] : cut[i + 1]].tobytes() for i in range(len(upto))]
-                yield pa.RecordBatch.from_arrays([pa.array(sids), pa.array(blobs, pa.binary())], names=["node", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(K.recoded(one, two, clashing)), pa.array(blobs, pa.binary())], names=["node", "grams"])
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("place")
     return docs.select(place, "text").mapInArrow(run, "node long, grams binary")
@@ -239,12 +241,8 @@ def _enough(x: np.ndarray, y: np.ndarray, percent: int, depth: int = 3) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, percent: int) -> DataFrame:
-    """The (x, y) of ``pairs`` whose sets are similar enough.
-
-    The sets of the x are loaded and go to their pairs without a shuffle while the pairs
-    are few enough to broadcast; they then meet the sets of the y by one shuffle.
-    """
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (x, y) of ``pairs`` whose ``sets`` are similar enough."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,18 +252,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame, n: int, perc
             ]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    few = pairs.count() <= BROADCAST_KEYS
-
-    def side(end: str) -> DataFrame:
-        named = pairs.select(F.col(end).alias("node")).distinct()
-        wanted = written(owners.join(F.broadcast(named) if few else named, "node").select("doc_id", "node"), "wanted")
-        return _load_sets(docs, wanted, n).select(F.col("node").alias(end), F.col("grams").alias(f"g{end}"))
-
-    ys = side("y")
-    if few:
-        ys = ys.join(F.broadcast(pairs.select("y").distinct()), "y", "left_semi")
-    both = side("x").join(F.broadcast(pairs) if few else pairs, "x").join(ys, "y")
-    return both.select("x", "y", "gx", "gy").mapInArrow(run, "x long, y long")
+    xs, ys = (sets.select(F.col("node").alias(end), F.col("grams").alias(f"g{end}")) for end in ("x", "y"))
+    return pairs.join(xs, "x").join(ys, "y").select("x", "y", "gx", "gy").mapInArrow(run, "x long, y long")
 
 
 def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -276,42 +264,59 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     and links with nothing. Two documents link when 100 |A and B| >= percent |A or B|;
     ``component_id`` is the smallest doc_id reachable by links, a lone row's own.
     Rows repeated with the same id are rows of one document. ``doc_id`` is an integer;
-    a null id stays null and is never a component's id unless all are null.
+    a null id stays null and is never a component's id unless all are null. Other columns,
+    whatever their names, are not read; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    known = rarity(docs, words)
-    emitted = written(_prefixes(docs, known, words, percent), "prefixes", "kind")
-    rows = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n")
-    tokens = emitted.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "n", "pos")
-
-    owners = written(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "owners")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return written(_verified(pairs, docs, owners, words, percent).distinct(), "verified")
-
-    sketches = emitted.where("kind = 0 and b is not null").select(F.col("b").alias("node"), *SKETCH).dropDuplicates(["node"])
-    comps = cluster(
-        tokens,
-        sketches,
-        linked,
-        lambda n, m: F.when(100 * F.least(n, m) >= percent * F.greatest(n, m), n + m - 2 * _needed(n, m, percent)).otherwise(-1),
-        lambda n, pos, m, at: _may_link(n, pos, m, at, percent),
-    )
-    of = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = of.where("comp is not null").groupBy("comp").agg(
-        F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n_docs")
-    )
-    return of.join(least, "comp", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_docs", F.lit(1)).alias("n_docs"),
-    )
+    with Scratch(docs.sparkSession) as scratch:
+        known = docs.sparkSession.sparkContext.broadcast(rarity(docs, words, scratch))  # two tables of fixed size
+        clashing, clashes = np.zeros(0, np.int64), True
+        while clashes:
+            emitted = scratch.written(_prefixes(docs, known, words, percent, clashing), "prefixes", "kind")
+            rows = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n", "two", "sketch")
+            owners = scratch.written(
+                rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("two").alias("two"), F.max("two").alias("other")), "owners"
+            )
+            # Of n sets about n^2 / 2^65 meet another under their signature: none here, a few in 10^11.
+            clashes = owners.where("two <> other").select("node").toArrow()["node"].to_numpy()
+            clashing = np.union1d(clashing, clashes)
+            clashes = len(clashes) > 0
+        known.unpersist()
+        sketches = rows.where("node is not null").select("node", "sketch").dropDuplicates(["node"])
+
+        def linked(pairs: DataFrame) -> DataFrame:
+            named = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
+            wanted = scratch.written(owners.select("doc_id", "node").join(named, "node"), "wanted")
+            loaded = _load_sets(docs, wanted, words, clashing, scratch)
+            sets = scratch.written(loaded.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+            links = scratch.written(_verified(pairs, sets, percent), "verified")
+            scratch.drop(wanted, sets)
+            return links
+
+        comps = cluster(
+            emitted.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"), "n", "pos"),
+            lambda nodes: sketches,
+            SKETCH,
+            linked,
+            lambda n, m: n + m - 2 * _needed(n, m, percent),
+            lambda n, m, room: _may_link(n, m, room, percent),
+        )
+        of = rows.select("doc_id", "n", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        least = of.where("comp is not null").groupBy("comp").agg(
+            F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n_docs")
+        )
+        return written(of.join(least, "comp", "left").select(
+            "doc_id", F.col("n").cast("long").alias("n_shingles"),
+            F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_docs", F.lit(1)).alias("n_docs"),
+        ), "components")
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest id, all of its columns.
 
-    Documents without words link with nothing, so all of them stay.
+    Documents without words (or null) link with nothing, so all of them stay; rows repeated with the id that
+    stays all do. Columns of any name are kept as they are.
     """
     stay = near_components(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = stay.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    named = stay.select(F.struct(F.col("doc_id")).alias("stays")).distinct()
+    return docs.join(named, F.struct(docs["doc_id"]) == named["stays"], "left_semi")
