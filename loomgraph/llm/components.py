@@ -24,18 +24,20 @@ ROUNDS = 2
 def connected(links: DataFrame, keep: Scratch | None = None) -> DataFrame:
     """``links`` (x, y) as undirected: node and comp, the smallest node reachable, for all nodes with links.
 
-    Each round ties every node's larger neighbours to its smallest (large star), then a
-    node and its smaller neighbours to the smallest (small star); it ends when nothing
-    changes, after about log2 of the longest path rounds. A hub is one row of a partial
+    Each task first unites what its own links join, so few rounds are left. A
+    round ties every node's larger neighbours to its smallest (large star), then a
+    node and its smaller neighbours to the smallest (small star); rounds go on until nothing
+    changes, about log2 of the longest path. A hub is one row of a partial
     aggregation and a skewed join's key, never a list. Every round is a written table;
     the last is let go with ``keep``, if given.
     """
     with Scratch(links.sparkSession) as scratch:
-        edges = scratch.written(
-            links.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "links"
-        )
-        before = None
-        while True:
+        edges = links.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+        edges = scratch.written(edges.mapInArrow(_united, "u long, v long"), "links")
+        # Sums of hashes tell two edge sets apart without joining them.
+        state = lambda: edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(xxhash64(v, u) % 1000003)")).first()
+        now, before = state(), None
+        while now != before and now[0]:
             both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
             large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -46,16 +48,30 @@ def connected(links: DataFrame, keep: Scratch | None = None) -> DataFrame:
             )).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
             old, edges = edges, scratch.written(small, "links")
             scratch.drop(old)
-            # Sums of hashes tell two edge sets apart without joining them.
-            now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(xxhash64(v, u) % 1000003)")).first()
-            if now == before or now[0] == 0:
-                break
-            before = now
+            now, before = state(), now
         found = edges.groupBy("u").agg(F.min("v").alias("comp")).select(F.col("u").alias("node"), "comp")
         roots = found.select(F.col("comp").alias("node"), "comp").distinct()
         return (keep.written if keep else written)(found.unionByName(roots), "comps")
 
 
+def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as links to the smallest node that they reach among themselves."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = top(u), top(v)
+            up[max(a, b)] = min(a, b)
+    pairs = [(x, t) for x in up if (t := top(x)) != x]
+    for at in range(0, len(pairs), 10_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs[at : at + 10_000])], names=["u", "v"])
+
+
 def bitmap_of(df: DataFrame, col: str) -> tuple[np.ndarray, int]:
     """Marks of the values of ``col`` modulo 2^bits, packed, and bits: about 16 places a value, 8 MB at most."""
     bits = int(min(26, max(18, np.ceil(np.log2(16 * max(df.count(), 1))))))
@@ -101,7 +117,7 @@ def cluster(
     ``keys`` has key, node, n (the set's size) and pos (the key's place among the node's, which
     all nodes order alike). ``sketched`` gives of nodes, or of more, a parity sketch of ``words`` 64-bit words:
     every member of the node's set flips one bit. ``verify`` returns the links among pairs (x, y).
-    ``most_apart`` says of two sizes how many members two linked sets may not share.
+    ``most_apart`` says of two sizes how many members two linked sets may not share (-1 if they can't link).
     ``pair_fits`` says of the smaller and the larger size and of the room (the lesser of n - pos)
     whether two nodes of a key may link. Both only rule out what can't be.
 
@@ -168,10 +184,10 @@ def cluster(
         def open_rows(rows: DataFrame) -> DataFrame:
             """Rows with their components now, of keys whose nodes lie in several."""
             placed = rows.select("key", "node", "n", "at", "pos", "before").join(comps, "node", "left")
-            placed = scratch.written(placed.select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"), "pos", "before"), "placed")
+            placed = placed.select("key", "node", "n", "at", F.coalesce("comp", "node").alias("comp"), "pos", "before")
             open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
             out = scratch.written(placed.join(open_.where("lo <> hi").select("key"), "key"), "open")
-            scratch.drop(rows, placed)
+            scratch.drop(rows)
             return out
 
         rows = open_rows(rows)

@@ -61,15 +61,16 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group, with the columns of ``docs``.
+    """The rows of ``docs`` that stay, one of each group, with the columns of ``docs``, whatever their names.
 
-    Rows repeated with the same id and text collapse to one.
+    A null text counts as empty. Rows repeated with the same id and text collapse to one. An empty table gives no rows.
     """
-    decided = written(exact_groups(docs, keep=keep).where("kept").select(F.col("doc_id").alias("_keep_id"), "text_sha256"), "kept")
-    sha = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
-    same = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (sha == F.col("text_sha256"))
+    decided = written(exact_groups(docs, keep=keep).where("kept").select("doc_id", "text_sha256"), "kept")
+    sha = F.sha2(lower_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
+    same = docs["doc_id"].eqNullSafe(decided["doc_id"]) & (sha == decided["text_sha256"])
     stay = docs.join(decided, same, "left_semi")
-    repeated = decided.groupBy("_keep_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = decided.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if repeated.isEmpty():
         return stay
-    return stay.withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    one = stay.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].alias("id"), sha.alias("sha"))
+    return one.dropDuplicates(["id", "sha"]).select("row.*")

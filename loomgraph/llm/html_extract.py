@@ -14,6 +14,7 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
@@ -29,6 +30,8 @@ from loomgraph.llm.url_filter import host_of
 HOSTS, SHARES = 256, 16
 #: Neighbours beyond which those with the same key become one repeated part.
 WIDE = 64
+#: Elements nested deeper than this stand beside each other in the one at this depth, as browsers do it.
+DEEP = 128
 #: Bytes of all wrappers up to which they are broadcast; beyond, they join by shuffle.
 BROADCAST = 16 << 20
 
@@ -70,10 +73,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "key", "off", "kids")
+    __slots__ = ("tag", "key", "off", "kids", "flat")
 
     def __init__(self, tag: str, key: str, off: bool):
-        self.tag, self.key, self.off, self.kids = tag, key, off, []
+        self.tag, self.key, self.off, self.kids, self.flat = tag, key, off, [], False
 
 
 def _node(tag: str, attributes: str) -> Node:
@@ -96,10 +99,34 @@ def _node(tag: str, attributes: str) -> Node:
 def tree(page: str) -> Node:
     """The page's token stream nested by its tags; texts are decoded strings among the children.
 
-    Ends that are left out, in wrong order or missing at the end are supplied.
+    Ends that are left out, in wrong order or missing at the end are supplied. Beyond ``DEEP``
+    open elements a further one adds its texts to the last of these, parted where it is a block; what is
+    never the article adds none.
     """
     root = Node("#root", "#root", False)
-    stack, at, size = [root], 0, len(page)
+    stack, open_, at, size = [root], Counter(), 0, len(page)
+
+    def close(i: int) -> None:
+        for node in stack[i:]:
+            open_[node.tag] -= 1
+            if node.flat and node.tag in BLOCK:
+                node.kids.append(Node(node.tag, node.tag, False))
+        del stack[i:]
+
+    def put(node: Node, opens: bool) -> None:
+        above = stack[-1].kids
+        if len(stack) <= DEEP:
+            above.append(node)
+        else:
+            if node.tag in BLOCK:
+                above.append(Node(node.tag, node.tag, False))
+            node.flat = not node.off
+            if node.flat:
+                node.kids = above
+        if opens:
+            stack.append(node)
+            open_[node.tag] += 1
+
     while at < size:
         m = MARK.search(page, at)
         if not m:
@@ -114,32 +141,29 @@ def tree(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in WALLS and tag not in WALLS:
                     break
             continue
         closes = {"p"} if tag in ENDS_P else CLOSES.get(tag, ())
-        if closes:
+        if any(open_[c] for c in closes):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in closes:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in WALLS and stack[i].tag not in closes:
                     break
-        node = _node(tag, m[3])
-        stack[-1].kids.append(node)
+        # In HTML a slash doesn't end an element, but for those of drawings.
+        ended = m[3].rstrip().endswith("/") and tag in ("svg", "path", "g")
+        put(_node(tag, m[3]), tag not in VOID and tag not in RAW and not ended)
         if tag in RAW:
             end = re.compile(rf"</{tag}[\s/>]|</{tag}$", re.IGNORECASE).search(page, at)
             at = end.start() if end else size
             if end:
                 at = (page.find(">", end.start()) + 1) or size
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append(node)
-        elif tag not in VOID and tag not in ("svg", "path", "g"):
-            stack.append(node)  # in HTML a slash doesn't end an element
     return root
 
 
@@ -293,6 +317,8 @@ def text_of(node: Node, own: set[int]) -> str:
     """The node's text by blocks, without what is never the article and the template's own texts."""
     blocks: list[str] = []
     run: list[str] = []
+    menus: set[int] = set()
+    _menus(node, menus)
 
     def flush() -> None:
         if run:
@@ -309,7 +335,7 @@ def text_of(node: Node, own: set[int]) -> str:
             elif not k.off:
                 if k.tag in BLOCK:
                     flush()
-                if not _links(k):
+                if id(k) not in menus:
                     walk(k, headings_only and k.tag not in HEADINGS)
                 if k.tag in BLOCK:
                     flush()
@@ -325,23 +351,19 @@ def text_of(node: Node, own: set[int]) -> str:
     return " ".join(blocks)
 
 
-def _links(node: Node) -> bool:
-    """Whether a block is a menu: three links or more that hold four fifths of its words."""
-    if node.tag not in BLOCK or node.tag in ("p", "br"):
-        return False
+def _menus(node: Node, found: set[int]) -> tuple[int, int, int]:
+    """Links, words and words in links below a node; ``found`` gets its blocks that are menus: three links or more that hold four fifths of the words."""
     links = words = inside = 0
-    todo: list[tuple[Node, bool]] = [(node, False)]
-    while todo:
-        n, in_link = todo.pop()
-        for k in n.kids:
-            if isinstance(k, str):
-                c = len(k.split())
-                words += c
-                inside += c * in_link
-            else:
-                links += k.tag == "a"
-                todo.append((k, in_link or k.tag == "a"))
-    return links >= 3 and inside >= 0.8 * words
+    for k in node.kids:
+        if isinstance(k, str):
+            words += len(k.split())
+        elif k.kids and not k.flat:
+            n, w, i = _menus(k, found)
+            link = k.tag == "a"
+            links, words, inside = links + n + link, words + w, inside + (w if link else i)
+    if node.tag in BLOCK and node.tag not in ("p", "br") and links >= 3 and inside >= 0.8 * words:
+        found.add(id(node))
+    return links, words, inside
 
 
 def _find(node: Node, path: list[str]) -> Node | None:

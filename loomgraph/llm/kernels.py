@@ -12,8 +12,7 @@ import pyarrow as pa
 BLOCK = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
-#: A random number per byte value, and the multiplier of a position.
-BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+#: The multiplier of a position.
 STEP = np.uint64(0x5851F42D4C957F2D)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -30,15 +29,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def strings(letters: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each string: ``letters`` are the 64-bit values of all of them, ``first`` where each begins.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
-    Every letter is mixed with a key of its position before they are added, so no
+
+def strings(data: np.ndarray, first: np.ndarray, size: np.ndarray, salts: tuple[int, ...] = (0,)) -> list[np.ndarray]:
+    """A 64-bit hash per salt of each string of bytes; ``first`` and ``size`` (1 at least) place them in ``data``.
+
+    Eight bytes at a time are mixed with a key of their place before they are added, so no
     pattern of letters makes two strings' sums agree.
     """
-    position = np.arange(len(letters)) - np.repeat(first, size)
-    key = mix(np.arange(1, int(size.max()) + 1, dtype=np.uint64) * STEP)
-    return mix(np.add.reduceat(mix(letters ^ key[position]), first) ^ size.astype(np.uint64))
+    parts = (size + 7) >> 3
+    start = np.cumsum(parts) - parts
+    part = np.arange(int(parts.sum())) - np.repeat(start, parts)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data),), np.dtype("<u8"), buffer=padded, strides=(1,))
+    value = eights[np.repeat(first, parts) + 8 * part] & _MASK[np.minimum(np.repeat(size, parts) - 8 * part, 8)]
+    numbers = np.arange(1, int(parts.max()) + 1, dtype=np.uint64)
+    out = []
+    for salt in salts:
+        key = mix(numbers * STEP + np.uint64(salt))
+        out.append(mix(np.add.reduceat(mix(value ^ key[part]), start) ^ size.astype(np.uint64)))
+    return out
 
 
 def recoded(one: np.ndarray, two: np.ndarray, clashing: np.ndarray) -> np.ndarray:
@@ -81,9 +92,7 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple
     upto = np.searchsorted(a, ends)
     if not len(a):
         return np.zeros(0, np.uint64), upto
-    letter = data[solid]
-    first = np.concatenate(([0], np.cumsum(b - a)[:-1]))
-    return strings(BYTE[_LOWER[letter] if lower else letter], first, b - a), upto
+    return strings(_LOWER[data] if lower else data, a, b - a)[0], upto
 
 
 _CLASS = np.full(256, 3, np.uint8)  # symbols
@@ -102,12 +111,10 @@ def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     if not len(a):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint8), upto
     b = change[np.searchsorted(change, a, "right")]
-    at = np.flatnonzero(kind)
-    first = np.concatenate(([0], np.cumsum(b - a)[:-1]))
-    capital = np.add.reduceat(((data[at] >= 65) & (data[at] <= 90)).astype(np.int64), first)
+    capitals = np.concatenate(([0], np.cumsum((data >= 65) & (data <= 90))))
     which = kind[a].copy()
-    which[(which == 1) & (capital == b - a) & (b - a > 1)] = 4
-    return strings(BYTE[_LOWER[data[at]]], first, b - a), which, upto
+    which[(which == 1) & (capitals[b] - capitals[a] == b - a) & (b - a > 1)] = 4
+    return strings(_LOWER[data], a, b - a)[0], which, upto
 
 
 @cache
@@ -139,13 +146,27 @@ def shingles(words: np.ndarray, upto: np.ndarray, n: int) -> tuple[np.ndarray, n
     return out, owner
 
 
-def distinct(values: np.ndarray, owner: np.ndarray, key: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of each owner, by owner and then ``key`` (or value)."""
-    order = np.lexsort((values, owner)) if key is None else np.lexsort((values, key, owner))
-    v, o = values[order], owner[order]
+def distinct(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of each owner, by owner and then value, and where each was."""
+    at = np.argsort(owner, kind="stable") if len(owner) and (owner[1:] < owner[:-1]).any() else np.arange(len(owner))
+    o, v = owner[at], values[at]
+    cut = np.flatnonzero(np.diff(o, prepend=-1, append=-1)).tolist()
+    order = np.empty(len(v), np.int64)
+    for a, b in zip(cut, cut[1:]):  # each owner's alone: short sorts stay in cache
+        order[a:b] = np.argsort(v[a:b]) + a
+    v, at = v[order], at[order]
     new = np.ones(len(v), bool)
     new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
-    return v[new], o[new]
+    return v[new], o[new], at[new]
+
+
+def by_level(level: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The order by owner (sorted already) and then level, else as it is."""
+    both = level.astype(np.int64) << 40 | np.arange(len(level))
+    cut = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)).tolist()
+    for a, b in zip(cut, cut[1:]):
+        both[a:b].sort()
+    return both & ((1 << 40) - 1)
 
 
 def parity(values: np.ndarray, owner: np.ndarray, texts: int, words: int = 4) -> np.ndarray:
@@ -162,6 +183,13 @@ def parity(values: np.ndarray, owner: np.ndarray, texts: int, words: int = 4) ->
     return out
 
 
+def wide_parity(values: np.ndarray) -> np.ndarray:
+    """A sketch of one set, of as many bits as the next power of two has, at least 2048."""
+    bits = max(2048, 1 << int(len(values) - 1).bit_length())
+    odd = np.bincount((values >> np.uint64(13)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def lists(table: np.ndarray) -> pa.ListArray:
     """The rows of a table of 64-bit numbers as lists."""
     n, k = table.shape

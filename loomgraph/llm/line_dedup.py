@@ -22,8 +22,6 @@ SHINGLE, BANDS, ROWS, PERCENT = 8, 8, 3, 80
 SHORT, FINE = 80, 3
 #: Characters that go through the arrays at once, lines remembered within a task, words of a line's parity sketch.
 BLOCK, SEEN, SKETCH = 1 << 17, 1 << 16, 16
-#: Bits of a node; fewer only in tests, so that different lines meet in one.
-NODE_BITS = 64
 
 _MULTIPLY = K._rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 _PLACE = K._rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -40,12 +38,10 @@ def codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code, np.fromiter(map(len, lines), np.int64, len(lines))
 
 
-def identities(code: np.ndarray, size: np.ndarray, clashing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit node of each line and a second hash that confirms it; nodes that are ``clashing`` (sorted) are made of both."""
-    first = np.cumsum(size) - size
-    letters = code.astype(np.uint64)
-    one = (K.strings(K.mix(letters * _PLACE[0]), first, size) >> np.uint64(64 - NODE_BITS)).view(np.int64)
-    two = K.strings(K.mix(letters * _PLACE[1] + K.STEP), first, size).view(np.int64)
+def identities(code: np.ndarray, size: np.ndarray, clashing: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """A node of each line, of ``bits``, and a second hash that confirms it; nodes that are ``clashing`` (sorted) are made of both."""
+    one, two = K.strings(code.view(np.uint8), 4 * (np.cumsum(size) - size), 4 * size, (0, 1))
+    one, two = (one >> np.uint64(64 - bits)).view(np.int64), two.view(np.int64)
     return K.recoded(one, two, clashing), two
 
 
@@ -191,7 +187,7 @@ def _split(text: str | None) -> list[str]:
     return text.split("\n") if text else []
 
 
-def _lines_of(part: pa.RecordBatch, repeats: bool) -> tuple[list, list[str], list[int]]:
+def _lines_of(part: pa.RecordBatch) -> tuple[list, list[str], list[int]]:
     """Document, normalised line and line number of every line of the batch that isn't blank."""
     ids, lines, numbers = [], [], []
     for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -203,17 +199,17 @@ def _lines_of(part: pa.RecordBatch, repeats: bool) -> tuple[list, list[str], lis
     return ids, lines, numbers
 
 
-def _emitted(docs: DataFrame, clashing: np.ndarray) -> DataFrame:
+def _emitted(docs: DataFrame, clashing: np.ndarray, node_bits: int) -> DataFrame:
     """kind 0: a = doc_id, node, n = line number, the line's second hash; kind 1: a = band key, node, n = shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, seen = ["kind", "a", "node", "n", "two"], set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                ids, lines, numbers = _lines_of(batch.slice(at, 256), True)
+                ids, lines, numbers = _lines_of(batch.slice(at, 256))
                 for start, chunk in _chunks(lines):
                     code, size = codes(chunk)
-                    nodes, two = identities(code, size, clashing)
+                    nodes, two = identities(code, size, clashing, node_bits)
                     stop = start + len(chunk)
                     columns = [np.zeros(len(chunk), np.int32), pa.array(ids[start:stop], pa.int64()), nodes, pa.array(numbers[start:stop], pa.int32()), two]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=names)
@@ -236,7 +232,7 @@ def _emitted(docs: DataFrame, clashing: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "kind int, a long, node long, n int, two long")
 
 
-def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) -> DataFrame:
     """Every line that isn't blank: doc_id, line_no (from 0), line_key, keep_doc_id, keep_line_no, group_lines, kept.
 
     Lines are near copies when the Jaccard similarity of their shingles is ``percent`` or more: of two normalised
@@ -247,13 +243,13 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     (each is given, and kept or not, as often). Other columns, whatever their names, are not read.
 
     Equal normalised lines are one node: a 64-bit hash, confirmed by a second one; lines that differ in the
-    second alone get other nodes. Band keys are cut from whole lines; ``cluster`` verifies the candidates on the lines' characters.
+    second alone get other nodes (``node_bits`` are those of the first; fewer only make more of this). Band keys are cut from whole lines; ``cluster`` verifies the candidates on the lines' characters.
     """
     docs = docs.select("doc_id", "text")
     with Scratch(docs.sparkSession) as scratch:
         clashing, clashes = np.zeros(0, np.int64), True
         while clashes:
-            emitted = scratch.written(_emitted(docs, clashing), "lines", "kind")
+            emitted = scratch.written(_emitted(docs, clashing, node_bits), "lines", "kind")
             lines = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("line_no"), "node", "two")
             firsts = F.min(F.struct("doc_id", "line_no")).alias("first")
             owners = scratch.written(
@@ -267,7 +263,7 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
         def sketched(nodes: DataFrame) -> DataFrame:
             wanted = scratch.written(owners.select("node", "doc_id").join(nodes, "node"), "wanted")
-            texts.append(scratch.written(_load_lines(docs, wanted, clashing, scratch), "line-texts"))
+            texts.append(scratch.written(_load_lines(docs, wanted, clashing, node_bits, scratch), "line-texts"))
             return texts[0].drop("line")
 
         comps = cluster(
@@ -275,8 +271,8 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             sketched,
             SKETCH,
             lambda pairs: scratch.written(_verified(pairs, texts[0].select("node", "line"), percent), "verified"),
-            lambda n, m: F.floor((n + m) * (100 - percent) / F.lit(100.0 + percent) + 1e-9),
             # Counts of distinct shingles may be one or two too low.
+            lambda n, m: F.when(100 * (F.least(n, m) + 2) >= percent * F.greatest(n, m), F.floor((n + m + 4) * (100 - percent) / F.lit(100.0 + percent) + 1e-9)).otherwise(-1),
             lambda n, m, room: 100 * (n + 2) >= percent * m,
         )
         placed = lines.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -288,7 +284,7 @@ def line_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ), "line-groups")
 
 
-def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, scratch: Scratch) -> DataFrame:
+def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, node_bits: int, scratch: Scratch) -> DataFrame:
     """(node, line and its parity sketch) of the ``wanted`` (node, doc_id) rows, each line from its owner document.
 
     Bitmaps of bounded size over the documents and the nodes' low bits let only likely lines out of the
@@ -303,10 +299,10 @@ def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, scratc
         for batch in batches:
             batch = batch.filter(pa.array(K.marked(of_docs, batch.column(2).to_numpy())))
             for at in range(0, batch.num_rows, 256):
-                ids, lines, _ = _lines_of(batch.slice(at, 256), False)
+                ids, lines, _ = _lines_of(batch.slice(at, 256))
                 for start, chunk in _chunks(lines):
                     code, size = codes(chunk)
-                    nodes, _ = identities(code, size, clashing)
+                    nodes, _ = identities(code, size, clashing, node_bits)
                     keep = K.marked(marks, nodes & ((1 << bits) - 1))
                     if not keep.any():
                         continue
@@ -318,7 +314,7 @@ def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, scratc
                             take = np.zeros(len(chunk), bool)
                             take[these] = True
                             hashes, count = members(code[np.repeat(take, size)], size[take], fine)
-                            values, who = K.distinct(hashes, np.repeat(np.arange(len(these)), count))
+                            values, who, _ = K.distinct(hashes, np.repeat(np.arange(len(these)), count))
                             sketch[these] = K.parity(values, who, len(these), SKETCH)
                     found = np.flatnonzero(keep)
                     yield pa.RecordBatch.from_arrays(

@@ -137,12 +137,11 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes the whole document (0 to 2 times by default).
 
-    Rows of the same id, source and size are taken alike.
+    Rows of the same id, source and size are taken alike. A null or blank text has no words and is never taken.
+    Columns of any name are kept; an empty table gives no rows.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    times = (
-        mix_sources(docs, **how).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size"))
-        .agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (size == F.col("_size"))
-    return docs.join(times, same).withColumn("_turn", F.explode(F.expr("sequence(1, _copies)"))).select(*docs.columns)
+    times = mix_sources(docs, **how).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).where("copies > 0")
+    size = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
+    same = docs["doc_id"].eqNullSafe(times["doc_id"]) & docs["source"].eqNullSafe(times["source"]) & (size == times["size"])
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("row")
+    return docs.join(times, same).select(row, F.explode(F.sequence(F.lit(1).cast("long"), times["copies"]))).select("row.*")

@@ -33,10 +33,8 @@ WORDS, PERCENT = 4, 85
 WORD_BITS, GRAM_BITS = 16, 20
 #: N-grams counted together within a task, and sets remembered within one.
 WINDOW, SEEN = 1 << 20, 1 << 16
-#: 64-bit words of a set's parity sketch: sets of some 2800 n-grams and fewer are told apart by it.
-SKETCH = 16
-#: Bits of a node; fewer only in tests, so that different sets meet in one.
-NODE_BITS = 64
+#: 64-bit words of a set's parity sketch; beyond so many n-grams, a set also has one of as many bits as n-grams.
+SKETCH, WIDE = 16, 1024
 
 
 class Rarity:
@@ -74,8 +72,8 @@ def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray, np.n
         yield start, words, upto, grams, owner
 
 
-def _signatures(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Size, signature and a second signature of each text's set of distinct values."""
+def _signatures(values: np.ndarray, owner: np.ndarray, texts: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size, signature (of ``bits``) and a second signature of each text's set of distinct values."""
     size = np.bincount(owner, minlength=texts)
     sums = np.zeros((2, texts), np.uint64)
     if len(values):
@@ -84,7 +82,7 @@ def _signatures(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.n
         for row, salt in zip(sums, (0x9E37, 0x51ED270B)):
             row[some] = np.add.reduceat(K.mix(values + np.uint64(salt)), start)
     one, two = K.mix(sums[0] + size.astype(np.uint64)), K.mix(sums[1] ^ size.astype(np.uint64))
-    return size, (one >> np.uint64(64 - NODE_BITS)).view(np.int64), two.view(np.int64)
+    return size, (one >> np.uint64(64 - bits)).view(np.int64), two.view(np.int64)
 
 
 def rarity(docs: DataFrame, n: int, scratch: Scratch) -> Rarity:
@@ -116,11 +114,8 @@ def rarity(docs: DataFrame, n: int, scratch: Scratch) -> Rarity:
                 # The task's own words stand for all: they only tell what chance explains.
                 log_words = np.log2(np.maximum(words_seen, 1)).astype(np.float32)
                 expected = _expected(log_words, float(np.log2(max(int(words_seen.sum()), 1))), words, upto, n)
-                order = np.lexsort((grams, owner))
-                v, o = grams[order], owner[order]
-                new = np.ones(len(v), bool)
-                new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
-                v, o, e = v[new], o[new], expected[order][new]
+                v, o, at = K.distinct(grams, owner)
+                e = expected[at]
                 _, sids, _ = _signatures(v, o, len(upto))
                 fresh = np.zeros(len(upto), bool)
                 for i, s in enumerate(sids.tolist()):
@@ -156,38 +151,55 @@ def rarity(docs: DataFrame, n: int, scratch: Scratch) -> Rarity:
     return Rarity(words_seen, table)
 
 
-def _prefixes(docs: DataFrame, known: Broadcast, n: int, percent: int, clashing: np.ndarray) -> DataFrame:
-    """kind 0: a = doc_id, b = node, n = size, its second signature and its sketch; kind 1: a = n-gram, b = node, n = size, pos in the prefix."""
+def _prefixes(docs: DataFrame, known: Broadcast, n: int, percent: int, clashing: np.ndarray, bits: int) -> DataFrame:
+    """kind 0: a = doc_id, b = node, n = size, its second signature and its sketches; kind 1: a = n-gram, b = node, n = size, pos in the prefix."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "a", "b", "n", "pos", "two", "sketch"]
+        names = ["kind", "a", "b", "n", "pos", "two", "sketch", "wide"]
         r, seen = known.value, set()
         for batch in batches:
             ids = batch.column(0)
             for start, words, upto, grams, owner in _sets(batch, n):
                 level = r.level(_expected(r.log_words, r.total, words, upto, n), grams)
-                values, who = K.distinct(grams, owner)
-                size, one, two = _signatures(values, who, len(upto))
+                values, who, at = K.distinct(grams, owner)
+                size, one, two = _signatures(values, who, len(upto), bits)
                 nodes, texts = K.recoded(one, two, clashing), len(upto)
                 none = np.zeros(texts, np.int32)
                 columns = [none, ids.slice(start, texts).cast(pa.int64()), pa.array(nodes, mask=size == 0), size.astype(np.int32), none, two]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), K.lists(K.parity(values, who, texts, SKETCH))], names=names)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), K.lists(K.parity(values, who, texts, SKETCH)), _wide(values, size)], names=names)
                 fresh = np.zeros(texts, bool)  # copies within a task say the same
                 for i, s in enumerate(nodes.tolist()):
                     if s not in seen:
                         fresh[i] = True
                         if len(seen) < SEEN:
                             seen.add(s)
-                take = fresh[owner]
-                values, who = K.distinct(grams[take], owner[take], level[take])
+                take = fresh[who]
+                values, who, level = values[take], who[take], level[at[take]]
+                order = K.by_level(level, who)
+                values = values[order]
                 first = np.searchsorted(who, np.arange(texts))
                 position = np.arange(len(who)) - first[who]
                 length = size - (percent * size + 99) // 100 + 1
                 inside = np.flatnonzero(position < length[who])
                 own = who[inside]
                 columns = [np.ones(len(inside), np.int32), values[inside].view(np.int64), nodes[own], size[own].astype(np.int32), position[inside].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(inside), pa.int64()), pa.nulls(len(inside), pa.list_(pa.int64()))], names=names)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(inside), pa.int64()), *[pa.nulls(len(inside), pa.list_(pa.int64()))] * 2], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind int, a long, b long, n int, pos int, two long, sketch array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "kind int, a long, b long, n int, pos int, two long, sketch array<long>, wide array<long>")
+
+
+def _wide(values: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The wide sketches of the sets of more than ``WIDE`` values, null for others."""
+    at = np.cumsum(size) - size
+    return pa.array([K.wide_parity(values[a : a + n]) if n > WIDE else None for a, n in zip(at, size)], pa.list_(pa.int64()))
+
+
+def _far_apart(a: Column, b: Column, most: Column) -> Column:
+    """Whether wide sketches differ in more than ``most`` bits; of two lengths, the longer one's halves are added first."""
+    fold = lambda x: F.zip_with(F.slice(x, 1, F.floor(F.size(x) / 2).cast("int")), F.slice(x, F.floor(F.size(x) / 2).cast("int") + 1, F.size(x)), lambda p, q: p.bitwiseXOR(q))
+    one = F.when(F.size(a) > F.size(b), fold(a)).otherwise(a)
+    two = F.when(F.size(b) > F.size(a), fold(b)).otherwise(b)
+    differ = F.aggregate(F.zip_with(one, two, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, k: s + k)
+    return F.coalesce(differ > most, F.lit(False))
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -200,7 +212,7 @@ def _may_link(n: Column, m: Column, room: Column, percent: int) -> Column:
     return (100 * n >= percent * m) & (room >= _needed(n, m, percent))
 
 
-def _load_sets(docs: DataFrame, wanted: DataFrame, n: int, clashing: np.ndarray, scratch: Scratch) -> DataFrame:
+def _load_sets(docs: DataFrame, wanted: DataFrame, n: int, clashing: np.ndarray, node_bits: int, scratch: Scratch) -> DataFrame:
     """(node, grams as sorted 64-bit little-endian bytes) of the ``wanted`` (doc_id, node) rows, and a few more.
 
     A bitmap of bounded size over hashed ids skips other rows before anything is hashed;
@@ -213,8 +225,8 @@ def _load_sets(docs: DataFrame, wanted: DataFrame, n: int, clashing: np.ndarray,
         for batch in batches:
             batch = batch.filter(pa.array(K.marked(table.value, batch.column(0).to_numpy())))
             for start, _, upto, grams, owner in _sets(batch, n):
-                values, who = K.distinct(grams, owner)
-                size, one, two = _signatures(values, who, len(upto))
+                values, who, _ = K.distinct(grams, owner)
+                size, one, two = _signatures(values, who, len(upto), node_bits)
                 cut = np.concatenate(([0], np.cumsum(size)))
                 raw = values.astype("<u8")
                 blobs = [raw[cut[i] : cut[i + 1]].tobytes() for i in range(len(upto))]
@@ -256,7 +268,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(xs, "x").join(ys, "y").select("x", "y", "gx", "gy").mapInArrow(run, "x long, y long")
 
 
-def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, node_bits: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id and n_docs of the component for every row of ``docs``.
 
     Words are runs of bytes other than space and \\t \\n \\v \\f \\r, A-Z lowered. A text of
@@ -265,15 +277,16 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     ``component_id`` is the smallest doc_id reachable by links, a lone row's own.
     Rows repeated with the same id are rows of one document. ``doc_id`` is an integer;
     a null id stays null and is never a component's id unless all are null. Other columns,
-    whatever their names, are not read; an empty table gives no rows.
+    whatever their names, are not read; an empty table gives no rows. ``node_bits`` are those of a node's first
+    signature; fewer only make more sets meet that the second one then parts.
     """
     docs = docs.select("doc_id", "text")
     with Scratch(docs.sparkSession) as scratch:
         known = docs.sparkSession.sparkContext.broadcast(rarity(docs, words, scratch))  # two tables of fixed size
         clashing, clashes = np.zeros(0, np.int64), True
         while clashes:
-            emitted = scratch.written(_prefixes(docs, known, words, percent, clashing), "prefixes", "kind")
-            rows = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n", "two", "sketch")
+            emitted = scratch.written(_prefixes(docs, known, words, percent, clashing, node_bits), "prefixes", "kind")
+            rows = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), "n", "two", "sketch", "wide")
             owners = scratch.written(
                 rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("two").alias("two"), F.max("two").alias("other")), "owners"
             )
@@ -284,13 +297,21 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         known.unpersist()
         sketches = rows.where("node is not null").select("node", "sketch").dropDuplicates(["node"])
 
+        as_long = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
+        most_apart = lambda n, m: F.when(as_long(n, m), n + m - 2 * _needed(n, m, percent)).otherwise(-1)
+        large = rows.where("wide is not null").select("node", "n", "wide").dropDuplicates(["node"])
+
         def linked(pairs: DataFrame) -> DataFrame:
+            for end in ("x", "y"):
+                pairs = pairs.join(large.select(F.col("node").alias(end), F.struct("n", "wide").alias(f"l{end}")), end, "left")
+            far = _far_apart(F.col("lx.wide"), F.col("ly.wide"), most_apart(F.col("lx.n"), F.col("ly.n")))
+            pairs = scratch.written(pairs.where(~far).select("x", "y"), "fitting")
             named = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
             wanted = scratch.written(owners.select("doc_id", "node").join(named, "node"), "wanted")
-            loaded = _load_sets(docs, wanted, words, clashing, scratch)
+            loaded = _load_sets(docs, wanted, words, clashing, node_bits, scratch)
             sets = scratch.written(loaded.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
             links = scratch.written(_verified(pairs, sets, percent), "verified")
-            scratch.drop(wanted, sets)
+            scratch.drop(pairs, wanted, sets)
             return links
 
         comps = cluster(
@@ -298,7 +319,7 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             lambda nodes: sketches,
             SKETCH,
             linked,
-            lambda n, m: n + m - 2 * _needed(n, m, percent),
+            most_apart,
             lambda n, m, room: _may_link(n, m, room, percent),
         )
         of = rows.select("doc_id", "n", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -37,7 +37,7 @@ def features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     texts = len(upto)
     size = np.diff(upto, prepend=0)
     owner = np.repeat(np.arange(texts), size)
-    values, who = K.distinct(hashes, owner)
+    values, who = K.distinct(hashes, owner)[:2]
     unlike = np.bincount(who, minlength=texts)
     number = [(values >> np.uint64(64 - BITS)).astype(np.int64)]
     text = [who]

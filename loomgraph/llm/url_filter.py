@@ -77,8 +77,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url_c
     best = (
         tried.join(keyed, "_short").where(sure).groupBy("host", "path")
         .agg(F.max(rank).alias("_best"))
-        .select("host", "path", F.col("_best._rule").alias("rule"), F.col("_best._verdict").alias("_v"))
+        .select(F.col("host").alias("on_host"), F.col("path").alias("on_path"), F.col("_best._rule").alias("rule"), F.col("_best._verdict").alias("verdict"))
     )
-    return placed.join(best, ["host", "path"], "left").select(
-        *kept, "host", "path", "rule", F.coalesce("_v", F.lit(default)).alias("verdict")
+    same = (placed["host"] == best["on_host"]) & (placed["path"] == best["on_path"])
+    return placed.join(best, same, "left").select(
+        *(placed[c] for c in kept), placed["host"], placed["path"], best["rule"], F.coalesce(best["verdict"], F.lit(default)).alias("verdict")
     )

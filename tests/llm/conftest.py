@@ -4,7 +4,7 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns of documents that clash with names the operators use inside.
-CLASHES = {"node": 1, "key": "k", "comp": 2, "_t": "x", "size": 3}
+CLASHES = {"node": 1, "key": "k", "comp": 2, "_t": "x", "size": 3, "text_sha256": "y", "_keep_id": 4, "_id": 5, "_gone": 6, "_size": 7, "_copies": 8, "_src": "z", "_h": 9, "_v": 10, "stays": 11, "lost": 12, "d": 13}
 
 
 @pytest.fixture(scope="session")
