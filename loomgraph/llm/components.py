@@ -83,25 +83,28 @@ def bitmap_of(df: DataFrame, col: str) -> tuple[np.ndarray, int]:
     return K.bitmap(packed.collect(), bits), bits
 
 
-def likely(scratch: Scratch, df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+def likely(df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
     """The rows of ``df`` whose ``col`` is among ``wanted_col``, and a few others that share a place.
 
-    The marks have a bounded size, so this never shuffles; an exact join follows.
+    The marks have a bounded size (8 MB), so they are broadcast and this never shuffles; an exact join follows.
     """
     marks, bits = bitmap_of(wanted, wanted_col)
-    table = scratch.broadcast(marks)
-    at = df.columns.index(col)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(K.marked(table.value, batch.column(at).to_numpy() & ((1 << bits) - 1))))
-
-    return df.mapInArrow(run, df.schema)
+    words = np.packbits(np.unpackbits(marks), bitorder="little").view("<i8").reshape(-1, 64)
+    table = pa.table({"at": pa.array(np.arange(len(words))), "words": K.lists(words)})
+    held = F.broadcast(df.sparkSession.createDataFrame(table))
+    place = F.pmod(F.col(col), F.lit(1 << bits))
+    met = df.join(held, F.shiftright(place, 12) == held["at"])
+    word = F.get("words", F.shiftright(place, 6).bitwiseAND(63).cast("int"))
+    return met.where(F.bit_get(word, place.bitwiseAND(63).cast("int")) == 1).select(*df.columns)
 
 
 def apart(a: Column, b: Column, words: int) -> Column:
-    """A lower bound of how many members two sets don't share: the bits in which their parity sketches differ."""
-    return reduce(lambda x, y: x + y, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)])
+    """A lower bound of how many members two sets don't share: the bits in which their parity sketches differ.
+
+    A sketch may have a further word, its kind; of different kinds nothing is known.
+    """
+    differ = reduce(lambda x, y: x + y, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)])
+    return F.when(F.get(a, F.lit(words)).eqNullSafe(F.get(b, F.lit(words))), differ).otherwise(0)
 
 
 def cluster(
@@ -138,7 +141,7 @@ def cluster(
         met = met.where(F.col("x") != F.col("y")).where((F.col("c") > 2) | pair_fits(F.col("n"), F.col("m"), F.col("room")))
         met = scratch.written(met.select("key", "c", "x", "y", "n", "m"), "shared")
         more = met.where("c > 2").select("key")
-        narrow = likely(scratch, keys, "key", more, "key").groupBy("key", "node").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
+        narrow = likely(keys, "key", more, "key").groupBy("key", "node").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
         narrow = scratch.written(narrow.join(more, "key", "left_semi"), "narrow")
         crowded = scratch.written(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FEW), "crowded")
 

@@ -15,15 +15,20 @@ from loomgraph.llm.common import Scratch, written
 from loomgraph.llm.components import bitmap_of, cluster
 
 #: Characters of a shingle, bands, rows of a band, and the similarity in percent. Lines of similarity
-#: 0.8 share a band with probability 1 - (1 - 0.8^3)^8 = 0.997; of 0.9, 0.99999.
-SHINGLE, BANDS, ROWS, PERCENT = 8, 8, 3, 80
+#: 0.8 share a band with probability 1 - (1 - 0.8^4)^12 = 0.998; of 0.9, 0.99999.
+SHINGLE, BANDS, ROWS, PERCENT = 8, 12, 4, 80
 #: Lines of up to SHORT characters are compared by shingles of FINE, the k-th occurrence of one apart from
 #: the first: one changed character leaves a similarity of 0.8 from 29 characters on, of 8-shingles from 79 on.
 SHORT, FINE = 80, 3
+#: Their bands are of longer shingles, which unlike lines don't share by chance: where FINE ones reach 0.8, of
+#: FINE_BAND characters 0.6 or more are shared, and a band with probability 1 - (1 - 0.6^3)^24 = 0.997.
+FINE_BAND, FINE_BANDS, FINE_ROWS = 6, 24, 3
+#: Lines from here on may be similar to one longer than SHORT.
+BORDER = int(0.8 * (SHORT + 2 - SHINGLE)) + SHINGLE - 1
 #: Characters that go through the arrays at once, lines remembered within a task, words of a line's parity sketch.
-BLOCK, SEEN, SKETCH = 1 << 17, 1 << 16, 16
+BLOCK, SEEN, SKETCH = 1 << 17, 1 << 16, 8
 
-_MULTIPLY = K._rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+_MULTIPLY = K._rng.integers(1, 1 << 63, FINE_BANDS * FINE_ROWS, dtype=np.uint64) | np.uint64(1)
 _PLACE = K._rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -40,7 +45,12 @@ def codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def identities(code: np.ndarray, size: np.ndarray, clashing: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """A node of each line, of ``bits``, and a second hash that confirms it; nodes that are ``clashing`` (sorted) are made of both."""
-    one, two = K.strings(code.view(np.uint8), 4 * (np.cumsum(size) - size), 4 * size, (0, 1))
+    data = np.frombuffer(code.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
+    first = np.cumsum(size) - size
+    if len(data) > len(code):  # bytes of each character, and so of each line
+        size = np.add.reduceat(1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF), first)
+        first = np.cumsum(size) - size
+    one, two = K.strings(data, first, size, (0, 1))
     one, two = (one >> np.uint64(64 - bits)).view(np.int64), two.view(np.int64)
     return K.recoded(one, two, clashing), two
 
@@ -53,10 +63,12 @@ def shingle_hashes(code: np.ndarray, size: np.ndarray, width: int) -> tuple[np.n
         code = np.insert(code, np.repeat(np.cumsum(size), fill), 10)
         size = size + fill
     ends = np.cumsum(size)
-    rolled = np.zeros(len(code), np.uint64)
-    letters = code.astype(np.uint64)
-    for k in range(min(width, len(code))):
-        rolled[: len(code) - k] += letters[k:] * _PLACE[k]
+    rolled, span = code.astype(np.uint64), 1
+    while 2 * span <= width:  # of runs of 1, 2, 4, 8 characters
+        rolled[:-span] = rolled[:-span] * _PLACE[span] + rolled[span:]
+        span *= 2
+    if span < width:  # two runs that overlap make one of any other width
+        rolled[: span - width] = rolled[: span - width] * _PLACE[width + 32] + rolled[width - span :]
     inside = np.arange(len(code)) + width <= np.repeat(ends, size)
     return K.mix(rolled[inside]), size - width + 1
 
@@ -78,28 +90,46 @@ def members(code: np.ndarray, size: np.ndarray, fine: bool) -> tuple[np.ndarray,
     return (numbered(hashes, count) if fine else hashes), count
 
 
-def distinct_counts(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Distinct hashes of each line, by one sort: a number is the line and 44 bits of the hash."""
-    out = np.empty(len(count), np.int64)
-    cut = np.concatenate(([0], np.cumsum(count)))
-    for a in range(0, len(count), 1 << 20):
-        b = min(len(count), a + (1 << 20))
-        line = np.repeat(np.arange(b - a, dtype=np.uint64), count[a:b])
-        both = np.sort(line << np.uint64(44) | hashes[cut[a] : cut[b]] >> np.uint64(20))
-        new = np.ones(len(both), bool)
-        new[1:] = both[1:] != both[:-1]
-        out[a:b] = np.bincount((both[new] >> np.uint64(44)).astype(np.int64), minlength=b - a)
-    return out
+def signatures(hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct hashes each line has, and its MinHash signature of ``BANDS * ROWS`` values, both by sorting them.
 
-
-def band_keys(hashes: np.ndarray, count: np.ndarray, fine: bool) -> np.ndarray:
-    """A 64-bit key per line and band of its MinHash signature; of ``fine`` shingles they are other keys."""
+    A line's hashes are dealt to as many bins by their leading bits, and a value is the least of its
+    bin (MinHash by one permutation). An empty bin takes the value of the next one that isn't, and its distance.
+    """
+    lines, bins = len(count), BANDS * ROWS
+    low, end = hashes >> np.uint64(6), np.cumsum(count)
+    start = 0
+    for stop in end.tolist():  # each line's alone: short sorts stay in cache
+        low[start:stop].sort()
+        start = stop
+    new = np.ones(len(low), bool)
+    new[1:] = low[1:] != low[:-1]
+    new[end[:-1]] = True
+    line, low = np.repeat(np.arange(lines), count)[new], low[new]
+    cell = line * bins + (low * np.uint64(bins) >> np.uint64(58)).astype(np.int64)
+    first = np.ones(len(cell), bool)
+    first[1:] = cell[1:] != cell[:-1]
+    table, full = np.zeros(lines * bins, np.uint64), np.zeros(lines * bins, bool)
+    table[cell[first]], full[cell[first]] = K.mix(low[first]), True
+    table, full = table.reshape(lines, bins), full.reshape(lines, bins)
+    at = np.where(full, np.arange(bins), 2 * bins)
+    following = np.minimum.accumulate(np.concatenate([at, at + bins], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :bins]
+    value = np.take_along_axis(table, following % bins, axis=1) + (following - np.arange(bins)).astype(np.uint64) * K.STEP
+    return np.bincount(line, minlength=lines), value
+
+
+def band_keys(signature: np.ndarray, rows: int, family: int) -> np.ndarray:
+    """A 64-bit key per line and band of ``rows`` values; those of another family of signatures are other keys."""
+    lines, values = signature.shape
+    keys = (signature.reshape(lines, values // rows, rows) * _PLACE[8 : 8 + rows]).sum(axis=2, dtype=np.uint64)
+    return K.mix(keys + (np.arange(values // rows, dtype=np.uint64) + np.uint64(100 * family)) * K.STEP)
+
+
+def fine_signatures(code: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """MinHash signatures of short lines: the least of each line's hashes under many multipliers."""
+    hashes, count = shingle_hashes(code, size, FINE_BAND)
     first = np.cumsum(count) - count
-    keys = np.zeros((len(count), BANDS), np.uint64)
-    for i, m in enumerate(_MULTIPLY):
-        band, row = divmod(i, ROWS)
-        keys[:, band] += K.mix(np.minimum.reduceat(hashes * m, first)) * _PLACE[SHINGLE + row]
-    return K.mix(keys + np.arange(BANDS * fine, BANDS * (1 + fine), dtype=np.uint64) * K.STEP)
+    return np.stack([K.mix(np.minimum.reduceat(hashes * m, first)) for m in _MULTIPLY], axis=1)
 
 
 def _chunks(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -219,15 +249,19 @@ def _emitted(docs: DataFrame, clashing: np.ndarray, node_bits: int) -> DataFrame
                             fresh[i] = True
                             if len(seen) < SEEN:
                                 seen.add(node)
-                    # Two lines of which one is longer than SHORT may be similar from 66 characters of the other on.
-                    for fine, these in ((False, size > 0.8 * (SHORT + 1 - SHINGLE)), (True, size <= SHORT)):
+                    for fine, these in ((False, size >= BORDER), (True, size <= SHORT)):
                         take = fresh & these
-                        if take.any():
-                            hashes, count = members(code[np.repeat(take, size)], size[take], fine)
-                            n = count if fine else distinct_counts(hashes, count)
-                            keys = band_keys(hashes, count, fine)
-                            columns = [np.ones(keys.size, np.int32), keys.view(np.int64).ravel(), np.repeat(nodes[take], BANDS), np.repeat(n, BANDS).astype(np.int32)]
-                            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(keys.size, pa.int64())], names=names)
+                        if not take.any():
+                            continue
+                        own = code[np.repeat(take, size)]
+                        if fine:
+                            n, keys = np.maximum(size[take] - FINE + 1, 1), band_keys(fine_signatures(own, size[take]), FINE_ROWS, 1)
+                        else:
+                            n, signature = signatures(*shingle_hashes(own, size[take], SHINGLE))
+                            keys = band_keys(signature, ROWS, 0)
+                        bands = keys.shape[1]
+                        columns = [np.ones(keys.size, np.int32), keys.view(np.int64).ravel(), np.repeat(nodes[take], bands), np.repeat(n, bands).astype(np.int32)]
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(keys.size, pa.int64())], names=names)
 
     return docs.mapInArrow(run, "kind int, a long, node long, n int, two long")
 
@@ -306,16 +340,14 @@ def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, node_b
                     keep = K.marked(marks, nodes & ((1 << bits) - 1))
                     if not keep.any():
                         continue
-                    # A short line has a sketch only of its fine shingles; it rules out nothing beside a longer one.
-                    sketch = np.zeros((len(chunk), SKETCH), np.int64)
+                    sketch = np.zeros((len(chunk), SKETCH + 1), np.int64)
+                    sketch[:, SKETCH] = size <= SHORT  # what kind of shingles it is of
                     for fine in (False, True):
-                        these = np.flatnonzero(keep & ((size <= SHORT) == fine))
-                        if len(these):
-                            take = np.zeros(len(chunk), bool)
-                            take[these] = True
+                        take = keep & ((size <= SHORT) == fine)
+                        if take.any():
                             hashes, count = members(code[np.repeat(take, size)], size[take], fine)
-                            values, who, _ = K.distinct(hashes, np.repeat(np.arange(len(these)), count))
-                            sketch[these] = K.parity(values, who, len(these), SKETCH)
+                            values, who, _ = K.distinct(hashes, np.repeat(np.arange(len(count)), count))
+                            sketch[take, :SKETCH] = K.parity(values, who, len(count), SKETCH)
                     found = np.flatnonzero(keep)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([ids[start + i] for i in found], pa.int64()), pa.array(nodes[found]), pa.array([chunk[i] for i in found], pa.string()),
