@@ -23,18 +23,49 @@ def ln_factorial(n: Column) -> Column:
 def fisher_two_sided(a: Column, b: Column, c: Column, d: Column) -> Column:
     """The exact test's p: the probabilities of all tables with the same margins that are no likelier, times 1 + 1e-7.
 
-    A p within 1e-9 of 1 is 1: only rounding parts them.
+    A p within 1e-9 of 1 is 1: only rounding parts them. Both tails are summed from where they begin outwards
+    over some 12 standard deviations, beyond which terms no longer count; the other tail's begin is found by halving. So
+    a pair of nodes with millions of sentences takes thousands of terms.
     """
     r, k, n = a + b, a + c, a + b + c + d
-    whole = ln_factorial(r) + ln_factorial(n - r) + ln_factorial(k) + ln_factorial(n - k) - ln_factorial(n)
     lo, hi = F.greatest(F.lit(0).cast("long"), r + k - n), F.least(r, k)
-
-    def tail(base: Column) -> Column:
-        ln_p = lambda x: base - ln_factorial(x) - ln_factorial(r - x) - ln_factorial(k - x) - ln_factorial(n - r - k + x)
-        terms = F.transform(F.sequence(lo, hi), ln_p)
-        return let(ln_p(a) + 1e-7, lambda seen: F.aggregate(terms, F.lit(0.0), lambda s, t: s + F.when(t <= seen, F.exp(t)).otherwise(0.0)))
-
-    return let(let(whole, tail), lambda p: F.when(p > 1 - 1e-9, F.lit(1.0)).otherwise(p))
+    x = lambda c: c.cast("double")
+    mode = F.floor(x(r + 1) * x(k + 1) / x(n + 2)).cast("long")
+    deviation = F.sqrt(x(r) * x(k) / x(n) * x(n - r) / x(n) * x(n - k) / F.greatest(x(n - 1), F.lit(1.0)))
+    width = F.ceil(12 * deviation + 60).cast("long")
+
+    def tails(at: Column) -> Column:
+        """Of the struct of base, lo, hi, mode, width, a, r, k, rest = n - r - k."""
+        ln_p = lambda i: at["base"] - ln_factorial(i) - ln_factorial(at["r"] - i) - ln_factorial(at["k"] - i) - ln_factorial(at["rest"] + i)
+        total = lambda first, last, most: F.when(first > last, 0.0).otherwise(F.aggregate(
+            F.sequence(first, F.greatest(first, last)), F.lit(0.0), lambda s, i: s + let(ln_p(i), lambda t: F.when(t <= most, F.exp(t)).otherwise(0.0))
+        ))
+        low = at["a"] <= at["mode"]
+
+        def both(seen: Column) -> Column:
+            # The nearest table on the other side of the mode that is no likelier: between inner (likelier) and outer (not, or beyond the end).
+            start = F.struct(at["mode"].alias("inner"), F.when(low, at["hi"] + 1).otherwise(at["lo"] - 1).alias("outer"))
+
+            def halve(s: Column, _: Column) -> Column:
+                middle = F.floor((s["inner"] + s["outer"]) / 2).cast("long")
+                step = lambda m: F.when((m == s["inner"]) | (m == s["outer"]), s).when(
+                    ln_p(m) <= seen, F.struct(s["inner"].alias("inner"), m.alias("outer"))
+                ).otherwise(F.struct(m.alias("inner"), s["outer"].alias("outer")))
+                return let(middle, step)
+
+            steps = F.sequence(F.lit(1), F.ceil(F.log2(at["hi"] - at["lo"] + 2)).cast("int") + 1)
+            other = F.aggregate(steps, start, halve)["outer"]
+            left, right = F.when(low, at["a"]).otherwise(other), F.when(low, other).otherwise(at["a"])
+            return let(F.struct(left.alias("left"), right.alias("right")), lambda e: (
+                total(F.greatest(at["lo"], e["left"] - at["width"]), e["left"], seen) + total(e["right"], F.least(at["hi"], e["right"] + at["width"]), seen)
+            ))
+
+        flat = (at["a"] == at["mode"]) | (ln_p(at["a"]) + 1e-7 >= ln_p(at["mode"]))
+        return F.when(flat, 1.0).otherwise(let(ln_p(at["a"]) + 1e-7, both))
+
+    base = ln_factorial(r) + ln_factorial(n - r) + ln_factorial(k) + ln_factorial(n - k) - ln_factorial(n)
+    at = F.struct(base.alias("base"), lo.alias("lo"), hi.alias("hi"), mode.alias("mode"), width.alias("width"), a.alias("a"), r.alias("r"), k.alias("k"), (n - r - k).alias("rest"))
+    return let(let(at, tails), lambda p: F.when(p > 1 - 1e-9, F.lit(1.0)).otherwise(p))
 
 
 def npmi(a: Column, b: Column, c: Column, d: Column, smooth: float = 0.0) -> Column:

@@ -61,21 +61,25 @@ def display_token(t: Column, most: int = 20, kept: int = 10) -> Column:
     return F.when(F.length(t) > most, F.substring(t, 1, kept)).otherwise(t)
 
 
-def running_starts(lengths: Column) -> Column:
-    """The sum of what comes before each number of an array, in blocks: about n^1.5 steps in all."""
+def running_starts(lengths: Column, deep: int = 3) -> Column:
+    """The sum of what comes before each number of an array: in blocks of 32, whose sums are added up the same way."""
+    nothing = F.array(F.lit(0)).cast("array<int>")
+
+    def run(block: Column, base: Column) -> Column:
+        """The sums before each number of a short array, and the sum of all."""
+        return F.aggregate(block, F.array(base), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
 
     def sums(n: Column) -> Column:
-        total = lambda a, x: a + x
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(n) - 1) / 32).cast("int")),
-            lambda b: F.aggregate(F.slice(n, b * 32 + 1, 32), F.lit(0), total),
-        )
-        return let(blocks, lambda heads: F.transform(
-            n, lambda _, i: F.aggregate(F.slice(heads, 1, F.floor(i / 32).cast("int")), F.lit(0), total)
-            + F.aggregate(F.slice(n, F.floor(i / 32).cast("int") * 32 + 1, i % 32), F.lit(0), total),
-        ))
+        if not deep:
+            return F.slice(run(n, F.lit(0)), 1, F.size(n))
+        blocks = F.sequence(F.lit(0), F.floor((F.size(n) - 1) / 32).cast("int"))
+        part = lambda b: F.slice(n, b * 32 + 1, 32)
+        heads = running_starts(F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda a, x: a + x)), deep - 1)
+        return let(heads, lambda h: F.flatten(F.transform(blocks, lambda b: let(
+            part(b), lambda p: F.slice(run(p, F.get(h, b)), 1, F.size(p))
+        ))))
 
-    return let(lengths, sums)
+    return F.when(F.size(lengths) == 0, F.slice(nothing, 1, 0)).otherwise(let(lengths, sums))
 
 
 def _spans(parts: Column, base: Column) -> Column:
@@ -89,6 +93,20 @@ def _spans(parts: Column, base: Column) -> Column:
     return let(parts, build)
 
 
+def token_heads(content: Column | str, ahead: int = 0) -> Column:
+    """tok and start of a content's tokens; with ``ahead``, also the token itself with that many pieces behind it, and the piece before."""
+    def build(p: Column) -> Column:
+        at = running_starts(F.transform(p, F.length))
+        if not ahead:
+            return F.zip_with(p, at, lambda t, s: F.struct(t.alias("tok"), s.alias("start")))
+        text_of = lambda i: F.array_join(F.slice(p, i + 1, ahead + 1), "")
+        return let(at, lambda a: F.transform(p, lambda t, i: F.struct(
+            t.alias("tok"), F.get(a, i).alias("start"), text_of(i).alias("ahead"), F.get(p, i - 1).alias("prev")
+        )))
+
+    return F.filter(let(pieces(content), build), lambda x: x["tok"] != " ")
+
+
 def token_spans(sentence: Column | str, start: Column | int = 0) -> Column:
     """tok, start and end (inclusive) of a sentence's tokens; ``start`` is the sentence's own."""
     base = start if isinstance(start, Column) else F.lit(start)
@@ -134,7 +152,7 @@ def cut_sentence(sentence: Column, most: int = 100, piece: int = 200) -> Column:
 
 def tagger_sentences(title: Column | str, abstract: Column | str) -> Column:
     """Sentences of a document for tagging: a short title stays whole, the abstract's first gets a blank before it."""
-    cut = lambda c: F.flatten(F.transform(split_sentences(c), cut_sentence))
+    cut = lambda c: F.flatten(F.transform(split_sentences(c), lambda s: cut_sentence(s)))
     none = F.array().cast("array<string>")
     blank = lambda a: (F.size(a) == 1) & (F.trim(F.get(a, F.lit(0))) == "")
     head = F.when(F.size(tokens(title)) < 50, F.array(_as(title))).otherwise(cut(title))

@@ -24,6 +24,27 @@ def route_subtype(subtype: Column) -> Column:
     return F.when(kind == "cellline", "cellline").when(kind == "gene", "gene").otherwise("species")
 
 
+def dictionary_mentions(docs: DataFrame, terms: DataFrame, own: bool = False) -> DataFrame:
+    """Every place of a ``term`` in a content between other characters than ASCII letters and digits.
+
+    Gives pmid, start, end (exclusive) and the columns of ``terms``; with ``own`` a term is looked for only in
+    the document of its pmid. Places of a term that overlap count each; an empty or null term has none.
+
+    A content is cut into tokens once, with their offsets; a term meets it by an equi-join on
+    its first token, and only what follows that token is compared.
+    """
+    most = terms.agg(F.max(F.size(text.pieces("term")))).first()[0] or 0
+    heads = docs.select("pmid", F.explode(text.token_heads("content", most if most > 1 else 0)).alias("h")).select("pmid", "h.*")
+    keyed = terms.withColumn("tok", F.get(text.pieces("term"), F.lit(0))).select(F.struct(*terms.columns).alias("t"), "tok", *["pmid"] * own)
+    met = heads.join(keyed, ["tok", *["pmid"] * own])
+    if most > 1:
+        letter = lambda c: F.coalesce(c.rlike("[0-9A-Za-z]"), F.lit(False))
+        behind = F.substr("ahead", F.length("t.term") + 1, F.lit(1))
+        met = met.where(F.startswith("ahead", "t.term") & ~letter(behind) & (letter(F.col("tok")) | ~letter(F.col("prev"))))
+    columns = [c for c in terms.columns if c != "pmid" or not own]
+    return met.select("pmid", "start", (F.col("start") + F.length("t.term")).alias("end"), *[f"t.{c}" for c in columns])
+
+
 def propagate_surfaces(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Every word-bounded occurrence of each surface, with subtype and id of its first mention by start.
 
@@ -33,9 +54,8 @@ def propagate_surfaces(docs: DataFrame, found: DataFrame) -> DataFrame:
         found.where(~F.col("mention").contains("No text")).groupBy("pmid", "mention")
         .agg(F.min_by(F.struct("subtype", "id"), F.struct("start", "end")).alias("s"))
     )
-    places = docs.select("pmid", "content").join(first, "pmid")
-    rows = places.select("pmid", "mention", "s.subtype", "s.id", F.explode(text.occurrences(F.col("content"), F.col("mention"))).alias("o"))
-    return rows.select("pmid", "o.start", "o.end", "mention", "subtype", "id")
+    terms = first.select("pmid", F.col("mention").alias("term"), "s.subtype", "s.id")
+    return dictionary_mentions(docs, terms, own=True).select("pmid", "start", "end", F.col("term").alias("mention"), "subtype", "id")
 
 
 def merge_annotations(docs: DataFrame, model: DataFrame, genes: DataFrame, variants: DataFrame, tool_docs: DataFrame | None = None) -> DataFrame:

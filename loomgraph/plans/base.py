@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import text
 from loomgraph.operators import cooccur
+from loomgraph.operators.mentions import dictionary_mentions
 from loomgraph.operators.relations import ALLOWED, MODEL_TYPES, TOOL_TYPES
+from loomgraph.sources.tables import stored
 
 TYPES = (*MODEL_TYPES, *TOOL_TYPES)
 
@@ -36,22 +38,17 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mentions(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Every place of a term in a content: pmid, entity_type, id, mention, start, end, prob.
-
-    Distinct tokens meet the terms by an equi-join; only where one occurs is the content
-    searched. The terms are a small table that Catalyst broadcasts under its threshold.
-    """
-    found = docs.select("pmid", "content", F.explode(F.array_distinct(text.tokens("content"))).alias("term")).join(terms, "term")
-    places = found.select("pmid", "entity_type", "id", F.col("term").alias("mention"), F.explode(text.occurrences(F.col("content"), F.col("term"))).alias("o"))
-    prob = F.when(F.col("entity_type").isin(*MODEL_TYPES), F.round(0.4 + (F.col("o.start") % 7) * 0.1, 1))
-    return places.select("pmid", "entity_type", "id", "mention", "o.start", "o.end", prob.alias("prob"))
+    """Every place of a term in a content: pmid, entity_type, id, mention, start, end, prob."""
+    places = dictionary_mentions(docs, terms)
+    prob = F.when(F.col("entity_type").isin(*MODEL_TYPES), F.round(0.4 + (F.col("start") % 7) * 0.1, 1))
+    return places.select("pmid", "entity_type", "id", F.col("term").alias("mention"), "start", "end", prob.alias("prob"))
 
 
 def index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The mention index and the number of sentences (one row)."""
     docs = documents(spark, sf_dir)
     total = docs.agg(F.sum(F.size("sents")).cast("long").alias("n"))
-    return cooccur.mention_index(docs, mentions(docs, gazetteer(spark, sf_dir))), total
+    return stored(cooccur.mention_index(docs, mentions(docs, gazetteer(spark, sf_dir))), "index"), total
 
 
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +56,8 @@ def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's graph: significant pairs that are worth keeping; kept, as queries join it to itself."""
-    return cooccur.edges(rated(spark, sf_dir)).persist()
+    """The driver's graph: significant pairs that are worth keeping; written, as queries join it to itself."""
+    return stored(cooccur.edges(rated(spark, sf_dir)), "edges")
 
 
 def clean_sql(x: str) -> str:

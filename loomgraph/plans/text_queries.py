@@ -11,6 +11,9 @@ from loomgraph.plans.catalog import query
 
 _CLEAN = clean_sql("coalesce(text, '')")
 _PUNCTUATION = "!-/:-@\\[-`{-~"
+#: The sentences of c.
+_SPLIT = """string_split(regexp_replace(CASE WHEN length(c) < 3 THEN c ELSE regexp_replace(c[:-3], '([?!])', '\\1' || chr(1), 'g') || right(c, 2) END,
+      '\\.( [A-Z"''-])', '.' || chr(1) || '\\1', 'g'), chr(1))"""
 
 
 @query(f"SELECT doc_id, md5({_CLEAN}) AS digest FROM documents")
@@ -52,7 +55,22 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(text.split_sentences(c)).alias("pos", "sentence"))
 
 
-@query()
+@query(sql("docs", f"""SELECT pmid, (row_number() OVER (PARTITION BY pmid ORDER BY src, k, j) - 1)::INT AS pos,
+  CASE WHEN src = 1 AND k = 1 AND j = 1 THEN ' ' || sentence ELSE sentence END AS sentence
+FROM (
+  SELECT pmid, src, k, parts, unnest(cuts) AS sentence, generate_subscripts(cuts, 1) AS j, sum(len(cuts)) OVER (PARTITION BY pmid, src) AS all_cuts FROM (
+    SELECT *, CASE WHEN whole OR solid <= 100 THEN [part] ELSE list_transform(range(0, cut), lambda i: array_to_string(raw[i * 200 + 1:i * 200 + 200], ''))
+      || CASE WHEN trim(array_to_string(raw[cut * 200 + 1:], ''), ' ') = '' THEN [] ELSE [array_to_string(raw[cut * 200 + 1:], '')] END END AS cuts
+    FROM (
+      SELECT *, list_filter(range(1, (ceil(len(raw) / 200))::BIGINT + 1), lambda i: i = ceil(len(raw) / 200) OR len(list_filter(raw[i * 200 + 1:], lambda t: t <> ' ')) < 100)[1] AS cut
+      FROM (
+        SELECT *, regexp_extract_all(part, {PIECES}) AS raw, len(list_filter(regexp_extract_all(part, {PIECES}), lambda t: t <> ' ')) AS solid FROM (
+          SELECT pmid, src, whole, parts, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM (
+            SELECT pmid, src, src = 0 AND len(list_filter(regexp_extract_all(c, {PIECES}), lambda t: t <> ' ')) < 50 AS whole,
+              CASE WHEN src = 0 AND len(list_filter(regexp_extract_all(c, {PIECES}), lambda t: t <> ' ')) < 50 THEN [c] ELSE {_SPLIT} END AS parts
+            FROM (SELECT pmid, 0 AS src, title AS c FROM docs UNION ALL SELECT pmid, 1, abstract FROM docs WHERE abstract <> '')
+          ))))))
+WHERE NOT (all_cuts = 1 AND trim(sentence, ' ') = '')"""))
 def tagger_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomgraph.plans.base import documents
 

@@ -172,10 +172,12 @@ def with_pmc_ids(pmids: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def year_windows(first: int, hits: int, this_year: int) -> list[tuple[int, int]]:
-    """Publication years to ask for at a time: up to 50,000 hits one long window and then overlapping pairs
-    of years, beyond that blocks of five years before 2000 and then each year."""
+    """Publication years to ask for at a time: none for up to 10,000 hits, which one question answers; up to 50,000 one
+    long window and then pairs of years that overlap by one, beyond that blocks of five years before 2000 and then each year."""
+    if hits <= 10_000:
+        return []
     if hits <= 50_000:
-        return [(first, 1999), *((y, y + 1) for y in range(2000, this_year + 1))]
+        return [(first, 1999), *((y, y + 2) for y in range(2000, this_year, 2))]
     return [*((y, y + 4) for y in range(first, 2000, 5)), *((y, y) for y in range(2000, this_year + 1))]
 
 

@@ -109,8 +109,10 @@ def test_formats(spark, tmp_path):
 
 
 def test_year_windows():
-    assert literature.year_windows(1970, 100, 2002) == [(1970, 1999), (2000, 2001), (2001, 2002), (2002, 2003)]
-    assert literature.year_windows(1970, 60_000, 2001)[:2] == [(1970, 1974), (1975, 1979)]
+    assert literature.year_windows(1970, 10_000, 2004) == []
+    assert literature.year_windows(1970, 10_001, 2004) == [(1970, 1999), (2000, 2002), (2002, 2004)]
+    assert literature.year_windows(1970, 50_000, 2005) == [(1970, 1999), (2000, 2002), (2002, 2004), (2004, 2006)]
+    assert literature.year_windows(1970, 60_000, 2001) == [(y, y + 4) for y in range(1970, 2000, 5)] + [(2000, 2000), (2001, 2001)]
 
 
 def test_span_scores(spark):
