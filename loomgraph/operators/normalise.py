@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import zlib
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from loomgraph.functions import spans, stats, text
 
@@ -39,32 +45,141 @@ def miss_rate(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n"), missing.alias("miss_rate"))
 
 
-def nearest(queries: DataFrame, names: DataFrame, k: int = 1, cells: int = 0, probes: int = 2) -> DataFrame:
+def hashed_ngrams(names: list[str], dim: int = 256, sizes: tuple[int, ...] = (2, 3)) -> np.ndarray:
+    """The default encoder: signed counts of hashed character n-grams of the lower-case name, rows of length one."""
+    out = np.zeros((len(names), dim))
+    for row, name in zip(out, names):
+        padded = f" {name.lower()} "
+        for n in sizes:
+            for i in range(len(padded) - n + 1):
+                h = zlib.crc32(padded[i : i + n].encode("utf-8", "replace"))
+                row[h % dim] += 1 - 2 * (h >> 31)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
+def embedded(df: DataFrame, name: str, encoder: Callable[[list[str]], np.ndarray] = hashed_ngrams, batch: int = 1024) -> DataFrame:
+    """``df`` with ``embedding``: the encoder's vector of the column ``name``, in batches; null is the empty name."""
+    at, columns = df.columns.index(name), [*df.columns, "embedding"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for start in range(0, rows.num_rows, batch):
+                part = rows.slice(start, batch)
+                vectors = encoder([n or "" for n in part.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(vectors), pa.list_(pa.float64()))], names=columns)
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("embedding", ArrayType(DoubleType()))]))
+
+
+def cell_centres(names: DataFrame, cells: int, rows_per_cell: int = 256) -> np.ndarray:
+    """k-means centres of a sample of some ``rows_per_cell`` names a cell, by hash: bounded whatever the dictionary's size."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    share = min(1.0, cells * rows_per_cell / max(names.count(), 1))
+    drawn = names.where(F.pmod(F.xxhash64("nid"), F.lit(1 << 20)) < F.lit(share * (1 << 20)))
+    model = KMeans(k=cells, seed=1, featuresCol="f").fit(drawn.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("f")))
+    return np.array(model.clusterCenters())
+
+
+def in_cells(df: DataFrame, centres: np.ndarray, probes: int = 1) -> DataFrame:
+    """``df`` (with embedding) once for each of the ``probes`` cells whose centres have the highest inner product."""
+    sent = df.sparkSession.sparkContext.broadcast(centres)
+    at, columns = df.columns.index("embedding"), [*df.columns, "cell"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            if rows.num_rows:
+                vectors = np.array(rows.column(at).to_pylist(), float)
+                best = np.argsort(-(vectors @ sent.value.T), axis=1, kind="stable")[:, :probes]
+                out = rows.take(pa.array(np.repeat(np.arange(rows.num_rows), best.shape[1])))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(best.ravel().astype(np.int32))], names=columns)
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("cell", IntegerType())]))
+
+
+def nearest(
+    queries: DataFrame, names: DataFrame, k: int = 1, cells: int = 0, probes: int = 2, group: str | None = None, centres: np.ndarray | None = None
+) -> DataFrame:
     """The ``k`` names of highest inner product for each query, ties by name id: qid, rank, nid, score.
 
-    ``queries`` has qid, embedding and ``names`` nid, embedding, with an optional group
-    column in both. With ``cells`` the names fall into that many cells around k-means
-    centroids and a query searches its ``probes`` best: an equi-join on the cell. Without,
+    ``queries`` has qid, embedding and ``names`` nid, embedding; with ``group``, a column of both, a query
+    meets only names of its own. With ``cells`` (or the ``centres`` and the cell column of ``read_index``) the names fall into cells
+    around k-means centroids and a query searches its ``probes`` best: an equi-join on the cell. Without,
     each query meets every name of its group (a stated query set, in blocks).
     """
-    score = stats.dot(F.col("q"), F.col("v"))
-    asked = queries.select("qid", F.col("embedding").alias("q"))
-    listed = names.select("nid", F.col("embedding").alias("v"))
-    if cells:
-        from pyspark.ml.clustering import KMeans
-        from pyspark.ml.functions import array_to_vector
-
-        model = KMeans(k=cells, seed=1, featuresCol="f").fit(listed.select(array_to_vector(F.col("v").cast("array<double>")).alias("f")))
-        centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])  # cells x dim values
-        ranked = lambda x: F.slice(F.transform(F.sort_array(F.transform(
-            centres, lambda c, i: F.struct(stats.dot(x, c).alias("s"), i.alias("i"))), asc=False), lambda s: s["i"]), 1, probes)
-        asked = asked.withColumn("cell", F.explode(ranked(F.col("q"))))
-        listed = listed.withColumn("cell", F.get(ranked(F.col("v")), F.lit(0)))
-        both = asked.join(listed, "cell")
-    else:
-        both = asked.join(listed)
+    by = [group] if group else []
+    if cells and centres is None:
+        centres = cell_centres(names, cells)
+        names = in_cells(names, centres)
+    if centres is not None:
+        queries = in_cells(queries, centres, probes)
+        by.append("cell")
+    asked = queries.select("qid", F.col("embedding").alias("q"), *by)
+    listed = names.select("nid", F.col("embedding").alias("v"), *by)
+    both = asked.join(listed, by) if by else asked.crossJoin(listed)
+    scored = both.select("qid", "nid", stats.dot(F.col("q"), F.col("v")).alias("score"))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "nid")
-    return both.select("qid", "nid", score.alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def write_index(names: DataFrame, path: str, cells: int) -> None:
+    """names (nid, embedding and more) with their cells, and the centres: an index that ``read_index`` gives back."""
+    centres = cell_centres(names, cells)
+    in_cells(names, centres).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/names")
+    rows = [(i, c.tolist()) for i, c in enumerate(centres)]
+    names.sparkSession.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
+    """The names with their cells and the centres, to search with ``nearest(centres=...)``."""
+    rows = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()  # one row a cell
+    return spark.read.parquet(f"{path}/names"), np.array([r["centre"] for r in rows])
+
+
+def short_names(names: DataFrame, most: int = 25) -> DataFrame:
+    """Names of up to ``most`` tokens: what an encoder takes whole."""
+    return names.where(F.size(text.tokens("name")) <= most)
+
+
+def missing_id(id_: Column | str) -> Column:
+    c = F.col(id_) if isinstance(id_, str) else id_
+    return c.isNull() | c.isin("", "undefined", "CUI-less")
+
+
+def nearest_ids(mentions: DataFrame, names: DataFrame, encoder: Callable[[list[str]], np.ndarray] = hashed_ngrams, cells: int = 0) -> DataFrame:
+    """``mentions`` where a missing id is that of the nearest name of its type: id, and is_neural_normalized for these.
+
+    ``names`` has entity_type, id, name. Types that keep their tool's id, and those without names, stay as they are. Each
+    distinct surface is encoded and looked up once; of names with equal text the least id counts.
+    """
+    asked = mentions.where(missing_id("id") & ~F.col("entity_type").isin(*OWN_ID)).select("entity_type", "mention").distinct()
+    asked = embedded(asked.withColumn("qid", F.struct("entity_type", "mention")), "mention", encoder)
+    listed = short_names(names).groupBy("entity_type", "name").agg(F.min("id").alias("nid"))
+    listed = listed.groupBy("entity_type", "nid").agg(F.collect_set("name").alias("names")).select("entity_type", "nid", F.explode("names").alias("name"))
+    found = nearest(asked, embedded(listed, "name", encoder), 1, cells, group="entity_type")
+    found = found.select(F.col("qid.entity_type").alias("entity_type"), F.col("qid.mention").alias("mention"), F.col("nid").alias("near_id"))
+    joined = mentions.join(found, ["entity_type", "mention"], "left")
+    fill = missing_id(joined["id"]) & F.col("near_id").isNotNull()
+    return joined.select(
+        *[F.when(fill, F.col("near_id")).otherwise(joined["id"]).alias("id") if c == "id" else joined[c] for c in mentions.columns if c != "is_neural_normalized"],
+        fill.alias("is_neural_normalized"),
+    )
+
+
+#: How a type is normalised: by its tool, or by a dictionary's keys and then by the nearest name.
+STEPS: dict[str, tuple[str, ...]] = dict.fromkeys(OWN_ID, ("tool",))
+
+
+def normalise(mentions: DataFrame, dictionary: DataFrame, steps: dict[str, tuple[str, ...]] | None = None, encoder: Callable[[list[str]], np.ndarray] = hashed_ngrams) -> DataFrame:
+    """``mentions`` with ids by the steps of their types: ("tool",), ("dictionary",) or, by default, ("dictionary", "nearest")."""
+    plan = STEPS | (steps or {})
+    exact = exact_ids(mentions, dictionary)
+    only_exact = [t for t, s in plan.items() if "nearest" not in s]
+    late = exact.where(~F.col("entity_type").isin(*only_exact)) if only_exact else exact
+    rest = exact.where(F.col("entity_type").isin(*only_exact)) if only_exact else None
+    found = nearest_ids(late, dictionary.select("entity_type", "id", "name"), encoder)
+    return found if rest is None else found.unionByName(rest.withColumn("is_neural_normalized", F.lit(False)).select(*found.columns))
 
 
 def default_confidence(entity_type: Column, has_id: Column, prob: Column) -> Column:

@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import spans, stats, text
 from loomgraph.operators import mentions as ops
-from loomgraph.operators import normalise
+from loomgraph.operators import evaluate, normalise, tagger
 from loomgraph.plans import base
 from loomgraph.plans.base import sql, table
 from loomgraph.plans.catalog import query
+from loomgraph.sources.tables import stored
 
-_LOGITS = "list_transform(embedding[1:8], lambda x: x::DOUBLE)"
+_LOGITS = "list_transform(embedding, lambda x: x::DOUBLE)"
 
 
 def _logits() -> object:
-    return F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double"))
+    return F.transform("embedding", lambda x: x.cast("double"))
 
 
 @query(f"""SELECT vec_id, round(1 / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))), 6) AS confidence, list_position(l, list_max(l))::BIGINT - 1 AS label
@@ -27,7 +28,7 @@ def softmax_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT vec_id, CASE WHEN mass > 0 THEN round(-ln(mass), 6) END AS loss FROM (SELECT vec_id,
-  list_sum(list_transform(range(1, 9), lambda i: CASE WHEN i % 3 = label % 3 THEN exp(l[i] - list_max(l)) ELSE 0 END)) / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))) AS mass
+  list_sum(list_transform(range(1, len(l) + 1), lambda i: CASE WHEN i % 3 = label % 3 THEN exp(l[i] - list_max(l)) ELSE 0 END)) / list_sum(list_transform(l, lambda x: exp(x - list_max(l)))) AS mass
   FROM (SELECT vec_id, label, {_LOGITS} AS l FROM embeddings))""")
 def marginal_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", _logits().alias("l"))
@@ -48,6 +49,26 @@ def nearest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(best)).where("rank <= 3").select("qid", "nid", "rank", F.round("score", 5).alias("score"))
 
 
+@query("""SELECT qid, nid, rank, round(score, 5) AS score FROM (
+  SELECT q.vec_id AS qid, v.vec_id AS nid, list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) DESC, v.vec_id) AS rank
+  FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0 AND q.label = v.label) WHERE rank <= 3""")
+def nearest_of_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id is divisible by 50 against all others of its label."""
+    v = table(spark, sf_dir, "embeddings")
+    asked = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), "embedding", "label")
+    found = normalise.nearest(asked, v.select(F.col("vec_id").alias("nid"), "embedding", "label"), k=3, group="label")
+    return found.select("qid", "nid", "rank", F.round("score", 5).alias("score"))
+
+
+@query(sql("mentions", f"""SELECT pmid, entity_type, mention, "start", "end", round(exp(4) / (exp(4) + 2), 6) AS prob FROM mentions WHERE entity_type IN ({base._model}) AND length(mention) <= 20"""))
+def tagged_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a scorer that knows the gazetteer's words tags, through windows, batches and decoding."""
+    terms = {r["term"]: r["entity_type"] for r in base.gazetteer(spark, sf_dir).where(F.col("entity_type").isin(*tagger.MODEL_HEADS)).collect()}  # a word list
+    found = tagger.tag(base.documents(spark, sf_dir), tagger.MODEL_HEADS, tagger.dictionary_scorer(tagger.MODEL_HEADS, terms))
+    return found.select("pmid", "entity_type", "mention", "start", "end", F.round("prob", 6).alias("prob"))
+
+
 _TFIDF = """
 names AS (SELECT p_partkey AS nid, p_name AS name FROM part),
 grams AS (
@@ -71,7 +92,7 @@ def name_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT q.nid AS qid, v.nid, sum(q.weight * v.weight) AS score FROM weights q JOIN weights v USING (gram) WHERE q.nid % 50 = 0 AND q.nid <> v.nid GROUP BY ALL
 ) SELECT qid, nid, rank, round(score, 5) AS score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, nid) AS rank FROM scores) WHERE rank <= 5""")
 def sparse_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = normalise.tfidf(_names(spark, sf_dir)).persist()
+    w = stored(normalise.tfidf(_names(spark, sf_dir)), "tfidf")
     scores = normalise.sparse_scores(w.where("nid % 50 = 0"), w).where("qid <> nid")
     best = Window.partitionBy("qid").orderBy(F.desc(F.round("score", 9)), "nid")
     return scores.withColumn("rank", F.row_number().over(best)).where("rank <= 5").select("qid", "nid", "rank", F.round("score", 5).alias("score"))
@@ -94,6 +115,24 @@ def accuracy_at_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise.accuracy_at(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("query"), cands.alias("cands")), 2)
 
 
+@query(f"""WITH {_TFIDF}, scores AS (
+  SELECT q.nid AS qid, v.nid, sum(q.weight * v.weight) AS score FROM weights q JOIN weights v USING (gram) WHERE q.nid % 50 = 0 AND q.nid <> v.nid GROUP BY ALL
+), best AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, nid) AS rank FROM scores),
+hit AS (
+  SELECT qid, coalesce(min(rank) FILTER (q.p_brand = v.p_brand), 6) AS at FROM best JOIN part q ON q.p_partkey = qid JOIN part v ON v.p_partkey = nid WHERE rank <= 5 GROUP BY qid
+)
+SELECT {", ".join(f"avg(CASE WHEN at <= {k} THEN 1.0 ELSE 0.0 END)::DOUBLE AS acc{k}" for k in range(1, 6))} FROM hit""")
+def name_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of names whose brand one of their first candidates shares."""
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("nid"), F.col("p_name").alias("name"), F.col("p_brand").alias("cui"))
+    w = stored(normalise.tfidf(names.select("nid", "name")), "tfidf")
+    scores = normalise.sparse_scores(w.where("nid % 50 = 0"), w).where("qid <> nid").withColumn("score", F.round("score", 9))
+    asked = names.where("nid % 50 = 0").select(
+        F.col("nid").alias("query"), F.lit(1).alias("mention_no"), F.col("nid").alias("qid"), F.col("name").alias("mention"), F.col("cui").alias("golden")
+    )
+    return evaluate.accuracies(evaluate.predictions(asked, evaluate.top_candidates(scores, names, 5)), 5)
+
+
 _TAGS = "CASE (l_partkey + l_linenumber) % 4 WHEN 0 THEN 'B' WHEN 1 THEN 'I' WHEN 2 THEN 'I' ELSE 'O' END"
 
 
@@ -168,7 +207,7 @@ def abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql("mentions", """SELECT gold, predicted, both_ AS "right", round(both_ / predicted, 6) AS precision, round(both_ / gold, 6) AS recall, round(2 * both_ / (gold + predicted), 6) AS f1 FROM (
   SELECT count(*) FILTER (prob >= 0.6 OR prob IS NULL) AS gold, count(*) FILTER (length(mention) <> 7) AS predicted, count(*) FILTER ((prob >= 0.6 OR prob IS NULL) AND length(mention) <> 7) AS both_ FROM mentions)"""))
 def span_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = base.mentions(base.documents(spark, sf_dir), base.gazetteer(spark, sf_dir)).persist()
+    found = stored(base.mentions(base.documents(spark, sf_dir), base.gazetteer(spark, sf_dir)), "mentions")
     scores = ops.span_scores(found.where("prob >= 0.6 OR prob IS NULL"), found.where("length(mention) <> 7"), ["pmid", "entity_type", "start", "end"])
     return scores.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.functions import text
+from loomgraph.functions import spans, text
 
 NO_TEXT = ("- No text -", "-NoAbstract-")
 
@@ -13,6 +13,8 @@ NO_TEXT = ("- No text -", "-NoAbstract-")
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """value and file: the blocks between blank lines; the last one needs none behind it."""
     raw = spark.read.option("lineSep", "\n\n").text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    # Files with \r\n have no \n\n: such a piece is parted here.
+    raw = raw.select(F.explode(F.split("value", "\r\n\r\n")).alias("value"), "file")
     return raw.where(F.trim(F.regexp_replace("value", "[\r\n]", "")) != "")
 
 
@@ -50,6 +52,69 @@ def parse_annotations(blocks: DataFrame) -> DataFrame:
     )
 
 
+def text_blocks(rows: DataFrame, column: str = "value") -> DataFrame:
+    """value: the blocks of strings that hold PubTator text, for the readers of blocks."""
+    parts = rows.select(F.explode(F.split(F.col(column), r"(?:\r?\n){2,}")).alias("value"))
+    return parts.where(F.trim(F.regexp_replace("value", "[\r\n]", "")) != "")
+
+
+def variants_of_text(rows: DataFrame, column: str = "value", kinds: tuple[str, ...] = ("ProteinMutation", "DNAMutation", "SNP")) -> tuple[DataFrame, DataFrame]:
+    """Documents and the variant mentions of PubTator text in a column: of the three kinds, with six columns."""
+    blocks = text_blocks(rows, column)
+    found = parse_annotations(blocks).where(F.col("subtype").isin(*kinds) & (F.col("id") != ""))
+    return parse_documents(blocks), found
+
+
+def annotated_json(blocks: DataFrame) -> DataFrame:
+    """pmid, json: PubTator blocks with annotations as PubAnnotation: text and denotations with their ids."""
+    return pubannotation(parse_documents(blocks).where("error is null"), parse_annotations(blocks).withColumnRenamed("subtype", "entity_type"))
+
+
+def bio_of_blocks(blocks: DataFrame, entity_type: str | None = None) -> DataFrame:
+    """pmid, words (tok, start, end inclusive) and labels of annotated blocks, of one type or all."""
+    docs = parse_documents(blocks).where("error is null")
+    found = parse_annotations(blocks)
+    if entity_type:
+        found = found.where(F.col("subtype") == entity_type)
+    spans_of = found.groupBy("pmid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    words = docs.join(spans_of, "pmid", "left").select("pmid", text.token_spans(F.concat_ws(" ", "title", "abstract")).alias("words"), "spans")
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return words.select("pmid", "words", spans.spans_to_bio(F.col("words"), F.coalesce("spans", none)).alias("labels"))
+
+
+def tool_json(rows: DataFrame, column: str = "value") -> DataFrame:
+    """pmid, start, end, mention and id of a web tagger's JSON: an array of documents with annotations; ``Mutation:`` before an id goes."""
+    kind = "array<struct<sourceid:string,text:string,annotations:array<struct<obj:string,span:struct<begin:int,`end`:int>>>>>"
+    docs = rows.select(F.explode(F.from_json(column, kind)).alias("d")).select("d.sourceid", "d.text", F.explode("d.annotations").alias("a"))
+    begin, end = F.col("a.span.begin"), F.col("a.span.end")
+    return docs.select(
+        F.col("sourceid").alias("pmid"), begin.alias("start"), (end + 1).alias("end"), F.substr("text", begin + 1, end - begin).alias("mention"),
+        F.replace(F.col("a.obj"), F.lit("Mutation:"), F.lit("")).alias("id"),
+    )
+
+
+def read_labels(spark: SparkSession, path: str | None = None) -> list[str]:
+    """The labels of a list, one a line, with O first where it is missing; without a list O, B, I."""
+    if not path:
+        return ["O", "B", "I"]
+    found = [r["value"].strip() for r in spark.read.text(path).collect() if r["value"].strip()]
+    return found if "O" in found else ["O", *found]
+
+
+def read_catalogue(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The dictionaries of several entity types as one table."""
+    found = [read_dictionary(spark, path, kind) for kind, path in sorted(paths.items())]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def write_pmids(df: DataFrame, path: str) -> None:
+    """pmid, and pmcid where there is one, parted by tabs."""
+    df.select("pmid", *[c for c in ("pmcid",) if c in df.columns]).write.mode("overwrite").csv(path, sep="\t")
+
+
 def pubtator_block(title: str = "title", abstract: str = "abstract", pmid: str = "pmid") -> Column:
     filled = lambda c: F.when(F.col(c) == "", NO_TEXT[0]).otherwise(F.col(c))
     return F.concat(F.col(pmid), F.lit("|t|"), filled(title), F.lit("\n"), F.col(pmid), F.lit("|a|"), filled(abstract))
@@ -153,7 +218,8 @@ def mention_rows(docs: DataFrame) -> DataFrame:
 
 def entity_map(mentions: DataFrame) -> DataFrame:
     """pmid, entities: long rows as a map of arrays by start; empty ids are null."""
-    row = F.struct("start", "end", "mention", "prob", F.nullif("id", F.lit("")).alias("id"))
+    more = [c for c in ("subtype", "is_neural_normalized") if c in mentions.columns]
+    row = F.struct("start", "end", "mention", "prob", F.nullif("id", F.lit("")).alias("id"), *more)
     lists = mentions.groupBy("pmid", "entity_type").agg(F.array_sort(F.collect_list(row)).alias("l"))
     return lists.groupBy("pmid").agg(F.map_from_entries(F.collect_list(F.struct("entity_type", "l"))).alias("entities"))
 
