@@ -119,9 +119,9 @@ def accuracy_at_two(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT q.nid AS qid, v.nid, sum(q.weight * v.weight) AS score FROM weights q JOIN weights v USING (gram) WHERE q.nid % 50 = 0 AND q.nid <> v.nid GROUP BY ALL
 ), best AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, nid) AS rank FROM scores),
 hit AS (
-  SELECT qid, coalesce(min(rank) FILTER (q.p_brand = v.p_brand), 6) AS at FROM best JOIN part q ON q.p_partkey = qid JOIN part v ON v.p_partkey = nid WHERE rank <= 5 GROUP BY qid
+  SELECT qid, coalesce(min(rank) FILTER (q.p_brand = v.p_brand), 6) AS place FROM best JOIN part q ON q.p_partkey = qid JOIN part v ON v.p_partkey = nid WHERE rank <= 5 GROUP BY qid
 )
-SELECT {", ".join(f"avg(CASE WHEN at <= {k} THEN 1.0 ELSE 0.0 END)::DOUBLE AS acc{k}" for k in range(1, 6))} FROM hit""")
+SELECT {", ".join(f"avg(CASE WHEN place <= {k} THEN 1.0 ELSE 0.0 END)::DOUBLE AS acc{k}" for k in range(1, 6))} FROM hit""")
 def name_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of names whose brand one of their first candidates shares."""
     names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("nid"), F.col("p_name").alias("name"), F.col("p_brand").alias("cui"))
