@@ -44,10 +44,11 @@ def written(df: DataFrame, label: str, *by: str) -> DataFrame:
     This cuts lineage: a lost executor costs a re-read, not a re-run. The table's
     name is unique to the call, so concurrent runs don't meet.
     """
-    return _written(df, label, by)[0]
+    return written_at(df, label, *by)[0]
 
 
-def _written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, label: str, *by: str) -> tuple[DataFrame, str]:
+    """The written table and its path."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loom-{label}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*by) if by else df.write
@@ -80,7 +81,7 @@ class Scratch:
             value.unpersist()
 
     def written(self, df: DataFrame, label: str, *by: str) -> DataFrame:
-        out, path = _written(df, label, by)
+        out, path = written_at(df, label, *by)
         self.paths[id(out)] = path
         self.sent, free = [], self.sent  # what was sent for this table's making isn't needed again
         for value in free:

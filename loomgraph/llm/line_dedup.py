@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
-from loomgraph.llm.common import Scratch, written
+from loomgraph.llm.common import Scratch, written_at
 from loomgraph.llm.components import bitmap_of, cluster
 
 #: Characters of a shingle, bands, rows of a band, and the similarity in percent. Lines of similarity
@@ -129,7 +129,10 @@ def fine_signatures(code: np.ndarray, size: np.ndarray) -> np.ndarray:
     """MinHash signatures of short lines: the least of each line's hashes under many multipliers."""
     hashes, count = shingle_hashes(code, size, FINE_BAND)
     first = np.cumsum(count) - count
-    return np.stack([K.mix(np.minimum.reduceat(hashes * m, first)) for m in _MULTIPLY], axis=1)
+    least = np.empty((len(_MULTIPLY), len(count)), np.uint64)
+    for row, m in zip(least, _MULTIPLY):
+        np.minimum.reduceat(hashes * m, first, out=row)
+    return K.mix(least).T
 
 
 def _chunks(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -213,15 +216,16 @@ def _runs(total: np.ndarray) -> Iterator[slice]:
         yield slice(start, len(total))
 
 
-def _split(text: str | None) -> list[str]:
-    return text.split("\n") if text else []
+def _normal_lines(text: str | None) -> list[str]:
+    """``normal`` of every line."""
+    return [" ".join(line.split()) for line in text.lower().split("\n")] if text else []
 
 
 def _lines_of(part: pa.RecordBatch) -> tuple[list, list[str], list[int]]:
     """Document, normalised line and line number of every line of the batch that isn't blank."""
     ids, lines, numbers = [], [], []
     for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-        for number, line in enumerate(map(normal, _split(text))):
+        for number, line in enumerate(_normal_lines(text)):
             if line:
                 ids.append(doc)
                 lines.append(line)
@@ -283,7 +287,8 @@ def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) ->
     with Scratch(docs.sparkSession) as scratch:
         clashing, clashes = np.zeros(0, np.int64), True
         while clashes:
-            emitted = scratch.written(_emitted(docs, clashing, node_bits), "lines", "kind")
+            emitted, path = written_at(_emitted(docs, clashing, node_bits), "lines", "kind")
+            scratch.paths[id(emitted)] = f"{path}/kind=1"
             lines = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("line_no"), "node", "two")
             firsts = F.min(F.struct("doc_id", "line_no")).alias("first")
             owners = scratch.written(
@@ -311,11 +316,11 @@ def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) ->
         )
         placed = lines.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         groups = placed.groupBy("comp").agg(firsts, F.count(F.lit(1)).alias("group_lines"))
-        return written(placed.join(groups, "comp").select(
+        return placed.join(groups, "comp").select(
             "doc_id", "line_no", F.col("node").alias("line_key"), F.col("first.doc_id").alias("keep_doc_id"),
             F.col("first.line_no").alias("keep_line_no"), "group_lines",
             (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
-        ), "line-groups")
+        )
 
 
 def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, node_bits: int, scratch: Scratch) -> DataFrame:
