@@ -47,7 +47,7 @@ STAGES = [
 ]
 
 #: Language models, near-duplicate components and packing can't be expressed in SQL;
-#: the stages are tested against brute-force versions.
+#: tests/llm/test_contract.py holds each stage against a plain version of it.
 ORACLE_SQL = None
 
 
