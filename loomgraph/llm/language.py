@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: what it costs to switch language between two words, and the most that one word may tell.
 BITS, SAMPLE, SWITCH, WORD_CAP = 16, 2000, 12.0, 8.0
 #: Letters that go through the arrays at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 #: Script ranges, fixed values of the Unicode standard: first and last code point.
 SCRIPTS = {

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import written
 
 MAX_TOKENS, END_ID, VOCABULARY = 4096, 1, "word_bpe_49k.json"
-#: Entries of a worker's cache of chunk ids; beyond it, chunks are encoded each time.
-CACHE = 400_000
+#: Entries of a worker's cache of chunk ids and characters of a cached chunk; beyond these, chunks are encoded each time.
+CACHE, CACHED = 400_000, 48
 #: Rows that number themselves within one (length, chunk) window, as planned.
 CHUNK_ROWS = 2000
 
@@ -49,7 +49,7 @@ class Encoder(dict):
                 piece = self.bytes.pre_tokenize_str(piece)[0][0]
             ids += [t.id for t in self.model.tokenize(piece)]
         packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) < CACHE:
+        if len(self) < CACHE and len(chunk) <= CACHED:
             self[chunk] = packed
         return packed
 
