@@ -113,13 +113,13 @@ def test_deep_and_odd_pages():
 
 def test_the_host_decides_where_the_article_lies(spark):
     """No article element: a page with more comments than text is read where its host's other pages have theirs."""
-    page = "<body><div class=top>{0} Top</div><div class=x1>{1}</div><div class=x2>{2}</div></body>"
-    story = lambda i: f"<p>story {i} " + f"word{i} " * 60 + "</p>"
+    page = "<body><div class=top>{0} Top</div><div class=left>{1}</div><div class=right>{2}</div></body>"
+    story = lambda i: f"<p>story {i} " + f"word{i} " * 200 + "</p>"
     rows = [(i, "http://h.com/a", page.format("A", story(i), f"<p>remark {i}</p>")) for i in range(12)]
     rows.append((99, "http://h.com/z", page.format("A", "<p>story 99 short</p>", "<p>remark " + "much " * 300 + "</p>")))
     df = spark.createDataFrame(rows + [rows[0]], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html_extract.main_text(df).collect()}
-    assert got[99] == "story 99 short" and got[3] == "story 3 " + " ".join(["word3"] * 60)
+    assert got[99] == "story 99 short" and got[3] == "story 3 " + " ".join(["word3"] * 200)
     assert html_extract.extract(rows[-1][2], [], set()) != got[99]
     assert html_extract.main_text(df).count() == 14
 
