@@ -156,9 +156,9 @@ def paths_single_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _paths(spark, sf_dir, "disease:R1", None, None, 10)
 
 
-@query(_path_sql("gene:N3", "disease:R2", None, 10))
+@query(_path_sql("gene:N3", "disease:R4", None, 10))
 def paths_source_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _paths(spark, sf_dir, "gene:N3", "disease:R2", None, 10)
+    return _paths(spark, sf_dir, "gene:N3", "disease:R4", None, 10)
 
 
 @query(_path_sql("disease:R0", None, ["disease", "gene", "chemical"], 12))

@@ -95,3 +95,23 @@ def test_more_readers(spark, tmp_path):
     assert tuple(literature.tool_json(spark.createDataFrame([(tool,)], "value string")).first()) == ("5", 2, 8, "V600E", "x")
     (tmp_path / "labels.txt").write_text("B\nI\n")
     assert literature.read_labels(spark, str(tmp_path / "labels.txt")) == ["O", "B", "I"] and literature.read_labels(spark) == ["O", "B", "I"]
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    from loomgraph import cli
+
+    (tmp_path / "docs.txt").write_text("1|t|Aspirin helps\n1|a|It treats glioma.\n\n2|t|None\n2|a|- No text -\n")
+    (tmp_path / "chemicals.txt").write_text("C1||Aspirin|aspirin acid\n")
+    (tmp_path / "diseases.txt").write_text("D1||glioma\n")
+    sources = [f"chemical={tmp_path}/chemicals.txt", f"disease={tmp_path}/diseases.txt"]
+    cli.main(["recognise", f"{tmp_path}/docs.txt", f"{tmp_path}/tagged", *sources])
+    cli.main(["normalise", f"{tmp_path}/tagged", f"{tmp_path}/named", *sources, "--nearest"])
+    rows = {r["pmid"]: r["entities"] for r in literature.read_documents_json(spark, f"{tmp_path}/named", lines=True).collect()}
+    assert {k: [(m["start"], m["end"], m["id"]) for m in v] for k, v in rows["1"].items()} == {"chemical": [(0, 7, "C1")], "disease": [(24, 30, "D1")]}
+    (tmp_path / "x.concept").write_text("1||0|3||Disease||gliomas||D1\n1||0|3||Disease||aspirin||C1\n")
+    (tmp_path / "names.txt").write_text("D1||glioma\nC1||aspirin\nC2||asbestos\n")
+    cli.main(["eval-names", f"{tmp_path}/x.concept", f"{tmp_path}/scores", f"{tmp_path}/names.txt", "-k", "2"])
+    assert [r["value"] for r in spark.read.text(f"{tmp_path}/scores/metrics").collect() if r["value"]] == ["acc1 = 1.0", "acc2 = 1.0"]
+    (tmp_path / "gold.txt").write_text("1|t|Aspirin helps\n1|a|It\n1\t0\t7\tAspirin\tchemical\tC1\n")
+    cli.main(["eval-spans", f"{tmp_path}/gold.txt", f"{tmp_path}/table", f"{tmp_path}/gold.txt"])
+    assert spark.read.csv(f"{tmp_path}/table", sep="\t", header=True).first()["f1"] == "1.0"
