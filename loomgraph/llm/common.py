@@ -75,19 +75,23 @@ class Scratch:
         return self
 
     def __exit__(self, *_: object) -> None:
-        for path in self.paths.values():
+        for _, path in self.paths.values():
             removed(self.spark, path)
         for value in self.sent:
             value.unpersist()
 
     def written(self, df: DataFrame, label: str, *by: str) -> DataFrame:
         out, path = written_at(df, label, *by)
-        self.paths[id(out)] = path
+        self.hold(out, path)
         self.sent, free = [], self.sent  # what was sent for this table's making isn't needed again
         for value in free:
             value.unpersist()
         return out
 
+    def hold(self, table: DataFrame, path: str) -> None:
+        """Let ``path`` go with the others; ``table`` names it and lives as long, so no other has its id."""
+        self.paths[id(table)] = (table, path)
+
     def broadcast(self, value: object) -> Broadcast:
         """``value`` for all executors, until the next table is written."""
         self.sent.append(self.spark.sparkContext.broadcast(value))
@@ -95,8 +99,8 @@ class Scratch:
 
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
-            if path := self.paths.pop(id(table), None):
-                removed(self.spark, path)
+            if held := self.paths.pop(id(table), None):
+                removed(self.spark, held[1])
 
 
 def lower_ascii(col: Column) -> Column:

@@ -288,7 +288,7 @@ def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) ->
         clashing, clashes = np.zeros(0, np.int64), True
         while clashes:
             emitted, path = written_at(_emitted(docs, clashing, node_bits), "lines", "kind")
-            scratch.paths[id(emitted)] = f"{path}/kind=1"
+            scratch.hold(emitted, f"{path}/kind=1")
             lines = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("line_no"), "node", "two")
             firsts = F.min(F.struct("doc_id", "line_no")).alias("first")
             owners = scratch.written(
