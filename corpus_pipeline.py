@@ -12,9 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from loomgraph.llm import exact_dedup, language, mixing, near_join, packing
 from loomgraph.llm.common import table, written
 
+#: Spark's limit of a batch that goes to a Python worker, and what it is here. Without one, 10,000 whole texts
+#: lie in an executor several times at once, outside its heap and in each of its workers.
+LIMIT, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """From now on rows reach Python in batches of about ``BATCH`` bytes; a limit that the session has stays."""
+    if spark.conf.get(LIMIT, None) is None:
+        spark.conf.set(LIMIT, BATCH)
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without a letter or mostly in words that none of them reads go."""
+    in_small_batches(spark)
     return language.keep_known_language(docs)
 
 
@@ -25,6 +36,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies (5-word shingles, similarity 0.8): the smallest id's."""
+    in_small_batches(spark)
     return near_join.drop_near_copies(docs)
 
 
@@ -35,6 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents with their places in sequences of 4096 tokens."""
+    in_small_batches(spark)
     return packing.packed_documents(docs)
 
 

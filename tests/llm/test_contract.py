@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import CLASHES
 from pyspark.sql import functions as F
@@ -197,6 +198,28 @@ def test_pipeline_stages_against_plain_versions(spark):
         assert row[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(row, row[1:])) and sum(row[-1]) <= 4096
 
 
+def test_the_pipeline_hands_texts_to_python_in_small_batches(spark):
+    import corpus_pipeline
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    docs = spark.range(0, 60, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 50000) AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    largest = lambda: max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect())
+    try:
+        for stage in (corpus_pipeline.known_language, corpus_pipeline.without_near_copies, corpus_pipeline.packed):
+            spark.conf.unset(corpus_pipeline.LIMIT)
+            assert largest() > 3 * int(corpus_pipeline.BATCH)
+            stage(spark, docs.limit(3), "")
+            assert largest() < 2 * int(corpus_pipeline.BATCH)
+        spark.conf.set(corpus_pipeline.LIMIT, "1000000")  # a session's own limit stays
+        corpus_pipeline.packed(spark, docs.limit(3), "")
+        assert spark.conf.get(corpus_pipeline.LIMIT) == "1000000"
+    finally:
+        spark.conf.unset(corpus_pipeline.LIMIT)
+
+
 def plain_viterbi(s, switch=language.SWITCH):
     """Every pair of labels of neighbouring words is weighed."""
     total, back = s[0].astype(float), []
