@@ -22,11 +22,13 @@ _LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every bit of 64 over all."""
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    y = x >> np.uint64(33)
+    y ^= x
+    y *= np.uint64(0xFF51AFD7ED558CCD)
+    y ^= y >> np.uint64(33)
+    y *= np.uint64(0xC4CEB9FE1A85EC53)
+    y ^= y >> np.uint64(33)
+    return y
 
 
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)

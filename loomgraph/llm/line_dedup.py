@@ -69,7 +69,9 @@ def shingle_hashes(code: np.ndarray, size: np.ndarray, width: int) -> tuple[np.n
         span *= 2
     if span < width:  # two runs that overlap make one of any other width
         rolled[: span - width] = rolled[: span - width] * _PLACE[width + 32] + rolled[width - span :]
-    inside = np.arange(len(code)) + width <= np.repeat(ends, size)
+    inside = np.ones(len(code), bool)
+    for k in range(1, width):
+        inside[ends - k] = False
     return K.mix(rolled[inside]), size - width + 1
 
 
@@ -103,19 +105,21 @@ def signatures(hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.nd
         low[start:stop].sort()
         start = stop
     new = np.ones(len(low), bool)
-    new[1:] = low[1:] != low[:-1]
+    np.not_equal(low[1:], low[:-1], out=new[1:])
     new[end[:-1]] = True
-    line, low = np.repeat(np.arange(lines), count)[new], low[new]
-    cell = line * bins + (low * np.uint64(bins) >> np.uint64(58)).astype(np.int64)
-    first = np.ones(len(cell), bool)
-    first[1:] = cell[1:] != cell[:-1]
+    cell = low * np.uint64(bins)
+    cell >>= np.uint64(58)
+    cell = cell.view(np.int64)
+    cell += np.repeat(np.arange(lines) * bins, count)
+    first = np.flatnonzero(cell[1:] != cell[:-1]) + 1  # repeats lie in one cell
+    first = np.concatenate([np.zeros(1, np.int64), first])
     table, full = np.zeros(lines * bins, np.uint64), np.zeros(lines * bins, bool)
     table[cell[first]], full[cell[first]] = K.mix(low[first]), True
     table, full = table.reshape(lines, bins), full.reshape(lines, bins)
     at = np.where(full, np.arange(bins), 2 * bins)
     following = np.minimum.accumulate(np.concatenate([at, at + bins], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :bins]
     value = np.take_along_axis(table, following % bins, axis=1) + (following - np.arange(bins)).astype(np.uint64) * K.STEP
-    return np.bincount(line, minlength=lines), value
+    return np.add.reduceat(new, end - count, dtype=np.int64), value
 
 
 def band_keys(signature: np.ndarray, rows: int, family: int) -> np.ndarray:
@@ -217,8 +221,16 @@ def _runs(total: np.ndarray) -> Iterator[slice]:
 
 
 def _normal_lines(text: str | None) -> list[str]:
-    """``normal`` of every line."""
-    return [" ".join(line.split()) for line in text.lower().split("\n")] if text else []
+    """``normal`` of every line.
+
+    All white space but a blank is unprintable, so most lines are seen to be normal as they are.
+    """
+    if not text:
+        return []
+    return [
+        line if line.isprintable() and "  " not in line and line[:1] != " " and line[-1:] != " " else " ".join(line.split())
+        for line in text.lower().split("\n")
+    ]
 
 
 def _lines_of(part: pa.RecordBatch) -> tuple[list, list[str], list[int]]:

@@ -231,3 +231,25 @@ def plain_viterbi(s, switch=language.SWITCH):
     for b in reversed(back):
         path.append(int(b[path[-1]]))
     return path[::-1]
+
+
+def test_a_table_written_by_folder_is_not_sorted(spark):
+    """op3_line_dedup writes lines and band keys in one pass."""
+    from loomgraph.llm.common import WRITERS, written_at
+
+    df = spark.range(0, 1000, 1, 3).selectExpr("cast(id % 2 AS int) AS kind", "id AS a")
+    spark.conf.unset(WRITERS)
+    back, _ = written_at(df, "test", "kind")
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    own = [p for p in plans if "loom-test" in p and "InsertIntoHadoopFsRelationCommand" in p][-1]
+    assert "Sort" not in own
+    assert spark.conf.get(WRITERS, None) is None
+    assert sorted(map(tuple, back.select("kind", "a").collect())) == sorted((i % 2, i) for i in range(1000))
+
+
+def test_lines_that_are_normal_as_they_are():
+    rng = random.Random(3)
+    for _ in range(5000):
+        text = "".join(rng.choices("aB \t\x1c\x85\xa0 ​é\U0001f600\n", k=rng.randrange(30)))
+        assert line_dedup._normal_lines(text) == ([line_dedup.normal(x) for x in text.lower().split("\n")] if text else [])
