@@ -10,17 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.llm import exact_dedup, language, mixing, near_join, packing
-from loomgraph.llm.common import table, written
-
-#: Spark's limit of a batch that goes to a Python worker, and what it is here. Without one, 10,000 whole texts
-#: lie in an executor several times at once, outside its heap and in each of its workers.
-LIMIT, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
-
-
-def in_small_batches(spark: SparkSession) -> None:
-    """From now on rows reach Python in batches of about ``BATCH`` bytes; a limit that the session has stays."""
-    if spark.conf.get(LIMIT, None) is None:
-        spark.conf.set(LIMIT, BATCH)
+from loomgraph.llm.common import BATCH, LIMIT, in_small_batches, table, written  # noqa: F401
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

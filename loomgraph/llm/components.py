@@ -83,8 +83,9 @@ def bitmap_of(df: DataFrame, col: str) -> tuple[np.ndarray, int]:
     return K.bitmap(packed.collect(), bits), bits
 
 
-def likely(df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
-    """The rows of ``df`` whose ``col`` is among ``wanted_col``, and a few others that share a place.
+def likely(df: DataFrame, col: str, wanted: DataFrame, wanted_col: str, told: str | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is among ``wanted_col``, and a few others that share a place; or all rows, with
+    whether they are these in a column ``told``.
 
     The marks have a bounded size (8 MB), so they are broadcast and this never shuffles; an exact join follows.
     """
@@ -95,7 +96,8 @@ def likely(df: DataFrame, col: str, wanted: DataFrame, wanted_col: str) -> DataF
     place = F.pmod(F.col(col), F.lit(1 << bits))
     met = df.join(held, F.shiftright(place, 12) == held["at"])
     word = F.get("words", F.shiftright(place, 6).bitwiseAND(63).cast("int"))
-    return met.where(F.bit_get(word, place.bitwiseAND(63).cast("int")) == 1).select(*df.columns)
+    is_marked = F.bit_get(word, place.bitwiseAND(63).cast("int")) == 1
+    return met.select(*df.columns, is_marked.alias(told)) if told else met.where(is_marked).select(*df.columns)
 
 
 def apart(a: Column, b: Column, words: int) -> Column:
@@ -114,6 +116,7 @@ def cluster(
     verify: Callable[[DataFrame], DataFrame],
     most_apart: Callable[[Column, Column], Column],
     pair_fits: Callable[[Column, Column, Column], Column],
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """(node, comp) of the components of verified links among nodes that share a key.
 
@@ -122,7 +125,8 @@ def cluster(
     every member of the node's set flips one bit. ``verify`` returns the links among pairs (x, y).
     ``most_apart`` says of two sizes how many members two linked sets may not share (-1 if they can't link).
     ``pair_fits`` says of the smaller and the larger size and of the room (the lesser of n - pos)
-    whether two nodes of a key may link. Both only rule out what can't be.
+    whether two nodes of a key may link. Both only rule out what can't be. With ``listed``, shared keys were found
+    already: it has the pairs (x, y) of keys with up to ``FEW`` nodes, and their sizes (n, m); ``keys`` has the rows of larger ones only.
 
     A key that two rows have is its own pair, seen in the one aggregation over all rows.
     Of keys with up to ``FEW`` nodes all pairs are listed. Each node of larger keys is verified
@@ -134,24 +138,30 @@ def cluster(
     verified, and none a second time.
     """
     with Scratch(keys.sparkSession) as scratch:
-        met = keys.groupBy("key").agg(
-            F.count(F.lit(1)).alias("c"), F.min("node").alias("x"), F.max("node").alias("y"),
-            F.min("n").alias("n"), F.max("n").alias("m"), F.min(F.col("n") - F.col("pos")).alias("room"),
-        )
-        met = met.where(F.col("x") != F.col("y")).where((F.col("c") > 2) | pair_fits(F.col("n"), F.col("m"), F.col("room")))
-        met = scratch.written(met.select("key", "c", "x", "y", "n", "m"), "shared")
-        more = met.where("c > 2").select("key")
-        narrow = likely(keys, "key", more, "key").groupBy("key", "node").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
-        narrow = scratch.written(narrow.join(more, "key", "left_semi"), "narrow")
-        crowded = scratch.written(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FEW), "crowded")
-
-        few = narrow.join(crowded, "key", "left_anti")
-        near = scratch.written(
-            met.where("c = 2").select("x", "y", "n", "m").unionByName(_near_pairs(few, F.lit(True), pair_fits)).distinct(), "near"
-        )
-        scratch.drop(met)
-        many = scratch.written(narrow.join(crowded, "key"), "many")
-        scratch.drop(narrow)
+        if listed is None:
+            met = keys.groupBy("key").agg(
+                F.count(F.lit(1)).alias("c"), F.min("node").alias("x"), F.max("node").alias("y"),
+                F.min("n").alias("n"), F.max("n").alias("m"), F.min(F.col("n") - F.col("pos")).alias("room"),
+            )
+            met = met.where(F.col("x") != F.col("y")).where((F.col("c") > 2) | pair_fits(F.col("n"), F.col("m"), F.col("room")))
+            met = scratch.written(met.select("key", "c", "x", "y", "n", "m"), "shared")
+            more = met.where("c > 2").select("key")
+            narrow = likely(keys, "key", more, "key").groupBy("key", "node").agg(F.max("n").alias("n"), F.min("pos").alias("pos"))
+            narrow = scratch.written(narrow.join(more, "key", "left_semi"), "narrow")
+            crowded = scratch.written(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FEW), "crowded")
+
+            few = narrow.join(crowded, "key", "left_anti")
+            near = scratch.written(
+                met.where("c = 2").select("x", "y", "n", "m").unionByName(_near_pairs(few, F.lit(True), pair_fits)).distinct(), "near"
+            )
+            scratch.drop(met)
+            many = scratch.written(narrow.join(crowded, "key"), "many")
+            scratch.drop(narrow)
+        else:
+            near = scratch.written(listed.distinct(), "near")
+            narrow = scratch.written(keys.groupBy("key", "node").agg(F.max("n").alias("n"), F.min("pos").alias("pos")), "narrow")
+            many = scratch.written(narrow.join(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key"), "many")
+            scratch.drop(narrow)
         ends = [near.select(F.col(end).alias("node")) for end in ("x", "y")]
         sketches = sketched(ends[0].union(ends[1]).union(many.select("node")).distinct())
         side = lambda end: sketches.select(F.col("node").alias(end), F.col("sketch").alias(f"s{end}"))

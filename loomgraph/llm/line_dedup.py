@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm import kernels as K
-from loomgraph.llm.common import Scratch, written_at
-from loomgraph.llm.components import bitmap_of, cluster
+from loomgraph.llm.common import Scratch, in_small_batches, written_at
+from loomgraph.llm.components import FEW, bitmap_of, cluster, likely
 
 #: Characters of a shingle, bands, rows of a band, and the similarity in percent. Lines of similarity
 #: 0.8 share a band with probability 1 - (1 - 0.8^4)^12 = 0.998; of 0.9, 0.99999.
@@ -27,9 +27,16 @@ FINE_BAND, FINE_BANDS, FINE_ROWS = 6, 24, 3
 BORDER = int(0.8 * (SHORT + 2 - SHINGLE)) + SHINGLE - 1
 #: Characters that go through the arrays at once, lines remembered within a task, words of a line's parity sketch.
 BLOCK, SEEN, SKETCH = 1 << 17, 1 << 16, 8
+#: Band keys that are sorted at once and that a part holds in the mean, and rows of a key that a task sends to its part: more than
+#: keys have whose pairs are all listed there.
+PART, ROWS_OF_KEY = 1 << 19, FEW + 1
+#: What a line's number adds to its document's hash.
+_LINE = 2654435761
 
 _MULTIPLY = K._rng.integers(1, 1 << 63, FINE_BANDS * FINE_ROWS, dtype=np.uint64) | np.uint64(1)
 _PLACE = K._rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
+#: Band keys are made of 32-bit hashes; of a line from here on distinct ones are counted by 64 bits, as many meet by chance.
+EXACT = 1 << 12
 
 
 def normal(line: str) -> str:
@@ -50,29 +57,47 @@ def identities(code: np.ndarray, size: np.ndarray, clashing: np.ndarray, bits: i
     if len(data) > len(code):  # bytes of each character, and so of each line
         size = np.add.reduceat(1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF), first)
         first = np.cumsum(size) - size
+    return named(data, first, size, clashing, bits)
+
+
+def named(data: np.ndarray, first: np.ndarray, size: np.ndarray, clashing: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``identities`` of the lines whose UTF-8 has ``size`` bytes from ``first`` on in ``data``."""
     one, two = K.strings(data, first, size, (0, 1))
     one, two = (one >> np.uint64(64 - bits)).view(np.int64), two.view(np.int64)
     return K.recoded(one, two, clashing), two
 
 
-def shingle_hashes(code: np.ndarray, size: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every run of ``width`` characters, and how many each line has; a shorter line is one shingle."""
+def mix32(x: np.ndarray) -> np.ndarray:
+    """A finaliser that spreads every bit of 32 over all."""
+    y = x >> np.uint32(16)
+    y ^= x
+    y *= np.uint32(0x85EBCA6B)
+    y ^= y >> np.uint32(13)
+    y *= np.uint32(0xC2B2AE35)
+    y ^= y >> np.uint32(16)
+    return y
+
+
+def shingle_hashes(code: np.ndarray, size: np.ndarray, width: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The hash (of 64 or 32 bits) of every run of ``width`` characters, and how many each line has; a shorter line is one shingle."""
+    kind, mixed = (np.uint64, K.mix) if bits == 64 else (np.uint32, mix32)
+    place = _PLACE.astype(kind)
     short = size < width
     if short.any():  # filled up with a character that no line has
         fill = np.where(short, width - size, 0)
         code = np.insert(code, np.repeat(np.cumsum(size), fill), 10)
         size = size + fill
     ends = np.cumsum(size)
-    rolled, span = code.astype(np.uint64), 1
+    rolled, span = code.astype(kind), 1
     while 2 * span <= width:  # of runs of 1, 2, 4, 8 characters
-        rolled[:-span] = rolled[:-span] * _PLACE[span] + rolled[span:]
+        rolled[:-span] = rolled[:-span] * place[span] + rolled[span:]
         span *= 2
     if span < width:  # two runs that overlap make one of any other width
-        rolled[: span - width] = rolled[: span - width] * _PLACE[width + 32] + rolled[width - span :]
+        rolled[: span - width] = rolled[: span - width] * place[width + 32] + rolled[width - span :]
     inside = np.ones(len(code), bool)
     for k in range(1, width):
         inside[ends - k] = False
-    return K.mix(rolled[inside]), size - width + 1
+    return mixed(rolled[inside]), size - width + 1
 
 
 def numbered(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -92,34 +117,42 @@ def members(code: np.ndarray, size: np.ndarray, fine: bool) -> tuple[np.ndarray,
     return (numbered(hashes, count) if fine else hashes), count
 
 
+def _sorted_within(hashes: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sorts each line's hashes where they are, and marks those that are new in their line."""
+    ends, start = np.cumsum(count), 0
+    for stop in ends.tolist():  # each line's alone: short sorts stay in cache
+        hashes[start:stop].sort()
+        start = stop
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    new[ends[:-1]] = True
+    return new
+
+
 def signatures(hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many distinct hashes each line has, and its MinHash signature of ``BANDS * ROWS`` values, both by sorting them.
+    """How many distinct hashes of 32 bits each line has, and its MinHash signature of ``BANDS * ROWS`` values, both by sorting them.
 
     A line's hashes are dealt to as many bins by their leading bits, and a value is the least of its
     bin (MinHash by one permutation). An empty bin takes the value of the next one that isn't, and its distance.
     """
     lines, bins = len(count), BANDS * ROWS
-    low, end = hashes >> np.uint64(6), np.cumsum(count)
-    start = 0
-    for stop in end.tolist():  # each line's alone: short sorts stay in cache
-        low[start:stop].sort()
-        start = stop
-    new = np.ones(len(low), bool)
-    np.not_equal(low[1:], low[:-1], out=new[1:])
-    new[end[:-1]] = True
-    cell = low * np.uint64(bins)
-    cell >>= np.uint64(58)
-    cell = cell.view(np.int64)
-    cell += np.repeat(np.arange(lines) * bins, count)
+    low, end = hashes.copy(), np.cumsum(count)
+    new = _sorted_within(low, count)
+    cell = low >> np.uint32(16)
+    cell *= np.uint32(bins)
+    cell >>= np.uint32(16)
+    cell += np.repeat(np.arange(lines, dtype=np.uint32) * np.uint32(bins), count)
     first = np.flatnonzero(cell[1:] != cell[:-1]) + 1  # repeats lie in one cell
     first = np.concatenate([np.zeros(1, np.int64), first])
     table, full = np.zeros(lines * bins, np.uint64), np.zeros(lines * bins, bool)
-    table[cell[first]], full[cell[first]] = K.mix(low[first]), True
+    table[cell[first]], full[cell[first]] = K.mix(low[first].astype(np.uint64)), True
     table, full = table.reshape(lines, bins), full.reshape(lines, bins)
-    at = np.where(full, np.arange(bins), 2 * bins)
-    following = np.minimum.accumulate(np.concatenate([at, at + bins], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :bins]
-    value = np.take_along_axis(table, following % bins, axis=1) + (following - np.arange(bins)).astype(np.uint64) * K.STEP
-    return np.add.reduceat(new, end - count, dtype=np.int64), value
+    some = np.flatnonzero(~full.all(axis=1))
+    if len(some):
+        at = np.where(full[some], np.arange(bins), 2 * bins)
+        following = np.minimum.accumulate(np.concatenate([at, at + bins], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :bins]
+        table[some] = np.take_along_axis(table[some], following % bins, axis=1) + (following - np.arange(bins)).astype(np.uint64) * K.STEP
+    return np.add.reduceat(new, end - count, dtype=np.int64), table
 
 
 def band_keys(signature: np.ndarray, rows: int, family: int) -> np.ndarray:
@@ -131,12 +164,12 @@ def band_keys(signature: np.ndarray, rows: int, family: int) -> np.ndarray:
 
 def fine_signatures(code: np.ndarray, size: np.ndarray) -> np.ndarray:
     """MinHash signatures of short lines: the least of each line's hashes under many multipliers."""
-    hashes, count = shingle_hashes(code, size, FINE_BAND)
+    hashes, count = shingle_hashes(code, size, FINE_BAND, 32)
     first = np.cumsum(count) - count
-    least = np.empty((len(_MULTIPLY), len(count)), np.uint64)
-    for row, m in zip(least, _MULTIPLY):
+    least = np.empty((len(_MULTIPLY), len(count)), np.uint32)
+    for row, m in zip(least, _MULTIPLY.astype(np.uint32)):
         np.minimum.reduceat(hashes * m, first, out=row)
-    return K.mix(least).T
+    return K.mix(least.astype(np.uint64)).T
 
 
 def _chunks(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -154,11 +187,11 @@ def similar(a: str, b: str, percent: int = PERCENT) -> bool:
     """Exact Jaccard similarity: of two short lines' fine shingles with their repeats, else of the sets of shingles."""
     fine = max(len(a), len(b)) <= SHORT
     width = FINE if fine else SHINGLE
-    c, d = (Counter(t[i : i + width] for i in range(max(1, len(t) - width + 1))) for t in (a, b))
+    c, d = ([t[i : i + width] for i in range(max(1, len(t) - width + 1))] for t in (a, b))
     if not fine:
-        c, d = Counter(c.keys()), Counter(d.keys())
-    both = (c & d).total()
-    return 100 * both >= percent * (c.total() + d.total() - both)
+        c, d = set(c), set(d)
+    both = (Counter(c) & Counter(d)).total() if fine else len(c & d)
+    return 100 * both >= percent * (len(c) + len(d) - both)
 
 
 #: The most pairs that are compared at once.
@@ -233,53 +266,228 @@ def _normal_lines(text: str | None) -> list[str]:
     ]
 
 
-def _lines_of(part: pa.RecordBatch) -> tuple[list, list[str], list[int]]:
-    """Document, normalised line and line number of every line of the batch that isn't blank."""
-    ids, lines, numbers = [], [], []
-    for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-        for number, line in enumerate(_normal_lines(text)):
-            if line:
-                ids.append(doc)
-                lines.append(line)
-                numbers.append(number)
-    return ids, lines, numbers
+def _coded(texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """The code points of all normalised lines that aren't blank, each line's length, the place of its text in ``texts`` and its number there,
+    and bytes of UTF-8 with each line's first and their number.
+
+    Texts are read as arrays at once; those with white space to be taken out go line by line.
+    """
+    lower = [text.lower() if text else "" for text in texts]
+    for again in (False, True):
+        whole = "\n".join(lower)
+        plain = whole.isascii()
+        code = np.frombuffer(whole.encode() if plain else whole.encode("utf-32-le", "surrogatepass"), np.uint8 if plain else np.uint32)
+        edge = code == 10
+        ends = np.append(np.flatnonzero(edge), len(code))
+        text = np.repeat(np.arange(len(lower)), [t.count("\n") + 1 for t in lower])
+        if again or not len(code):
+            break
+        blank = code == 32
+        odd = (code < 32) ^ edge
+        odd[:-1] |= blank[:-1] & (blank[1:] | edge[1:])
+        odd[1:] |= blank[1:] & edge[:-1]
+        odd[[0, -1]] |= blank[[0, -1]]
+        if not plain:  # all other white space is among these
+            odd |= (code == 0x85) | (code == 0xA0) | (code >= 0x1680)
+        if not odd.any():
+            break
+        for i in np.unique(text[np.searchsorted(ends, np.flatnonzero(odd))]).tolist():
+            lower[i] = "\n".join(_normal_lines(texts[i]))
+    size = np.diff(ends, prepend=-1) - 1
+    first = np.searchsorted(text, np.arange(len(lower)))
+    number, keep = np.arange(len(text)) - first[text], size > 0
+    data = code if plain else np.frombuffer(whole.encode("utf-8", "surrogatepass"), np.uint8)
+    ends = ends if plain else np.append(np.flatnonzero(data == 10), len(data))
+    byte = np.concatenate([np.zeros(1, np.int64), ends[:-1] + 1])
+    return code[~edge].astype(np.uint32), size[keep], text[keep], number[keep], data, byte[keep], (ends - byte)[keep]
+
+
+def _bytes_of(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The share of ``data`` that holds these lines, and where they are in it."""
+    return data[first[0] : first[-1] + size[-1]], first - first[0], size
+
+
+def _runs_of(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, tuple]]:
+    """Code points, lengths, documents and numbers of the lines of the batch (doc_id, text) that aren't blank, and where their
+    bytes are, about ``BLOCK`` characters at once."""
+    texts, ids = part.column(1).to_pylist(), part.column(0)
+    at = 0
+    while at < len(texts):
+        stop, held = at, 0
+        while stop < len(texts) and held < 8 * BLOCK:
+            held += len(texts[stop] or "")
+            stop += 1
+        code, size, text, number, data, byte, length = _coded(texts[at:stop])
+        upto = np.cumsum(size)
+        if len(size):
+            cuts = np.unique(np.concatenate([[0], np.searchsorted(upto, np.arange(BLOCK, upto[-1], BLOCK)) + 1, [len(size)]])).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                yield code[upto[a] - size[a] : upto[b - 1]], size[a:b], ids.take(pa.array(at + text[a:b])), number[a:b], _bytes_of(data, byte[a:b], length[a:b])
+        at = stop
 
 
 def _emitted(docs: DataFrame, clashing: np.ndarray, node_bits: int) -> DataFrame:
-    """kind 0: a = doc_id, node, n = line number, the line's second hash; kind 1: a = band key, node, n = shingles."""
+    """kind 0: a line's doc_id, line_no, node and second hash; kind 1: of many lines the nodes, their numbers of shingles and
+    band keys as arrays of bytes, every line's keys together, and how many keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, seen = ["kind", "a", "node", "n", "two"], set()
+        seen = set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, lines, numbers = _lines_of(batch.slice(at, 256))
-                for start, chunk in _chunks(lines):
-                    code, size = codes(chunk)
-                    nodes, two = identities(code, size, clashing, node_bits)
-                    stop = start + len(chunk)
-                    columns = [np.zeros(len(chunk), np.int32), pa.array(ids[start:stop], pa.int64()), nodes, pa.array(numbers[start:stop], pa.int32()), two]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=names)
-                    fresh = np.zeros(len(chunk), bool)  # copies within a task say the same
-                    for i, node in enumerate(nodes.tolist()):
-                        if node not in seen:
-                            fresh[i] = True
-                            if len(seen) < SEEN:
-                                seen.add(node)
-                    for fine, these in ((False, size >= BORDER), (True, size <= SHORT)):
-                        take = fresh & these
-                        if not take.any():
-                            continue
-                        own = code[np.repeat(take, size)]
-                        if fine:
-                            n, keys = np.maximum(size[take] - FINE + 1, 1), band_keys(fine_signatures(own, size[take]), FINE_ROWS, 1)
-                        else:
-                            n, signature = signatures(*shingle_hashes(own, size[take], SHINGLE))
-                            keys = band_keys(signature, ROWS, 0)
-                        bands = keys.shape[1]
-                        columns = [np.ones(keys.size, np.int32), keys.view(np.int64).ravel(), np.repeat(nodes[take], bands), np.repeat(n, bands).astype(np.int32)]
-                        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(keys.size, pa.int64())], names=names)
-
-    return docs.mapInArrow(run, "kind int, a long, node long, n int, two long")
+            for code, size, ids, number, places in _runs_of(batch):
+                nodes, two = named(*places, clashing, node_bits)
+                yield _rows(len(size), kind=np.zeros(len(size), np.int32), doc_id=ids, node=nodes, line_no=number.astype(np.int32), two=two)
+                fresh = np.zeros(len(size), bool)  # copies within a task say the same
+                for i, node in enumerate(nodes.tolist()):
+                    if node not in seen:
+                        fresh[i] = True
+                        if len(seen) < SEEN:
+                            seen.add(node)
+                for fine, these in ((False, size >= BORDER), (True, size <= SHORT)):
+                    take = fresh & these
+                    if not take.any():
+                        continue
+                    own, length = code[np.repeat(take, size)], size[take]
+                    if fine:
+                        n, keys = np.maximum(length - FINE + 1, 1), band_keys(fine_signatures(own, length), FINE_ROWS, 1)
+                    else:
+                        n, signature = signatures(*shingle_hashes(own, length, SHINGLE, 32))
+                        ends = np.cumsum(length)
+                        for i in np.flatnonzero(length >= EXACT):
+                            n[i] = len(np.unique(shingle_hashes(own[ends[i] - length[i] : ends[i]], length[i : i + 1], SHINGLE)[0]))
+                        keys = band_keys(signature, ROWS, 0)
+                    held = [nodes[take].tobytes(), n.astype(np.int32).tobytes(), keys.tobytes()]
+                    yield _rows(1, kind=np.ones(1, np.int32), many=np.array([keys.size]), **{k: pa.array([v], pa.binary()) for k, v in zip(("nodes", "sizes", "keys"), held)})
+
+    return docs.mapInArrow(run, ", ".join(f"{k} {kind}" for k, (kind, _) in _EMITTED.items()))
+
+
+_EMITTED = {
+    "kind": ("int", pa.int32()), "doc_id": ("long", pa.int64()), "node": ("long", pa.int64()), "line_no": ("int", pa.int32()), "two": ("long", pa.int64()),
+    "many": ("long", pa.int64()), "nodes": ("binary", pa.binary()), "sizes": ("binary", pa.binary()), "keys": ("binary", pa.binary()),
+}
+
+
+def _rows(count: int, **columns: np.ndarray | pa.Array) -> pa.RecordBatch:
+    """A batch of what is emitted; columns that aren't given are null."""
+    arrays = [pa.array(columns[k]) if k in columns else pa.nulls(count, kind) for k, (_, kind) in _EMITTED.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=[*_EMITTED])
+
+
+def shared_keys(bands: DataFrame, percent: int = PERCENT, part: int = PART) -> DataFrame:
+    """Of the ``bands`` emitted (many, nodes, sizes, keys) what keys of two nodes or more say: key, node, other, n, m.
+
+    A key of up to ``FEW`` nodes is all its pairs node < other that may be similar by their sizes n <= m, any other a row for each of its
+    nodes, whose other is null, and which may be given again. Keys go as arrays of bytes to as many parts as their number asks for, by
+    their leading bits. Of a key that more lines of a task have, only ``ROWS_OF_KEY`` go there to show it: the key has more
+    nodes than ``FEW`` then, and the other rows are spread over parts of their own, so that no key fills one.
+    """
+    total = bands.agg(F.sum("many")).first()[0] or 0
+    parts = max(1, -(-total // part))
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in ("nodes", "sizes", "keys"))):
+                nodes, sizes, keys = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, (np.int64, np.int32, np.uint64)))
+                bands = len(keys) // len(nodes)
+                held.append((keys, np.repeat(nodes, bands), np.repeat(sizes, bands)))
+                size += len(keys)
+                if size >= part:
+                    yield from _dealt(held, parts, part)
+                    held, size = [], 0
+        if held:
+            yield from _dealt(held, parts, part)
+
+    def met(key: tuple, table: pa.Table) -> pa.Table:
+        columns = (b"".join(x.as_buffer() for x in table[c]) for c in ("keys", "nodes", "sizes"))
+        keys, nodes, sizes = (np.frombuffer(x, kind) for x, kind in zip(columns, (np.uint64, np.int64, np.int32)))
+        if key[0].as_py() >= parts:
+            return _found(keys, nodes, sizes, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        keys, nodes, sizes = _of_several(keys, nodes, sizes)[:3]
+        first, count = _groups(keys)
+        pairs = [np.zeros((2, 0), np.int64)]
+        for c in range(2, FEW + 1):
+            pairs.append((first[count == c] + np.array(np.triu_indices(c, 1))[:, :, None]).reshape(2, -1))
+        x, y = np.concatenate(pairs, axis=1)
+        n, m = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
+        fit = _fits(n.astype(np.int64), m.astype(np.int64), percent)
+        return _found(keys, nodes, sizes, x[fit], y[fit], np.flatnonzero(np.repeat(count > FEW, count)))
+
+    sent = bands.select("nodes", "sizes", "keys").mapInArrow(spread, "part long, keys binary, nodes binary, sizes binary")
+    return sent.groupBy("part").applyInArrow(met, "key long, node long, other long, n int, m int")
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys begins, and its length."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return first, np.diff(first, append=len(keys))
+
+
+def _of_several(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The rows of keys that several nodes have, by key and node, each once, and where those of all other keys are."""
+    own = np.sort(keys)
+    twice = own[1:][own[1:] == own[:-1]]
+    place = np.uint64((1 << 22) - 1)
+    marks = np.zeros(1 << 22, bool)
+    marks[(twice & place).view(np.int64)] = True
+    met = marks[(keys & place).view(np.int64)]  # they, and a few others
+    rest, order = np.flatnonzero(~met), np.flatnonzero(met)
+    order = order[np.lexsort((nodes[order], keys[order]))]
+    k, v = keys[order], nodes[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
+    order = order[new]
+    first, count = _groups(keys[order])
+    alone = np.repeat(count == 1, count)
+    rest, order = np.concatenate([rest, order[alone]]), order[~alone]
+    return keys[order], nodes[order], sizes[order], rest
+
+
+def _dealt(held: list[tuple], parts: int, part: int) -> Iterator[pa.RecordBatch]:
+    """Arrays of keys, nodes and sizes as rows for the parts that they belong to."""
+    columns = [np.concatenate(x) for x in zip(*held)]
+    *shared, rest = _of_several(*columns)
+    first, count = _groups(shared[0])
+    shown = np.arange(len(shared[0])) - np.repeat(first, count) < ROWS_OF_KEY
+    keys, nodes, sizes = (np.concatenate([x[rest], y[shown]]) for x, y in zip(columns, shared))
+    to = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    order = np.argsort(to, kind="stable")
+    to = to.astype(np.int64)
+    cut = np.flatnonzero(np.diff(to[order], prepend=-1, append=-1))
+    yield _bytes(to[order][cut[:-1]], cut, keys[order], nodes[order], sizes[order])
+    keys, nodes, sizes = (x[~shown] for x in shared)
+    if len(keys):
+        cut = np.append(np.arange(0, len(keys), part >> 3), len(keys))
+        yield _bytes(parts + nodes[cut[:-1]] % parts, cut, keys, nodes, sizes)
+
+
+def _bytes(to: np.ndarray, cut: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each part in ``to`` with the bytes of its share of the columns."""
+    arrays = [pa.array(to)]
+    for x in columns:
+        ends = (cut * x.itemsize).astype(np.int32)
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(to), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))]))
+    return pa.RecordBatch.from_arrays(arrays, names=["part", "keys", "nodes", "sizes"])
+
+
+def _found(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, more: np.ndarray | None = None) -> pa.Table:
+    """The pairs of the rows x and y, each once, and the rows ``more`` (all by default)."""
+    order = np.lexsort((nodes[y], nodes[x]))
+    x, y = x[order], y[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (nodes[x[1:]] != nodes[x[:-1]]) | (nodes[y[1:]] != nodes[y[:-1]])
+    x, y = x[new], y[new]
+    of = (nodes[x], nodes[y], np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y]))
+    more = np.arange(len(keys)) if more is None else more
+    none = pa.nulls(len(more), pa.int64())
+    pairs = [pa.nulls(len(x), pa.int64()), *(pa.array(side, kind) for side, kind in zip(of, (pa.int64(), pa.int64(), pa.int32(), pa.int32())))]
+    rows = [pa.array(keys[more].view(np.int64)), pa.array(nodes[more]), none, pa.array(sizes[more], pa.int32()), none.cast(pa.int32())]
+    return pa.table({name: pa.chunked_array([a, b]) for name, a, b in zip(("key", "node", "other", "n", "m"), pairs, rows)})
+
+
+def _fits(n, m, percent: int):
+    """Whether lines of n and of m shingles, m not the smaller, may be similar; counts of distinct ones may be one or two too low."""
+    return 100 * (n + 2) >= percent * m
 
 
 def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) -> DataFrame:
@@ -296,39 +504,51 @@ def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) ->
     second alone get other nodes (``node_bits`` are those of the first; fewer only make more of this). Band keys are cut from whole lines; ``cluster`` verifies the candidates on the lines' characters.
     """
     docs = docs.select("doc_id", "text")
+    in_small_batches(docs.sparkSession)
     with Scratch(docs.sparkSession) as scratch:
         clashing, clashes = np.zeros(0, np.int64), True
         while clashes:
             emitted, path = written_at(_emitted(docs, clashing, node_bits), "lines", "kind")
             scratch.hold(emitted, f"{path}/kind=1")
-            lines = emitted.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("n").alias("line_no"), "node", "two")
+            lines = emitted.where("kind = 0").select("doc_id", "line_no", "node", "two")
             firsts = F.min(F.struct("doc_id", "line_no")).alias("first")
             owners = scratch.written(
-                lines.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("two").alias("two"), F.max("two").alias("other")), "owners"
-            )
+                lines.groupBy("node").agg(
+                    F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("line_no", "doc_id"), F.min("line_no")).alias("line_no"),
+                    F.min("two").alias("two"), F.max("two").alias("other"), F.count(F.lit(1)).alias("copies"),
+                ), "owners"
+            )
             # Of n lines about n^2 / 2^65 meet another: none here, a few in 10^11.
             clashes = owners.where("two <> other").select("node").toArrow()["node"].to_numpy()
             clashing = np.union1d(clashing, clashes)
             clashes = len(clashes) > 0
+        found = scratch.written(shared_keys(emitted.where("kind = 1"), percent), "shared")
+        scratch.drop(emitted)
         texts: list[DataFrame] = []
 
         def sketched(nodes: DataFrame) -> DataFrame:
-            wanted = scratch.written(owners.select("node", "doc_id").join(nodes, "node"), "wanted")
+            wanted = scratch.written(owners.select("node", "doc_id", "line_no").join(nodes, "node"), "wanted")
             texts.append(scratch.written(_load_lines(docs, wanted, clashing, node_bits, scratch), "line-texts"))
             return texts[0].drop("line")
 
         comps = cluster(
-            emitted.where("kind = 1").select(F.col("a").alias("key"), "node", "n", F.lit(0).alias("pos")),
+            found.where("other IS NULL").select("key", "node", "n", F.lit(0).alias("pos")),
             sketched,
             SKETCH,
             lambda pairs: scratch.written(_verified(pairs, texts[0].select("node", "line"), percent), "verified"),
             # Counts of distinct shingles may be one or two too low.
             lambda n, m: F.when(100 * (F.least(n, m) + 2) >= percent * F.greatest(n, m), F.floor((n + m + 4) * (100 - percent) / F.lit(100.0 + percent) + 1e-9)).otherwise(-1),
-            lambda n, m, room: 100 * (n + 2) >= percent * m,
+            lambda n, m, room: _fits(n, m, percent),
+            found.where("other IS NOT NULL").select(F.col("node").alias("x"), F.col("other").alias("y"), "n", "m"),
         )
-        placed = lines.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        # Most lines are a group by themselves, and are seen to be by the marks of all others.
+        grouped = owners.where("copies > 1").select("node").unionByName(comps.select("node"))
+        marked = likely(lines.drop("two"), "node", grouped, "node", "grouped")
+        placed = marked.where("grouped").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         groups = placed.groupBy("comp").agg(firsts, F.count(F.lit(1)).alias("group_lines"))
-        return placed.join(groups, "comp").select(
+        alone = marked.where("NOT grouped").withColumn("first", F.struct("doc_id", "line_no")).withColumn("group_lines", F.lit(1).cast("long"))
+        columns = ["doc_id", "line_no", "node", "first", "group_lines"]
+        return placed.join(groups, "comp").select(*columns).unionByName(alone.select(*columns)).select(
             "doc_id", "line_no", F.col("node").alias("line_key"), F.col("first.doc_id").alias("keep_doc_id"),
             F.col("first.line_no").alias("keep_line_no"), "group_lines",
             (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
@@ -336,22 +556,31 @@ def line_groups(docs: DataFrame, percent: int = PERCENT, node_bits: int = 64) ->
 
 
 def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, node_bits: int, scratch: Scratch) -> DataFrame:
-    """(node, line and its parity sketch) of the ``wanted`` (node, doc_id) rows, each line from its owner document.
+    """(node, line and its parity sketch) of the ``wanted`` (node, doc_id, line_no) rows, each line from its owner document.
 
-    Bitmaps of bounded size over the documents and the nodes' low bits let only likely lines out of the
-    tasks; the join on node and owner makes it exact.
+    Bitmaps of bounded size over the lines' places and the nodes' low bits let only likely lines be read and
+    out of the tasks; the join on node and owner makes it exact.
     """
+    low = (1 << 40) - 1
     marks, bits = bitmap_of(wanted, "node")
-    of_docs, doc_bits = bitmap_of(wanted.select(F.xxhash64("doc_id").alias("h")).distinct(), "h")
-    table = scratch.broadcast((marks, of_docs))
+    of_lines, line_bits = bitmap_of(wanted.select((F.xxhash64("doc_id").bitwiseAND(low) + F.col("line_no").cast("long") * _LINE).alias("h")), "h")
+    table = scratch.broadcast((marks, of_lines))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, of_docs = table.value
+        marks, of_lines = table.value
         for batch in batches:
-            batch = batch.filter(pa.array(K.marked(of_docs, batch.column(2).to_numpy())))
             for at in range(0, batch.num_rows, 256):
-                ids, lines, _ = _lines_of(batch.slice(at, 256))
-                for start, chunk in _chunks(lines):
+                part = batch.slice(at, 256)
+                texts = [text.split("\n") if text else [] for text in part.column(1).to_pylist()]
+                count = np.fromiter(map(len, texts), np.int64, len(texts))
+                doc = np.repeat(np.arange(len(texts)), count)
+                number = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                place = (part.column(2).to_numpy()[doc] & low) + number * _LINE
+                found = np.flatnonzero(K.marked(of_lines, place & ((1 << line_bits) - 1)))
+                lines = [normal(texts[d][k]) for d, k in zip(doc[found].tolist(), number[found].tolist())]
+                full = np.flatnonzero(np.fromiter(map(bool, lines), bool, len(lines)))
+                ids = part.column(0).take(pa.array(doc[found[full]]))
+                for start, chunk in _chunks([line for line in lines if line]):
                     code, size = codes(chunk)
                     nodes, _ = identities(code, size, clashing, node_bits)
                     keep = K.marked(marks, nodes & ((1 << bits) - 1))
@@ -363,16 +592,18 @@ def _load_lines(docs: DataFrame, wanted: DataFrame, clashing: np.ndarray, node_b
                         take = keep & ((size <= SHORT) == fine)
                         if take.any():
                             hashes, count = members(code[np.repeat(take, size)], size[take], fine)
-                            values, who, _ = K.distinct(hashes, np.repeat(np.arange(len(count)), count))
-                            sketch[take, :SKETCH] = K.parity(values, who, len(count), SKETCH)
-                    found = np.flatnonzero(keep)
+                            who = np.repeat(np.arange(len(count)), count)
+                            if not fine:
+                                new = _sorted_within(hashes, count)
+                                hashes, who = hashes[new], who[new]
+                            sketch[take, :SKETCH] = K.parity(hashes, who, len(count), SKETCH)
+                    out = np.flatnonzero(keep)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids[start + i] for i in found], pa.int64()), pa.array(nodes[found]), pa.array([chunk[i] for i in found], pa.string()),
-                         K.lists(sketch[found])], names=["doc_id", "node", "line", "sketch"],
+                        [ids.take(pa.array(start + out)), pa.array(nodes[out]), pa.array([chunk[i] for i in out], pa.string()),
+                         K.lists(sketch[out])], names=["doc_id", "node", "line", "sketch"],
                     )
 
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << doc_bits)).alias("place")
-    found = docs.select("doc_id", "text", place).mapInArrow(run, "doc_id long, node long, line string, sketch array<long>")
+    found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("hash")).mapInArrow(run, "doc_id long, node long, line string, sketch array<long>")
     same = (found["node"] == wanted["node"]) & found["doc_id"].eqNullSafe(wanted["doc_id"])
     return found.join(wanted, same, "left_semi").dropDuplicates(["node"]).select("node", "line", "sketch")
 

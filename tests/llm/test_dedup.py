@@ -125,3 +125,39 @@ def test_one_changed_character_of_a_short_line(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["keep_doc_id"], r["group_lines"]) for r in line_dedup.line_groups(docs).collect()}
     assert got == {i: (i - i % 10, 2) for i, _ in rows}
+
+
+def test_band_keys_are_packed(spark):
+    """op3_line_dedup emits a row for many lines' band keys, not one a key, and finds what a plain grouping finds."""
+    rng = random.Random(4)
+    base = "".join(rng.choices("abcdefgh ", k=120))
+    lines = [base[:k] + "z" + base[k + 1 :] for k in range(1, 41)] + ["".join(rng.choices("abcdefgh ", k=90)) + "x" for _ in range(60)]
+    docs = spark.createDataFrame([(i, "x" + line) for i, line in enumerate(lines * 2)], "doc_id long, text string").repartition(3)
+    bands = line_dedup._emitted(docs, np.zeros(0, np.int64), 64).where("kind = 1")
+    plain = defaultdict(dict)
+    rows = bands.collect()
+    assert 0 < len(rows) < 10
+    for r in rows:
+        nodes, sizes, keys = (np.frombuffer(r[c], kind) for c, kind in (("nodes", np.int64), ("sizes", np.int32), ("keys", np.uint64)))
+        for node, n, own in zip(nodes.tolist(), sizes.tolist(), keys.reshape(len(nodes), -1).view(np.int64).tolist()):
+            for key in own:
+                plain[key][node] = n
+    few = {(x, y) for own in plain.values() if 1 < len(own) <= components.FEW for x in own for y in own if x < y}
+    many = {(key, node, n) for key, own in plain.items() if len(own) > components.FEW for node, n in own.items()}
+    assert few and many
+    for part in (1 << 19, 500):  # in one part, and in many with large keys spread
+        found = line_dedup.shared_keys(bands, part=part).collect()
+        assert {(r["node"], r["other"]) for r in found if r["other"] is not None} == few
+        assert {(r["key"], r["node"], r["n"]) for r in found if r["other"] is None} == many
+
+
+def test_lines_are_read_at_once_as_one_by_one():
+    rng = random.Random(1)
+    for _ in range(2000):
+        signs = rng.choice(["aB \t\x1c\x85\xa0　é\U0001f600Σİ\n", "aB b\n"])
+        texts = [rng.choice([None, "".join(rng.choices(signs, k=rng.randrange(25)))]) for _ in range(rng.randrange(1, 5))]
+        want = [(line_dedup.normal(x), i, k) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if x.strip()]
+        code, size, text, number, data, first, length = line_dedup._coded(texts)
+        ends, whole = np.cumsum(size), code.tobytes().decode("utf-32-le")
+        assert [(whole[b - n : b], i, k) for b, n, i, k in zip(ends.tolist(), size.tolist(), text.tolist(), number.tolist())] == want
+        assert [data.tobytes()[a : a + n].decode() for a, n in zip(first.tolist(), length.tolist())] == [x for x, _, _ in want]
