@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,19 +38,32 @@ def spans_to_bio(words: Column, spans: Column) -> Column:
     return F.transform(words, tag)
 
 
+def disjoint_places(starts: list[int], ends: list[int]) -> list[int]:
+    """The places of the spans (half open) that overlap none kept before. The kept ones are held in order, so one of them is compared."""
+    kept: list[tuple[int, int]] = []
+    out = []
+    for i, (start, end) in enumerate(zip(starts, ends)):
+        at = bisect_left(kept, (end,))  # those before begin before this one's end; the last of them ends last
+        if not at or kept[at - 1][1] <= start:
+            insort(kept, (start, end))
+            out.append(i)
+    return out
+
+
 def greedy_disjoint(spans: Column) -> Column:
     """Of structs that begin (-prob, -has_id, start, -end) those that overlap none kept before, in that order.
 
-    ``spans`` is sorted first; the fold keeps a span if it overlaps no kept one (half open).
+    ``spans`` is sorted (``array_sort``); a span is kept if it overlaps no kept one (half open).
     """
-    ordered = F.array_sort(spans)
-    return F.aggregate(
-        ordered,
-        F.slice(ordered, 1, 0),
-        lambda kept, s: F.when(
-            F.exists(kept, lambda k: (k["start"] < -s["neg_end"]) & (s["start"] < -k["neg_end"])), kept
-        ).otherwise(F.concat(kept, F.array(s))),
-    )
+
+    @F.arrow_udf("array<int>")
+    def places(starts: pa.Array, ends: pa.Array) -> pa.Array:
+        return pa.array([disjoint_places(s or (), e or ()) for s, e in zip(starts.to_pylist(), ends.to_pylist())], pa.list_(pa.int32()))
+
+    def kept(ordered: Column) -> Column:
+        return F.transform(places(F.transform(ordered, lambda s: s["start"]), F.transform(ordered, lambda s: -s["neg_end"])), lambda i: F.get(ordered, i))
+
+    return kept(spans)
 
 
 def chunks(items: Column, size: int) -> Column:

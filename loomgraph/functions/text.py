@@ -1,10 +1,12 @@
-"""Text cleaning, tokens and sentences as Column expressions; nothing here leaves the JVM."""
+"""Text cleaning, tokens and sentences as Column expressions; all but the sentences' spans stays in the JVM."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomgraph.functions import scan
+
 #: Token pattern, fixed: a run of ASCII letters and digits, or any other single character.
 PIECE = r"[0-9a-zA-Z]+|[^0-9a-zA-Z]"
 #: Unicode blanks and private-use characters that count as blanks, fixed values.
@@ -26,7 +28,7 @@ def let(value: Column, f) -> Column:
 def clean_input(c: Column | str) -> Column:
     """Line ends, tabs and no-break blanks to blanks, ``|`` to ``/``, other than ASCII dropped."""
     flat = F.regexp_replace(_as(c), "\r\n", " ")
-    flat = F.translate(flat, "\n\t\u00a0\u000b\u000c|", "     /")
+    flat = F.replace(F.regexp_replace(flat, "[\n\t\u00a0\u000b\u000c]", " "), F.lit("|"), F.lit("/"))
     return F.regexp_replace(flat, r"[^\x00-\x7F]", "")
 
 
@@ -93,20 +95,6 @@ def _spans(parts: Column, base: Column) -> Column:
     return let(parts, build)
 
 
-def token_heads(content: Column | str, ahead: int = 0) -> Column:
-    """tok and start of a content's tokens; with ``ahead``, also the token itself with that many pieces behind it, and the piece before."""
-    def build(p: Column) -> Column:
-        at = running_starts(F.transform(p, F.length))
-        if not ahead:
-            return F.zip_with(p, at, lambda t, s: F.struct(t.alias("tok"), s.alias("start")))
-        text_of = lambda i: F.array_join(F.slice(p, i + 1, ahead + 1), "")
-        return let(at, lambda a: F.transform(p, lambda t, i: F.struct(
-            t.alias("tok"), F.get(a, i).alias("start"), text_of(i).alias("ahead"), F.get(p, i - 1).alias("prev")
-        )))
-
-    return F.filter(let(pieces(content), build), lambda x: x["tok"] != " ")
-
-
 def token_spans(sentence: Column | str, start: Column | int = 0) -> Column:
     """tok, start and end (inclusive) of a sentence's tokens; ``start`` is the sentence's own."""
     base = start if isinstance(start, Column) else F.lit(start)
@@ -165,17 +153,7 @@ def tagger_sentences(title: Column | str, abstract: Column | str) -> Column:
 
 def sentence_spans(content: Column | str) -> Column:
     """sent_no (from 1), start and end (exclusive) of the sentences for the graph, outer blanks left out."""
-    def build(parts: Column) -> Column:
-        at = running_starts(F.transform(parts, F.length))
-        spans = F.zip_with(
-            parts, at, lambda p, s: F.struct(
-                (s + F.length(p) - F.length(F.ltrim(p))).alias("start"), (s + F.length(F.rtrim(p))).alias("end"), F.trim(p).alias("text")
-            )
-        )
-        solid = F.filter(spans, lambda x: x["text"] != "")
-        return F.transform(solid, lambda x, i: F.struct((i + 1).alias("sent_no"), x["start"].alias("start"), x["end"].alias("end")))
-
-    return let(split_sentences(content, merge_lower=True), build)
+    return F.arrow_udf(scan.sentences, "array<struct<sent_no:int,start:int,end:int>>")(_as(content))
 
 
 def occurrences(content: Column, surface: Column) -> Column:

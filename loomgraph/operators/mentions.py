@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from loomgraph.functions import text
+from loomgraph.functions import scan, text
 from loomgraph.operators.relations import TOOL_TYPES
+from loomgraph.sources.tables import stored
 
 #: Mutation kinds that count, and words for humans that a species mention isn't, fixed values.
 MUTATIONS = ("ProteinMutation", "DNAMutation", "SNP")
@@ -24,37 +30,64 @@ def route_subtype(subtype: Column) -> Column:
     return F.when(kind == "cellline", "cellline").when(kind == "gene", "gene").otherwise("species")
 
 
-def dictionary_mentions(docs: DataFrame, terms: DataFrame, own: bool = False) -> DataFrame:
+#: Terms up to which a dictionary is sent to every task.
+SENT = 10_000
+
+
+def dictionary_mentions(docs: DataFrame, terms: DataFrame, own: bool = False, sentences: bool = False) -> DataFrame:
     """Every place of a ``term`` in a content between other characters than ASCII letters and digits.
 
     Gives pmid, start, end (exclusive) and the columns of ``terms``; with ``own`` a term is looked for only in
-    the document of its pmid. Places of a term that overlap count each; an empty or null term has none.
+    the document of its pmid. Places of a term that overlap count each; an empty or null term has none. With ``sentences`` also sent_no
+    of the sentence that holds the place whole, null if none does.
 
-    A content is cut into tokens once, with their offsets; a term meets it by an equi-join on
-    its first token, and only what follows that token is compared.
+    A content is cut into tokens once, in arrays; those whose hash no term's first token has (a table of fixed size) go
+    there. A term meets the others by an equi-join on its first token, and only what follows that token is compared.
     """
-    most = terms.agg(F.max(F.size(text.pieces("term")))).first()[0] or 0
-    heads = docs.select("pmid", F.explode(text.token_heads("content", most if most > 1 else 0)).alias("h")).select("pmid", "h.*")
     keyed = terms.withColumn("tok", F.get(text.pieces("term"), F.lit(0))).select(F.struct(*terms.columns).alias("t"), "tok", *["pmid"] * own)
-    met = heads.join(keyed, ["tok", *["pmid"] * own])
+    shape = terms.agg(F.max(F.size(text.pieces("term"))).alias("most"), F.count(F.lit(1)).alias("n")).first()
+    most = shape["most"] or 0
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(scan.first_hashes(rows.column(0).drop_null())))], names=["h"])
+
+    wanted = keyed.select("tok").where("tok <> ''").distinct().mapInArrow(hashed, "h long").distinct().toArrow()["h"].to_numpy()  # 2 ** 22 at most
+    table = np.zeros(1 << scan.BITS, bool)
+    table[wanted] = True
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(table))
+    ahead = most if most > 1 else 0
+    columns = ["pmid", "tok", "start"] + ["ahead", "prev"] * (ahead > 0) + ["sent_no", "_from", "_to"] * sentences
+
+    def heads_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(sent.value).astype(bool)
+        for rows in batches:
+            for at, found in scan.places(rows.column(1), table, ahead, sentences):
+                yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(at)), *found], names=columns)
+
+    kinds = ["tok string", "start int"] + ["ahead string", "prev string"] * (ahead > 0) + ["sent_no int", "_from int", "_to int"] * sentences
+    schema = StructType([docs.schema["pmid"], *StructType.fromDDL(", ".join(kinds)).fields])
+    heads = docs.select("pmid", "content").mapInArrow(heads_of, schema)
+    met = heads.join(keyed if own or shape["n"] > SENT else F.broadcast(keyed), ["tok", *["pmid"] * own])
     if most > 1:
         letter = lambda c: F.coalesce(c.rlike("[0-9A-Za-z]"), F.lit(False))
         behind = F.substr("ahead", F.length("t.term") + 1, F.lit(1))
         met = met.where(F.startswith("ahead", "t.term") & ~letter(behind) & (letter(F.col("tok")) | ~letter(F.col("prev"))))
-    columns = [c for c in terms.columns if c != "pmid" or not own]
-    return met.select("pmid", "start", (F.col("start") + F.length("t.term")).alias("end"), *[f"t.{c}" for c in columns])
+    end = F.col("start") + F.length("t.term")
+    held = [F.when((F.col("_from") <= F.col("start")) & (end <= F.col("_to")), F.col("sent_no")).alias("sent_no")] * sentences
+    return met.select("pmid", "start", end.alias("end"), *[f"t.{c}" for c in terms.columns if c != "pmid" or not own], *held)
 
 
 def propagate_surfaces(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Every word-bounded occurrence of each surface, with subtype and id of its first mention by start.
 
-    Mentions of missing text go; a surface that never stands between word borders disappears.
+    Mentions of missing text go; a surface that never stands between word borders disappears. The surfaces are written once.
     """
     first = (
         found.where(~F.col("mention").contains("No text")).groupBy("pmid", "mention")
         .agg(F.min_by(F.struct("subtype", "id"), F.struct("start", "end")).alias("s"))
     )
-    terms = first.select("pmid", F.col("mention").alias("term"), "s.subtype", "s.id")
+    terms = stored(first.select("pmid", F.col("mention").alias("term"), "s.subtype", "s.id"), "surfaces")
     return dictionary_mentions(docs, terms, own=True).select("pmid", "start", "end", F.col("term").alias("mention"), "subtype", "id")
 
 

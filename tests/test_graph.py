@@ -152,3 +152,68 @@ def test_scores_of_a_p_that_is_zero(spark):
     of = lambda rows: {r["id2"]: r["enrichment_score"] for r in rows.collect()}
     bounded, endless = of(cooccur.significance(tables)), of(cooccur.significance(tables, endless=True))
     assert bounded["d:1"] == bounded["d:2"] == endless["d:2"] and endless["d:1"] == float("inf")
+
+
+def test_places_of_terms_against_a_loop(spark):
+    """Tokens by arrays: other than ASCII, control characters, terms of several tokens, empty texts, places at both ends."""
+    import re
+
+    texts = ["", None, "aspirin", "xéaspirin aspirin. Aspirin?  B12-aspirin \U0001f600 aspirin", "one\u0001two aspirin! yes. Heart failure", "heart failure,heart failures heart  failure", "." * 40 + "aspirin", "aéé bé", "abcdefghijk abcdefghijx", " aspirin \n aspirin? it is! No"]
+    terms = ["aspirin", "B12-", "heart failure", "é", "abcdefghijk", "two", "failure,heart", " x", ""]
+    docs = cooccur.with_sentences(spark.createDataFrame([(str(i), t, "") for i, t in enumerate(texts)], "pmid string, title string, abstract string"))
+    listed = spark.createDataFrame([(t,) for t in terms], "term string")
+
+    def plain(t, words, sents):
+        edge = lambda c: not re.match("[0-9A-Za-z]", c)
+        for w in words:
+            for m in re.finditer(f"(?={re.escape(w)})", t) if w.strip(" ") == w and w else ():
+                a, b = m.start(), m.start() + len(w)
+                if edge(t[b : b + 1]) and edge(t[a - 1 : a] if a else ""):
+                    yield w, a, b, next((i + 1 for i, s in enumerate(sents) if s[0] <= a and b <= s[1]), None)
+
+    sents = {r["pmid"]: [(s["start"], s["end"]) for s in r["sents"] or ()] for r in docs.collect()}
+    for words in (terms, [t for t in terms if len(t) > 1 and t.isalnum()]):  # of several tokens, and of one
+        got = mentions.dictionary_mentions(docs, listed.where(F.col("term").isin(words)), sentences=True).collect()
+        want = sorted((str(i), *p) for i, t in enumerate(texts) for p in plain(t or "", words, sents[str(i)]))
+        assert sorted((r["pmid"], r["term"], r["start"], r["end"], r["sent_no"]) for r in got if r["sent_no"]) == [w for w in want if w[4]]
+        assert len(got) == len(want) > 8
+
+
+def test_mentions_that_know_their_sentence_are_not_joined(spark):
+    docs = cooccur.with_sentences(spark.createDataFrame([("1", "Yes aspirin. No aspirin", "Heart aspirin? Never")], "pmid string, title string, abstract string"))
+    rows = mentions.dictionary_mentions(docs, spark.createDataFrame([("aspirin", "chemical", "C1")], "term string, entity_type string, id string"), sentences=True)
+    found = rows.withColumn("prob", F.lit(0.9))
+    index = cooccur.mention_index(docs, found)
+    assert sorted(r["sent_id"] for r in index.collect()) == sorted(r["sent_id"] for r in cooccur.mention_index(docs, found.drop("sent_no")).collect()) == ["1_s1", "1_s2"]
+    assert index._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1  # the one with the terms
+
+
+def test_disjoint_places_of_many_spans():
+    """A document of 60,000 mentions takes no look at all kept ones for each."""
+    import random
+    import time
+
+    from loomgraph.functions import spans
+
+    rng = random.Random(3)
+    some = [(s, s + rng.randrange(0, 6)) for s in (rng.randrange(80) for _ in range(300))]
+    kept = []
+    for i, (a, b) in enumerate(some):
+        if all(b <= some[k][0] or some[k][1] <= a for k in kept):
+            kept.append(i)
+    assert spans.disjoint_places(*map(list, zip(*some))) == kept
+    began = time.time()
+    assert len(spans.disjoint_places(list(range(0, 600_000, 10)), list(range(5, 600_005, 10)))) == 60_000
+    assert time.time() - began < 10
+
+
+def test_documents_of_which_cleaning_leaves_nothing_go(spark, tmp_path):
+    from loomgraph.plans import base
+
+    texts = ["", None, "é", "é\né", "\n", "\n\n", "é\n \n", " ", "a", "\r\n", "é\nb", "\n ", "é\r\né", "\u0000", " \n "]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = base.documents(spark, str(tmp_path))
+    clean = lambda t: "".join(c for c in t.replace("\r\n", " ").translate(str.maketrans("\n\t \u000b\u000c|", "     /")) if ord(c) < 128)
+    want = {str(i) for i, t in enumerate(texts) if any(map(clean, (t or "").split("\n", 1)))}
+    assert {r["pmid"] for r in docs.collect()} == want
+    assert "Filter (NOT" not in docs._jdf.queryExecution().optimizedPlan().toString()
