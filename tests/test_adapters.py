@@ -115,3 +115,44 @@ def test_command_line(spark, tmp_path, monkeypatch):
     (tmp_path / "gold.txt").write_text("1|t|Aspirin helps\n1|a|It\n1\t0\t7\tAspirin\tchemical\tC1\n")
     cli.main(["eval-spans", f"{tmp_path}/gold.txt", f"{tmp_path}/table", f"{tmp_path}/gold.txt"])
     assert spark.read.csv(f"{tmp_path}/table", sep="\t", header=True).first()["f1"] == "1.0"
+
+
+def test_nearest_by_grams_against_all_pairs(spark, monkeypatch):
+    """Every name asks, not one in fifty; equal names, blocks, an id listed twice, a null, and one that shares no gram."""
+    import math
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(normalise, "BLOCK", 7)
+    monkeypatch.setattr(normalise, "CELLS", 60)
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["ab", "ba", "abba", "cab", "cd", "dab bad", "a", "".join(rng.choices("abcd ", k=5))])) for i in range(120)]
+    rows += [(120, "zz"), (121, None), (3, "cab"), (122, "")]
+    names = spark.createDataFrame(rows, "nid long, name string")
+    tf: dict[int, Counter] = {}
+    for i, name in rows:
+        grams = [(name or "")[a : a + n] for n in (1, 2) for a in range(len(name or "") - n + 1)]
+        if grams:
+            tf.setdefault(i, Counter()).update(grams)
+    df = Counter(g for t in tf.values() for g in t)
+    raw = {i: {g: c * (math.log((1 + len(rows)) / (1 + df[g])) + 1) for g, c in t.items()} for i, t in tf.items()}
+    weights = {i: {g: w / math.sqrt(sum(x * x for x in t.values())) for g, w in t.items()} for i, t in raw.items()}
+    got = {(r["nid"], r["gram"]): r["weight"] for r in normalise.tfidf(names).collect()}
+    assert got == pytest.approx({(i, g): w for i, t in weights.items() for g, w in t.items()})
+    want = {}
+    for q in weights:
+        scores = [(-round(sum(w * weights[v].get(g, 0) for g, w in weights[q].items()), 9), v) for v in weights if v != q]
+        want |= {(q, k + 1): v for k, (s, v) in enumerate(sorted(x for x in scores if x[0] < 0)[:4])}
+    assert {(r["qid"], r["rank"]): r["nid"] for r in normalise.sparse_nearest(names, 4).collect()} == want
+    assert {q for q, _ in want} == set(range(120))
+
+
+def test_every_name_asks(spark, tmp_path):
+    from loomgraph.plans import catalog
+
+    parts = [(i, n, b) for i, (n, b) in enumerate([("old ring", "B1"), ("old ring", "B2"), ("new bolt", "B1"), ("new bolts", "B1"), ("cold ring", "B3")])]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    found = catalog.QUERIES["sparse_candidates"](spark, str(tmp_path)).collect()
+    assert {r["qid"] for r in found} == set(range(5)) and {(r["qid"], r["nid"]) for r in found if r["rank"] == 1} == {(0, 1), (1, 0), (2, 3), (3, 2), (4, 0)}
+    assert catalog.QUERIES["name_accuracy"](spark, str(tmp_path)).first()["acc1"] == 0.4
+    assert not any("% 50" in catalog.ORACLES[q] for q in ("sparse_candidates", "name_accuracy"))
