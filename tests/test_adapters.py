@@ -156,3 +156,33 @@ def test_every_name_asks(spark, tmp_path):
     assert {r["qid"] for r in found} == set(range(5)) and {(r["qid"], r["nid"]) for r in found if r["rank"] == 1} == {(0, 1), (1, 0), (2, 3), (3, 2), (4, 0)}
     assert catalog.QUERIES["name_accuracy"](spark, str(tmp_path)).first()["acc1"] == 0.4
     assert not any("% 50" in catalog.ORACLES[q] for q in ("sparse_candidates", "name_accuracy"))
+
+
+def test_nearest_of_blocks_against_all_pairs(spark, monkeypatch):
+    """Copies tie exactly and go by id; nulls, other lengths and groups; no row of a pair is made in Spark."""
+    monkeypatch.setattr(normalise, "VECTORS", 16)
+    monkeypatch.setattr(normalise, "ROWS", 5)
+    rng = np.random.default_rng(8)
+    vectors = [rng.normal(size=9).tolist() for _ in range(40)]
+    rows = [(i, vectors[int(rng.integers(40))], int(i % 3)) for i in range(150)] + [(150, None, 0), (151, [1.0, 2.0], 1), (152, [None] + [1.0] * 8, 2)]
+    names = spark.createDataFrame(rows, "nid long, embedding array<double>, label int")
+    asked = names.where("nid % 7 = 0 or nid >= 150").withColumnRenamed("nid", "qid")
+
+    def score(x, y):
+        if x is None or y is None or len(x) != len(y) or None in x or None in y:
+            return None
+        total = 0.0
+        for a, b in zip(x, y):
+            total += a * b
+        return total
+
+    for group, limit in ((None, 1 << 14), ("label", 1 << 14), (None, 3)):
+        monkeypatch.setattr(normalise, "ASKED", limit)
+        want = {}
+        for q, x, g in rows:
+            if q % 7 == 0 or q >= 150:
+                found = [(score(x, y), n) for n, y, h in rows if g == h or not group]
+                want |= {(q, r + 1): (n, s) for r, (s, n) in enumerate(sorted(found, key=lambda f: (f[0] is None, -(f[0] or 0), f[1]))[:6])}
+        found = normalise.nearest(asked, names, 6, group=group)
+        assert {(r["qid"], r["rank"]): (r["nid"], r["score"]) for r in found.collect()} == want
+        assert "zip_with" not in found._jdf.queryExecution().optimizedPlan().toString()
