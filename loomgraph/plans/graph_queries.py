@@ -194,6 +194,5 @@ WITH pair AS (
 SELECT p1, p2, a FROM pair WHERE a >= 2""")
 def basket_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same self-join on the orders' baskets: pairs of parts in two orders or more."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    x, y = rows.withColumnRenamed("l_partkey", "p1"), rows.withColumnRenamed("l_partkey", "p2")
-    return x.join(y, "l_orderkey").where("p1 < p2").groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("a")).where("a >= 2")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").where("l_orderkey is not null and l_partkey is not null")
+    return cooccur.shared_baskets(rows, "l_orderkey", "l_partkey").where("a >= 2").select(F.col("lo").alias("p1"), F.col("hi").alias("p2"), "a")

@@ -217,3 +217,16 @@ def test_documents_of_which_cleaning_leaves_nothing_go(spark, tmp_path):
     want = {str(i) for i, t in enumerate(texts) if any(map(clean, (t or "").split("\n", 1)))}
     assert {r["pmid"] for r in docs.collect()} == want
     assert "Filter (NOT" not in docs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_baskets_in_parts_that_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(cooccur, "PART_ROWS", 50)
+    rows = [(b, i) for b in range(120) for i in {b % 7, b % 5 + 10, b % 3, b % 3}]
+    found = cooccur.shared_baskets(spark.createDataFrame([*rows, *rows[:9]], "o long, p long"), "o", "p")
+    want = {}
+    for b in range(120):
+        items = sorted({i for x, i in rows if x == b})
+        for pair in ((x, y) for x in items for y in items if x < y):
+            want[pair] = want.get(pair, 0) + 1
+    assert {(r["lo"], r["hi"]): r["a"] for r in found.collect()} == want
+    assert found.rdd.getNumPartitions() == 2 * ((len(rows) + 9) // 50 + 1)
