@@ -7,11 +7,12 @@ their offsets come from the JVM, and spans go back as rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text
@@ -22,15 +23,28 @@ MODEL_HEADS = tuple(MODEL_TYPES)
 LABELS, WINDOW, SPECIAL, BATCH = ("O", "B", "I"), 128, 2, 32
 #: A piece that goes on a word begins with this.
 GOES_ON = "##"
+_WORD = re.compile("[0-9a-zA-Z]+|[^0-9a-zA-Z ]", re.S)
 
 Scorer = Callable[[list[list[str]]], np.ndarray]
 
 
-def sentence_tokens(title: Column | str, abstract: Column | str) -> Column:
-    """The tokens (tok, start, end inclusive) of each sentence that a tagger sees; offsets are the document's."""
-    return text.let(text.tagger_sentences(title, abstract), lambda s: text.let(
-        text.running_starts(F.transform(s, F.length)), lambda at: F.transform(s, lambda x, i: text.token_spans(x, F.get(at, i)))
-    ))
+def sentence_words(content: str, sentences: Iterable[str]) -> Iterator[list[tuple[str, int, int]]]:
+    """The words (token, start, end inclusive) of each sentence, as they stand in the content.
+
+    Sentences leave out blanks and marks that parted them, so a word's place is that of the content's own token, not the sum of
+    what came before.
+    """
+    tokens = ((m.group(), m.start(), m.end() - 1) for m in _WORD.finditer(content))
+    for sentence in sentences:
+        words = []
+        for word in _WORD.findall(sentence):
+            for found in tokens:
+                if found[0] == word:
+                    words.append(found)
+                    break
+            else:
+                raise ValueError("a sentence isn't part of its content")
+        yield words
 
 
 def windows_of(words: list[str], cut: Callable[[str], list[str]], room: int) -> tuple[list[list[str]], np.ndarray]:
@@ -71,15 +85,15 @@ def tag(docs: DataFrame, heads: tuple[str, ...], scorer: Callable[[], Scorer], c
     A sentence of more pieces than a window goes through several and is put together again. Tokens over 20 characters
     are shown to it by their first ten.
     """
-    rows = docs.select(F.col("pmid").cast("string").alias("pmid"), "content", sentence_tokens("title", "abstract").alias("sentences"))
+    rows = docs.select(F.col("pmid").cast("string").alias("pmid"), "content", text.tagger_sentences("title", "abstract").alias("sentences"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score, room = scorer(), window - SPECIAL
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64).to_pylist()
-                held = [(doc, sentence) for doc in part for sentence in doc["sentences"] or () if sentence]
-                cuts = [windows_of([t["tok"] if len(t["tok"]) <= 20 else t["tok"][:10] for t in s], cut, room) for _, s in held]
+                held = [(doc, words) for doc in part for words in sentence_words(doc["content"] or "", doc["sentences"] or ()) if words]
+                cuts = [windows_of([t if len(t) <= 20 else t[:10] for t, _, _ in s], cut, room) for _, s in held]
                 every = [w for windows, _ in cuts for w in windows]
                 scored: list[np.ndarray] = []
                 for a in range(0, len(every), BATCH):
@@ -90,10 +104,10 @@ def tag(docs: DataFrame, heads: tuple[str, ...], scorer: Callable[[], Scorer], c
                 for (doc, sentence), (windows, first) in zip(held, cuts):
                     words = np.concatenate(scored[used : used + len(windows)])[first]
                     used += len(windows)
-                    for h, head in enumerate(heads):
+                    for h in np.flatnonzero((words.argmax(axis=2) == 1).any(axis=0)):  # only a B opens a span
                         for a, b, prob in decoded(words[:, h]):
-                            start, end = sentence[a]["start"], sentence[b]["end"] + 1
-                            for column, value in zip(found, (doc["pmid"], head, start, end, doc["content"][start:end], prob)):
+                            start, end = sentence[a][1], sentence[b][2] + 1
+                            for column, value in zip(found, (doc["pmid"], heads[h], start, end, doc["content"][start:end], prob)):
                                 column.append(value)
                 types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, types)], names=["pmid", "entity_type", "start", "end", "mention", "prob"])
@@ -110,11 +124,10 @@ def dictionary_scorer(heads: tuple[str, ...], terms: dict[str, str], weight: flo
         out[..., 0] = weight
         for w, window in enumerate(windows):
             for i, piece in enumerate(window):
-                word = piece
-                for more in window[i + 1 :]:
-                    if not more.startswith(GOES_ON) or len(more) == len(GOES_ON):
-                        break
-                    word += more[len(GOES_ON) :]
+                word, next_ = piece, i + 1
+                while next_ < len(window) and window[next_].startswith(GOES_ON) and len(window[next_]) > len(GOES_ON):
+                    word += window[next_][len(GOES_ON) :]
+                    next_ += 1
                 if (h := number.get(terms.get(word))) is not None:
                     out[w, i, h] = (0, weight, 0)
         return out

@@ -186,3 +186,19 @@ def test_nearest_of_blocks_against_all_pairs(spark, monkeypatch):
         found = normalise.nearest(asked, names, 6, group=group)
         assert {(r["qid"], r["rank"]): (r["nid"], r["score"]) for r in found.collect()} == want
         assert "zip_with" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tags_stand_where_the_content_has_them(spark, tmp_path):
+    """A blank title, a mark that parts sentences, a blank rest of a cut sentence, and a long word that only begins as a term does."""
+    from loomgraph.plans import catalog
+
+    long_ = " ".join(["w"] * 100) + " " * 400  # over 100 words, cut after 200 pieces: what is left is blank
+    texts = ["   \nThe glioblasto here", "Title\nOne\u0001two glioblasto. Next? glioblasto", "A\u0001b glioblasto\nglioblasto", f"T\n{long_} w w! Then glioblasto", "T\nglioblastomultiformexyz and glioblasto"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    terms = [t for n in range(26) for t in ["glioblasto" if n == 0 else "x" * (5 + n)]]
+    spark.createDataFrame([(0, " ".join(terms))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    mentions = catalog.QUERIES["surface_mentions"](spark, str(tmp_path)).where("mention = 'glioblasto'")
+    assert mentions.first()["entity_type"] in tagger.MODEL_HEADS
+    got = catalog.QUERIES["tagged_mentions"](spark, str(tmp_path))
+    rows = lambda d: sorted((r["pmid"], r["start"], r["end"], r["mention"]) for r in d.collect())
+    assert rows(got) == rows(mentions) and len(rows(got)) == 7
